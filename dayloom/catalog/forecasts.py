@@ -1 +1,365 @@
-"""."""
+"""Forecasts: baselines, linear and tree recursions, serving tables, order search."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dayloom import settings as S
+from dayloom.catalog import base as B
+from dayloom.catalog.base import entry
+from dayloom.operators import features as FT
+from dayloom.operators import forecast as FC
+from dayloom.operators import linear as L
+from dayloom.operators import reports as R
+from dayloom.operators import trees as T
+from dayloom.plans import prediction, training
+from dayloom.plans.gold import feature_table
+
+# Trees per fit in the registered queries; the library default is larger.
+QUERY_TREES = 5
+
+# A linear model with given coefficients: constant, lags 1 2 3 7 14, then the covariates.
+FIXED_COEF = [0.01, 0.2, 0.1, 0.05, 0.4, 0.2, 0.002, -0.001, -0.0005, -0.01]
+
+# Backtest origins as SQL: o(series_id, origin).
+ORIGINS = f"""{B.GOLD},
+    ends AS (SELECT series_id, MAX(ds) AS last_ds FROM gold GROUP BY 1),
+    o AS (SELECT e.series_id, CAST(e.last_ds - 90 + 7 * i AS DATE) AS origin
+      FROM ends e, (SELECT CAST(UNNEST(range(0, 11)) AS INTEGER) AS i))"""
+
+STEPS = "(SELECT CAST(UNNEST(range(1, 15)) AS INTEGER) AS h)"
+
+# Multi-step baselines on those origins: base(series_id, origin, h, ds, y, seasonal_naive, persistence).
+BASE = f"""{ORIGINS},
+    base AS (SELECT o.series_id, o.origin, s.h, CAST(o.origin + s.h AS DATE) AS ds, a.y / 1e6 AS y,
+      n.y / 1e6 AS seasonal_naive, p.y / 1e6 AS persistence
+      FROM o CROSS JOIN {STEPS} s
+      JOIN gold a ON a.series_id = o.series_id AND a.ds = o.origin + s.h
+      JOIN gold p ON p.series_id = o.series_id AND p.ds = o.origin
+      JOIN gold n ON n.series_id = o.series_id
+        AND n.ds = o.origin + s.h - CASE WHEN s.h <= 7 THEN 7 ELSE 14 END)"""
+
+
+def _cov(row: str) -> str:
+    c = FIXED_COEF
+    return (
+        f"+ {c[6]}::DOUBLE * {row}.temp + ({c[7]})::DOUBLE * {row}.precip + ({c[8]})::DOUBLE * {row}.snow_lag1"
+        f" + ({c[9]})::DOUBLE * {row}.is_holiday"
+    )
+
+
+def _lagged(path: str) -> str:
+    c = FIXED_COEF
+    return f"{c[0]}::DOUBLE" + "".join(
+        f" + {w}::DOUBLE * {path}[len({path}) - {k} + 1]" for w, k in zip(c[1:6], S.LAGS)
+    )
+
+
+# Recursion of the fixed model on the backtest origins: lin(series_id, origin, h, linear).
+LINEAR = f"""{BASE},
+    hist AS (SELECT o.series_id, o.origin, list(g.y / 1e6 ORDER BY g.ds) AS path
+      FROM o JOIN gold g ON g.series_id = o.series_id AND g.ds BETWEEN o.origin - 13 AND o.origin GROUP BY 1, 2),
+    rec AS (
+      SELECT series_id, origin, 0 AS h, path FROM hist
+      UNION ALL
+      SELECT r.series_id, r.origin, r.h + 1, list_append(r.path, {_lagged('r.path')} {_cov('g')})
+      FROM rec r JOIN gold g ON g.series_id = r.series_id AND g.ds = r.origin + r.h + 1 WHERE r.h < 14),
+    lin AS (SELECT series_id, origin, h, path[len(path)] AS linear FROM rec WHERE h > 0),
+    wide AS (SELECT b.*, l.linear FROM base b JOIN lin l
+      ON l.series_id = b.series_id AND l.origin = b.origin AND l.h = b.h)"""
+
+
+def fixed_cases(spark, sf):
+    """Backtest cases with the fixed linear model and both baselines."""
+    cases = FC.rolling_origins(B.panel(spark, sf), list(S.EXOG))
+    coef = F.array(*[F.lit(c) for c in FIXED_COEF])
+    path = L.recurse_linear(F.col("hist"), F.col("future"), coef, list(S.LAGS), list(S.EXOG))
+    return training.add_baselines(cases.withColumn("linear", path))
+
+
+@entry(
+    "rolling_origins",
+    f"""WITH {ORIGINS} SELECT o.series_id, o.origin, COUNT(*) AS n_history, ROUND(SUM(g.y), 4) AS history_total
+    FROM o JOIN gold g ON g.series_id = o.series_id AND g.ds BETWEEN o.origin - 13 AND o.origin GROUP BY 1, 2""",
+)
+def rolling_origins(spark, sf):
+    """Eleven weekly origins per series."""
+    cases = FC.rolling_origins(B.panel(spark, sf), unit=1.0)
+    total = F.aggregate("hist", F.lit(0.0), lambda a, v: a + v)
+    return cases.select(
+        "series_id", "origin", F.size("hist").cast("long").alias("n_history"),
+        F.round(total, 4).alias("history_total"),
+    )
+
+
+@entry(
+    "baseline_paths",
+    f"WITH {BASE} SELECT series_id, origin, h, ds, seasonal_naive, persistence, y FROM base",
+)
+def baseline_paths(spark, sf):
+    """Seasonal-naive and persistence from every origin."""
+    cases = training.add_baselines(FC.rolling_origins(B.panel(spark, sf)))
+    return FC.to_wide(cases, ["seasonal_naive", "persistence"])
+
+
+@entry(
+    "linear_recursion",
+    f"WITH RECURSIVE {LINEAR} SELECT series_id, origin, h, ds, ROUND(linear, 10) AS linear, y FROM wide",
+)
+def linear_recursion(spark, sf):
+    """Recursive forecast of a given linear model from every origin."""
+    rows = FC.to_wide(fixed_cases(spark, sf), ["linear"])
+    return rows.withColumn("linear", F.round("linear", 10))
+
+
+@entry(
+    "one_step_baselines",
+    f"""WITH {B.GOLD}, l AS (SELECT series_id, ds, y / 1e6 AS y, LAG(y, 1) {B.W} / 1e6 AS persistence,
+      LAG(y, 7) {B.W} / 1e6 AS seasonal_naive, MAX(ds) OVER (PARTITION BY series_id) - ds AS back FROM gold),
+    r AS (SELECT * FROM l WHERE back < 30),
+    u AS (SELECT series_id, 'persistence' AS model, y, persistence AS yhat FROM r
+      UNION ALL SELECT series_id, 'seasonal_naive', y, seasonal_naive FROM r)
+    SELECT series_id, model, COUNT(*) AS n_points, ROUND(AVG(ABS(yhat - y)), 9) AS mae,
+      ROUND(AVG(ABS(yhat - y) / GREATEST(ABS(y), 2.220446049250313e-16)) * 100, 7) AS mape_pct
+    FROM u WHERE y IS NOT NULL AND yhat IS NOT NULL GROUP BY 1, 2""",
+)
+def one_step_baselines(spark, sf):
+    """Naive forecasts of the holdout, one day ahead."""
+    from dayloom.operators.backtest import score
+
+    wide = FC.one_step_baselines(B.panel(spark, sf))
+    models = ["persistence", "seasonal_naive"]
+    entries = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("yhat")) for m in models])
+    long = wide.select("series_id", "ds", "y", F.explode(entries).alias("_e")).select(
+        "series_id", "ds", "y", "_e.*"
+    )
+    return B.rounded(
+        score(long).select("series_id", "model", "n_points", "mae", "mape_pct"), 9, mape_pct=7
+    )
+
+
+# The outlook covers working days only, so that the fallbacks are used on weekends.
+FUTURE = f"""{B.GOLD},
+    ends AS (SELECT series_id, MAX(ds) AS last_ds, AVG(temp) AS mean_temp, arg_max(snow, ds) AS last_snow,
+      arg_max(temp, ds) AS last_temp, arg_max(precip, ds) AS last_precip FROM gold GROUP BY 1),
+    outlook AS (SELECT * FROM weather WHERE isodow(ds) <= 5),
+    f0 AS (SELECT e.series_id, CAST(e.last_ds + s.h AS DATE) AS ds, s.h, COALESCE(w.temp, e.mean_temp) AS temp,
+      COALESCE(w.precip, 0) AS precip, COALESCE(w.snow, 0) AS snow, e.last_snow, e.last_temp, e.last_precip
+      FROM ends e CROSS JOIN {STEPS} s LEFT JOIN outlook w ON w.ds = e.last_ds + s.h),
+    fut AS (SELECT series_id, ds, h, temp, precip, snow, {B.holiday_sql('ds')} AS is_holiday,
+      COALESCE(LAG(snow) {B.W}, last_snow) AS snow_lag1, COALESCE(LAG(temp) {B.W}, last_temp) AS temp_lag1,
+      COALESCE(LAG(precip) {B.W}, last_precip) AS precip_lag1 FROM f0)"""
+
+
+def _future(spark, sf, panel):
+    outlook = B.weather(spark, sf).where(F.weekday("ds") < 5)
+    return FC.future_covariates(panel, outlook)
+
+
+@entry(
+    "future_covariates",
+    f"""WITH {FUTURE} SELECT series_id, ds, h, ROUND(temp, 9) AS temp, precip, snow, is_holiday, snow_lag1,
+      ROUND(temp_lag1, 9) AS temp_lag1, precip_lag1 FROM fut""",
+)
+def future_covariates(spark, sf):
+    """Covariates of the next 14 days with fallbacks and chained lags (TS10, J5, J6, J7, S17, T11, T12)."""
+    out = _future(spark, sf, B.panel(spark, sf))
+    return out.withColumn("temp", F.round("temp", 9)).withColumn("temp_lag1", F.round("temp_lag1", 9))
+
+
+SERVED = f"""{FUTURE},
+    hist AS (SELECT g.series_id, e.last_ds AS origin, list(g.y / 1e6 ORDER BY g.ds) AS path
+      FROM gold g JOIN ends e ON e.series_id = g.series_id AND g.ds > e.last_ds - 14 GROUP BY 1, 2),
+    rec AS (SELECT series_id, origin, 0 AS h, path FROM hist
+      UNION ALL
+      SELECT r.series_id, r.origin, r.h + 1, list_append(r.path, {_lagged('r.path')} {_cov('f')})
+      FROM rec r JOIN fut f ON f.series_id = r.series_id AND f.h = r.h + 1 WHERE r.h < 14),
+    served AS (SELECT series_id, origin, h, CAST(origin + h AS DATE) AS ds, path[len(path)] AS linear,
+      path[CASE WHEN h <= 7 THEN 7 + h ELSE h END] AS seasonal_naive FROM rec WHERE h > 0)"""
+
+
+def served(spark, sf):
+    """Next two weeks: fixed linear model, seasonal naive, equal-weight blend."""
+    panel = B.panel(spark, sf)
+    cases = FC.serving_cases(panel, _future(spark, sf, panel), list(S.EXOG))
+    coef = F.array(*[F.lit(c) for c in FIXED_COEF])
+    path = L.recurse_linear(F.col("hist"), F.col("future"), coef, list(S.LAGS), list(S.EXOG))
+    cases = cases.withColumn("linear", path).withColumn("seasonal_naive", FC.seasonal_naive(F.col("hist")))
+    cases = cases.withColumn("ensemble", FC.blend_arrays(F.col("linear"), F.col("seasonal_naive")))
+    return FC.to_wide(cases, ["linear", "seasonal_naive", "ensemble"]).drop("y")
+
+
+@entry(
+    "served_forecast",
+    f"""WITH RECURSIVE {SERVED} SELECT series_id, origin, h, ds, ROUND(linear, 9) AS linear,
+      ROUND(seasonal_naive, 9) AS seasonal_naive, ROUND(0.5 * linear + 0.5 * seasonal_naive, 9) AS ensemble FROM served""",
+)
+def served_forecast(spark, sf):
+    """Forecast table after the last actual day."""
+    return B.rounded(served(spark, sf))
+
+
+@entry(
+    "forecast_interval",
+    f"""WITH RECURSIVE {LINEAR}, sp AS (SELECT series_id, h, STDDEV_SAMP(linear - y) AS sigma FROM wide GROUP BY 1, 2)
+    SELECT w.series_id, w.origin, w.h, ROUND(w.linear, 9) AS linear,
+      ROUND(w.linear - 1.959963984540054 * sp.sigma, 9) + 0.0 AS ci_lower, ROUND(w.linear + 1.959963984540054 * sp.sigma, 9) AS ci_upper
+    FROM wide w JOIN sp ON sp.series_id = w.series_id AND sp.h = w.h""",
+)
+def forecast_interval(spark, sf):
+    """Interval from the backtest's error deviation at the same step."""
+    from dayloom.operators.backtest import mae_by_step
+
+    cases = fixed_cases(spark, sf)
+    spread = mae_by_step(FC.to_long(cases, ["linear"])).select("series_id", "h", "sigma")
+    rows = FC.to_wide(cases, ["linear"]).select("series_id", "origin", "h", "linear")
+    return B.rounded(FC.with_interval(rows, spread, "linear", ["series_id"]))
+
+
+@entry(
+    "forecast_chart",
+    f"""WITH RECURSIVE {SERVED}, rec90 AS (SELECT g.series_id, g.ds, g.y / 1e6 AS v FROM gold g
+      JOIN ends e ON e.series_id = g.series_id WHERE e.last_ds - g.ds < 90),
+    anchor AS (SELECT r.* FROM rec90 r JOIN ends e ON e.series_id = r.series_id AND e.last_ds = r.ds),
+    l AS (SELECT series_id, ds, 'actual' AS line, v AS value FROM rec90
+      UNION ALL SELECT series_id, ds, 'linear', v FROM anchor UNION ALL SELECT series_id, ds, 'ensemble', v FROM anchor
+      UNION ALL SELECT series_id, ds, 'linear', linear FROM served
+      UNION ALL SELECT series_id, ds, 'ensemble', 0.5 * linear + 0.5 * seasonal_naive FROM served)
+    SELECT series_id, ds, line, ROUND(value, 10) AS value FROM l""",
+)
+def forecast_chart(spark, sf):
+    """Last 90 actuals and the forecasts anchored on the last one."""
+    out = R.forecast_chart(B.panel(spark, sf), served(spark, sf), ["linear", "ensemble"], unit=S.UNIT_SCALE)
+    return out.withColumn("value", F.round("value", 10))
+
+
+@entry(
+    "forward_total",
+    f"""WITH RECURSIVE {SERVED} SELECT series_id, ROUND(SUM(0.5 * linear + 0.5 * seasonal_naive), 9) AS total,
+      MIN(ds) AS from_ds, MAX(ds) AS to_ds FROM served WHERE h > 7 GROUP BY 1""",
+)
+def forward_total(spark, sf):
+    """Total of the last seven forecast days with its range."""
+    return B.rounded(R.forward_total(served(spark, sf), "ensemble"))
+
+
+# --- fitted models ---
+
+
+def _simple_rows(spark, sf):
+    return feature_table(B.panel(spark, sf)).withColumn("target", F.col("y") / S.UNIT_SCALE)
+
+
+@entry(
+    "linear_fit",
+    f"""WITH {B.FEATURES}, t AS (SELECT series_id, y / 1e6 AS v, y_lag7 AS x FROM features),
+    g AS (SELECT series_id, COUNT(*) AS n, REGR_SLOPE(v, x) AS b, REGR_INTERCEPT(v, x) AS a,
+      REGR_SYY(v, x) AS syy, REGR_SXX(v, x) AS sxx, REGR_SXY(v, x) AS sxy FROM t GROUP BY 1),
+    r AS (SELECT *, syy - sxy * sxy / sxx AS rss FROM g)
+    SELECT series_id, n AS n_rows, ROUND(a, 8) AS intercept, ROUND(b, 8) + 0.0 AS slope,
+      ROUND(SQRT(rss / (n - 2) / sxx), 8) AS slope_err, ROUND(rss, 6) AS rss, ROUND(n * LN(rss / n) + 4, 4) AS aic FROM r""",
+)
+def linear_fit(spark, sf):
+    """Least squares per series from cross products, checked on one regressor (M4)."""
+    fit = L.fit_linear(_simple_rows(spark, sf), ["y_lag7"], "target")
+    out = fit.select(
+        "series_id", "n_rows", F.col("coef")[0].alias("intercept"), F.col("coef")[1].alias("slope"),
+        F.col("std_err")[1].alias("slope_err"), "rss", "aic",
+    )
+    return B.rounded(out, 8, rss=6, aic=4)
+
+
+@entry(
+    "lag_search",
+    f"""WITH {B.FEATURES}, t AS (SELECT series_id, y / 1e6 AS v, y_lag1, y_lag7, y_lag14 FROM features),
+    a AS (SELECT series_id, 1 AS lag, COUNT(*) AS n, REGR_SYY(v, y_lag1) * (1 - REGR_R2(v, y_lag1)) AS rss FROM t GROUP BY 1
+      UNION ALL SELECT series_id, 7, COUNT(*), REGR_SYY(v, y_lag7) * (1 - REGR_R2(v, y_lag7)) FROM t GROUP BY 1
+      UNION ALL SELECT series_id, 14, COUNT(*), REGR_SYY(v, y_lag14) * (1 - REGR_R2(v, y_lag14)) FROM t GROUP BY 1),
+    s AS (SELECT *, n * LN(rss / n) + 4 AS aic FROM a)
+    SELECT series_id, arg_min(CAST(lag AS VARCHAR), aic) AS lags, ROUND(MIN(aic), 4) AS aic FROM s GROUP BY 1""",
+)
+def lag_search(spark, sf):
+    """Best lag set by AIC, all candidates from one cross-product matrix (M5)."""
+    out = L.choose_lags(_simple_rows(spark, sf), [(1,), (7,), (14,)], [], "target")
+    return B.rounded(
+        out.select("series_id", F.array_join(F.col("lags").cast("array<string>"), ",").alias("lags"), "aic"), 4
+    )
+
+
+@entry(
+    "resolved_order",
+    f"""WITH {B.FACTS}, e AS (SELECT series_id, MAX(ds) AS last_ds FROM facts GROUP BY 1),
+    n AS (SELECT MAX(ds) AS today FROM facts),
+    c AS (SELECT series_id, CAST(n.today - 30 * CAST(substr(series_id, 1, 1) AS INTEGER) AS DATE) AS w, n.today FROM e, n)
+    SELECT series_id, CASE WHEN today - w < 90 THEN '1,7' ELSE '1,2,3,7,14' END AS lags,
+      CASE WHEN today - w < 90 THEN 'cached' ELSE 'searched' END AS source,
+      CASE WHEN today - w < 90 THEN w ELSE today END AS search_date FROM c""",
+)
+def resolved_order(spark, sf):
+    """Cached lag set while younger than 90 days, else the new one (M6)."""
+    facts = B.facts(spark, sf)
+    ends = facts.groupBy("series_id").agg(F.max("ds").alias("last_ds"))
+    today = facts.agg(F.max("ds").alias("m")).scalar()
+    age = F.substring("series_id", 1, 1).cast("int") * 30
+    cached = ends.select(
+        "series_id", F.array(F.lit(1), F.lit(7)).alias("lags"), F.date_sub(today, age).alias("search_date")
+    )
+    found = ends.select("series_id", F.array(*[F.lit(k) for k in S.LAGS]).alias("lags"))
+    out = L.resolve_order(ends.select("series_id"), cached, found, today)
+    return out.withColumn("lags", F.array_join(F.col("lags").cast("array<string>"), ","))
+
+
+@entry("linear_coefficients")
+def linear_coefficients(spark, sf):
+    """Covariate effects with p-values and significance per series."""
+    fit = training.fit_linear_models(B.panel(spark, sf))
+    names = [FT.lag_name(k) for k in S.LAGS] + list(S.EXOG)
+    return B.rounded(L.coefficient_table(fit, names).where(F.col("feature").isin(list(S.EXOG))))
+
+
+@entry("linear_backtest")
+def linear_backtest(spark, sf):
+    """Fitted linear model on the rolling origins."""
+    return B.rounded(
+        FC.to_wide(training.linear_backtest(B.panel(spark, sf)), ["linear", "seasonal_naive", "persistence"])
+    )
+
+
+@entry("holdout_predictions")
+def holdout_predictions(spark, sf):
+    """Both families' recursive forecasts of the last 30 days."""
+    paths = training.holdout_paths(B.panel(spark, sf), n_trees=QUERY_TREES)
+    return B.rounded(FC.to_long(paths, ["linear", "trees"]))
+
+
+@entry("tree_backtest")
+def tree_backtest(spark, sf):
+    """Both families and the ensemble on the rolling origins."""
+    cases = training.full_backtest(B.panel(spark, sf), n_trees=QUERY_TREES)
+    return B.rounded(FC.to_wide(cases, ["linear", "trees", "ensemble", "seasonal_naive", "persistence"]))
+
+
+@entry("tree_importance")
+def tree_importance(spark, sf):
+    """Permutation importance on the last 30 days."""
+    rows = feature_table(B.panel(spark, sf)).withColumn("_back", FT.days_from_end())
+    model = T.fit_trees(rows.where("_back >= 30"), trees=QUERY_TREES)
+    return B.rounded(T.permutation_importance(model, rows.where("_back < 30")))
+
+
+@entry("served_ensemble")
+def served_ensemble(spark, sf):
+    """Two weeks ahead from both fitted families with interval and lineage."""
+    from dayloom.operators.backtest import mae_by_step
+
+    panel = B.panel(spark, sf)
+    rows = feature_table(panel)
+    model = T.fit_trees(rows, trees=QUERY_TREES)
+    coef = training.fit_linear_models(panel, held_back=0)
+    bounds = FT.scale_bounds(panel, list(S.EXOG), F.lit(True))
+    spread = mae_by_step(FC.to_long(training.linear_backtest(panel), ["linear"]))
+    out = prediction.serve(
+        panel, B.weather(spark, sf), coef, bounds, model, spread.select("series_id", "h", "sigma")
+    )
+    last = panel.agg(F.max("ds").alias("m")).scalar()
+    return B.rounded(prediction.stamp(out, panel, last, {"linear": "1", "trees": "1"}))

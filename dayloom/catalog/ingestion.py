@@ -1 +1,244 @@
-"""."""
+"""Feeds, silver merge, snapshots of sources, fingerprints."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dayloom.catalog import base as B
+from dayloom.catalog.base import entry
+from dayloom.operators import monitor as M
+from dayloom.operators import panel as P
+from dayloom.sources import feeds, lake
+
+
+def day(text: str):
+    return F.lit(text).cast("date")
+
+
+@entry(
+    "extract_daily",
+    """SELECT CAST(ts AS DATE) AS ds, user_id % 10 AS district, ROUND(SUM(value), 6) AS y FROM events
+    WHERE event_type = 'view' AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-21 00:00:00'
+    GROUP BY 1, 2""",
+)
+def extract_daily(spark, sf):
+    """Day × dimension totals of one kind in a date range."""
+    events = B.table(spark, sf, "events").withColumn("district", F.col("user_id") % 10)
+    kind = F.col("event_type") == "view"
+    return feeds.extract_daily(events, kind, day("2024-01-05"), day("2024-01-20"), ["district"])
+
+
+@entry(
+    "extract_page",
+    """WITH e AS (SELECT CAST(ts AS DATE) AS ds, event_type, ROUND(SUM(value), 6) AS y FROM events GROUP BY 1, 2)
+    SELECT * FROM e ORDER BY ds, event_type LIMIT 40 OFFSET 20""",
+)
+def extract_page(spark, sf):
+    """A page in a total order."""
+    daily = B.table(spark, sf, "events").groupBy(F.to_date("ts").alias("ds"), "event_type").agg(
+        F.round(F.sum("value"), 6).alias("y")
+    )
+    return feeds.page(daily, ["ds", "event_type"], 40, 20)
+
+
+@entry(
+    "two_feed_history",
+    f"""WITH {B.FACTS}, old AS (SELECT * FROM facts WHERE ds BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'),
+    cur AS (SELECT o_orderpriority AS series_id, CAST(l_shipdate AS DATE) AS ds,
+      CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS y
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+      WHERE CAST(l_shipdate AS DATE) > DATE '1998-12-31' AND CAST(l_shipdate AS DATE) <= DATE '2000-06-30' GROUP BY 1, 2)
+    SELECT series_id, ds, y FROM old UNION ALL SELECT series_id, ds, y FROM cur""",
+)
+def two_feed_history(spark, sf):
+    """Old feed up to the boundary day, new feed after it."""
+    lines = B.table(spark, sf, "lineitem").select(
+        "l_orderkey", F.to_date("l_shipdate").alias("ds"), B.hundredths("l_extendedprice").alias("c")
+    )
+    lines = lines.groupBy("l_orderkey", "ds").agg(F.sum("c").alias("c"))
+    orders = B.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("series_id")
+    )
+    current = (
+        lines.join(orders, "l_orderkey")
+        .groupBy("series_id", "ds")
+        .agg((F.sum("c") / 100).alias("y"))
+    )
+    return feeds.split_at_boundary(
+        B.facts(spark, sf), current, day("1996-01-01"), day("2000-06-30"), "1998-12-31"
+    )
+
+
+@entry(
+    "silver_merge",
+    f"""WITH {B.SILVER}, old AS (SELECT * FROM silver WHERE ds <= DATE '1999-12-31'),
+    fresh AS (SELECT DISTINCT f.* FROM facts f WHERE f.ds > (SELECT MAX(ds) FROM old)),
+    dup AS (SELECT ds, temp + 1 AS temp, precip, snow, 1 AS arrival FROM weather
+      UNION ALL SELECT ds, temp, precip, snow, 2 FROM weather),
+    dim AS (SELECT * FROM dup QUALIFY ROW_NUMBER() OVER (PARTITION BY ds ORDER BY arrival DESC) = 1)
+    SELECT series_id, ds, y, temp, precip, snow FROM old
+    UNION ALL SELECT fresh.series_id, fresh.ds, fresh.y, dim.temp, dim.precip, dim.snow
+    FROM fresh LEFT JOIN dim ON dim.ds = fresh.ds""",
+)
+def silver_merge(spark, sf):
+    """Watermark, semi-join, deduplicated covariates, left join, union."""
+    facts, weather = B.facts(spark, sf), B.weather(spark, sf)
+    old = P.join_covariates(facts, weather).where(F.col("ds") <= day("1999-12-31"))
+    # Two overlapping covariate files: the later one has the right temperature.
+    first = weather.withColumn("temp", F.col("temp") + 1).withColumn("arrival", F.lit(1))
+    files = P.union_all([first, weather.withColumn("arrival", F.lit(2))])
+    return P.merge_silver(old, facts, files, F.col("arrival")).select(
+        "series_id", "ds", "y", "temp", "precip", "snow"
+    )
+
+
+@entry(
+    "distinct_union",
+    f"""WITH {B.FACTS}, a AS (SELECT ds, y, series_id FROM facts WHERE ds <= DATE '1998-06-30'),
+    b AS (SELECT ds, y, series_id FROM facts WHERE ds >= DATE '1998-01-01')
+    SELECT ds, y, series_id, CAST(NULL AS DOUBLE) AS temp FROM a
+    UNION SELECT ds, y, series_id, NULL FROM b""",
+)
+def distinct_union(spark, sf):
+    """Overlapping files, one with an extra column, made distinct."""
+    f = B.facts(spark, sf)
+    a = f.where(F.col("ds") <= day("1998-06-30"))
+    b = P.add_missing_columns(f.where(F.col("ds") >= day("1998-01-01")), {"temp": "double"})
+    return P.union_all([a, b]).dropDuplicates()
+
+
+@entry(
+    "covered_dimension",
+    f"""WITH {B.FACTS},{B.WEATHER} SELECT ds, temp, precip, snow FROM weather
+    WHERE ds IN (SELECT ds FROM facts)""",
+)
+def covered_dimension(spark, sf):
+    """Covariate days that occur in the facts."""
+    return B.weather(spark, sf).join(B.facts(spark, sf).select("ds"), "ds", "left_semi")
+
+
+@entry(
+    "flat_listing",
+    """WITH e AS (SELECT event_type, CAST(ts AS DATE) AS d, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+      user_id FROM events)
+    SELECT event_type || '-' || k AS name, strftime(d, '%Y-%m-%d') AS date, 'hall-' || (user_id % 5) AS venue,
+      'listing' AS source, COUNT(*) AS n FROM e GROUP BY 1, 2, 3, 4""",
+)
+def flat_listing(spark, sf):
+    """Nested documents → one row per event."""
+    rows = feeds.flatten_listing(_documents(spark, sf), "body", "venue", "listing")
+    return rows.groupBy("name", "date", "venue", "source").agg(F.count("*").alias("n"))
+
+
+def _documents(spark, sf):
+    e = B.table(spark, sf, "events").select(
+        "event_type", F.to_date("ts").cast("string").alias("d"), "user_id",
+        F.from_json("props", "k int")["k"].alias("k"),
+    )
+    event = F.struct(
+        F.concat_ws("-", "event_type", F.col("k").cast("string")).alias("name"),
+        F.struct(F.struct(F.col("d").alias("localDate")).alias("start")).alias("dates"),
+    )
+    body = F.to_json(F.struct(F.struct(F.array(event).alias("events")).alias("_embedded")))
+    venue = F.concat(F.lit("hall-"), (F.col("user_id") % 5).cast("string"))
+    return e.select(venue.alias("venue"), body.alias("body"))
+
+
+@entry(
+    "fallback_source",
+    """SELECT name, date, venue, source, COUNT(*) AS n FROM (
+      SELECT CASE WHEN event_id % 7 <> 0 THEN event_type || '!' WHEN event_id % 2 = 0 THEN event_type ELSE 'Event' END AS name,
+        strftime(ts, '%Y-%m-%d') AS date, '' AS venue, 'permits' AS source FROM events) GROUP BY 1, 2, 3, 4""",
+)
+def fallback_source(spark, sf):
+    """The second source with its defaults, because the first is empty."""
+    e = B.table(spark, sf, "events")
+    listing = feeds.flatten_listing(_documents(spark, sf), "body", "venue", "listing").drop("seq")
+    permits = feeds.flatten_permits(
+        e.select(
+            F.when(F.col("event_id") % 7 != 0, F.concat("event_type", F.lit("!"))).alias("event_name"),
+            F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("event_type"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("start_date_time"),
+            F.lit(None).cast("string").alias("event_location"),
+        ),
+        "permits",
+    )
+    rows = feeds.with_fallback(listing.where(F.col("name") == "no such event"), permits)
+    return rows.groupBy("name", "date", "venue", "source").agg(F.count("*").alias("n"))
+
+
+@entry(
+    "first_arrival",
+    """SELECT event_type AS name, CAST(ts AS DATE) AS date, event_id AS seq, user_id AS venue FROM events
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY event_id) = 1""",
+)
+def first_arrival(spark, sf):
+    """First row per name and date in arrival order."""
+    e = B.table(spark, sf, "events").select(
+        F.col("event_type").alias("name"), F.to_date("ts").alias("date"),
+        F.col("event_id").alias("seq"), F.col("user_id").alias("venue"),
+    )
+    return P.first_arrival(e, ["name", "date"], ["seq"])
+
+
+@entry(
+    "latest_event_files",
+    """WITH s AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS run_date, event_type AS name, COUNT(*) AS n
+      FROM events GROUP BY 1, 2)
+    SELECT * FROM s WHERE run_date IN (SELECT DISTINCT run_date FROM s ORDER BY 1 DESC LIMIT 4)""",
+)
+def latest_event_files(spark, sf):
+    """Records of the newest four weekly snapshots."""
+    s = B.table(spark, sf, "events").groupBy(
+        F.date_trunc("week", "ts").cast("date").alias("run_date"), F.col("event_type").alias("name")
+    ).agg(F.count("*").alias("n"))
+    return M.latest_snapshots(s, 4)
+
+
+@entry(
+    "newest_event_file",
+    """WITH s AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS run_date, event_type AS name, COUNT(*) AS n
+      FROM events GROUP BY 1, 2)
+    SELECT * FROM s WHERE run_date = (SELECT MAX(run_date) FROM s)""",
+)
+def newest_event_file(spark, sf):
+    """Records of the newest snapshot."""
+    s = B.table(spark, sf, "events").groupBy(
+        F.date_trunc("week", "ts").cast("date").alias("run_date"), F.col("event_type").alias("name")
+    ).agg(F.count("*").alias("n"))
+    return M.newest_snapshot(s)
+
+
+@entry(
+    "ingest_windows",
+    f"""WITH {B.FACTS},{B.WEATHER}, w AS (SELECT series_id, MAX(ds) AS wm FROM facts GROUP BY 1),
+    d AS (SELECT MAX(ds) AS top FROM weather)
+    SELECT series_id, CAST(wm + 1 AS DATE) AS from_ds, CAST(top - 6 AS DATE) AS to_ds,
+      CASE WHEN wm + 1 <= top - 6 THEN 1 ELSE 0 END AS has_work, CAST(wm + 1 AS DATE) AS outlook_from, CAST(wm + 14 AS DATE) AS outlook_to
+    FROM w, d""",
+)
+def ingest_windows(spark, sf):
+    """Next range of each feed from watermark and publish lag, and its outlook range."""
+    wm = B.facts(spark, sf).groupBy("series_id").agg(F.max("ds").alias("wm"))
+    as_of = B.weather(spark, sf).agg(F.max("ds").alias("m")).scalar()
+    first, last, work = lake.ingest_window(F.col("wm"), as_of)
+    return wm.select(
+        "series_id", first.alias("from_ds"), last.alias("to_ds"), work.cast("int").alias("has_work"),
+        F.date_add("wm", 1).alias("outlook_from"), F.date_add("wm", 14).alias("outlook_to"),
+    )
+
+
+@entry(
+    "table_fingerprint",
+    """SELECT o_orderpriority AS series_id, COUNT(*) AS n_rows,
+      CAST(SUM(CAST('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
+        COALESCE(o_orderstatus, '~'), strftime(o_orderdate, '%Y-%m-%d'))), 1, 8) AS BIGINT)) AS VARCHAR) AS digest
+    FROM orders GROUP BY 1""",
+)
+def table_fingerprint(spark, sf):
+    """Order-free content hash per group."""
+    o = B.table(spark, sf, "orders").withColumn("day", F.to_date("o_orderdate"))
+    return lake.fingerprint(
+        o.withColumnRenamed("o_orderpriority", "series_id"),
+        ["o_orderkey", "o_custkey", "o_orderstatus", "day"], ["series_id"],
+    )
