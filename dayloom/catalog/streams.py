@@ -1 +1,56 @@
-"""."""
+"""Streaming jobs over the event table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dayloom.catalog import base as B
+from dayloom.catalog.base import entry
+from dayloom.session import shared_dir
+from dayloom.streaming import jobs
+
+
+def _events(spark, sf):
+    schema = B.table(spark, sf, "events").schema
+    return jobs.file_stream(spark, sf, schema, "events.parquet")
+
+
+@entry(
+    "stream_daily_totals",
+    """SELECT CAST(ts AS DATE) AS ds, event_type, ROUND(SUM(value), 6) AS y, COUNT(*) AS n_rows FROM events
+    WHERE CAST(ts AS DATE) + 1 <= (SELECT MAX(ts) - INTERVAL 2 DAY FROM events) GROUP BY 1, 2""",
+)
+def stream_daily_totals(spark, sf):
+    """Watermarked day totals; days whose window has closed."""
+    out = jobs.daily_totals(_events(spark, sf), ["event_type"])
+    return jobs.drain(out, shared_dir(spark, "daily-totals"), shared_dir(spark, "daily-totals-ck"))
+
+
+@entry(
+    "stream_distinct_arrivals",
+    "SELECT DISTINCT event_type AS name, CAST(ts AS DATE) AS date, user_id FROM events",
+)
+def stream_distinct_arrivals(spark, sf):
+    """First arrival per key on a stream."""
+    events = _events(spark, sf).select(
+        "ts", F.col("event_type").alias("name"), F.to_date("ts").alias("date"), "user_id"
+    )
+    out = jobs.distinct_arrivals(events, ["name", "date", "user_id"]).drop("ts")
+    return jobs.drain(out, shared_dir(spark, "arrivals"), shared_dir(spark, "arrivals-ck"))
+
+
+@entry(
+    "stream_retrain_triggers",
+    """WITH RECURSIVE d AS (SELECT event_type AS series_id, CAST(ts AS DATE) AS ds FROM events WHERE value > 30 GROUP BY 1, 2 HAVING COUNT(*) > 0),
+    trg AS (SELECT series_id, MIN(ds) AS d FROM d GROUP BY 1
+      UNION ALL SELECT t.series_id, (SELECT MIN(r.ds) FROM d r WHERE r.series_id = t.series_id AND r.ds >= t.d + 7)
+      FROM trg t WHERE t.d IS NOT NULL)
+    SELECT series_id, d AS trigger_date FROM trg WHERE d IS NOT NULL""",
+)
+def stream_retrain_triggers(spark, sf):
+    """Cooldown as keyed state of a stream."""
+    days = _events(spark, sf).where(F.col("value") > 30).select(
+        F.col("event_type").alias("series_id"), F.to_date("ts").alias("ds")
+    )
+    out = jobs.retrain_triggers(days)
+    return jobs.drain(out, shared_dir(spark, "triggers"), shared_dir(spark, "triggers-ck"))
