@@ -27,8 +27,8 @@ LONG = f"""{LINEAR},
       FROM long GROUP BY 1, 2)"""
 
 
-def scored_cases(spark, sf):
-    cases = fixed_cases(spark, sf)
+def scored_cases(panel):
+    cases = fixed_cases(panel)
     return cases.withColumn("ensemble", FC.blend_arrays(F.col("linear"), F.col("seasonal_naive")))
 
 
@@ -41,7 +41,7 @@ def scored_cases(spark, sf):
 )
 def backtest_scores(spark, sf):
     """MAE, RMSE, MAPE, bias and relative MAE per model."""
-    out = BT.relative_mae(BT.score(FC.to_long(scored_cases(spark, sf), MODELS)))
+    out = BT.relative_mae(BT.score(FC.to_long(scored_cases(B.panel(spark, sf)), MODELS)))
     return B.rounded(out, 9, mape_pct=6, mase=8)
 
 
@@ -52,7 +52,7 @@ def backtest_scores(spark, sf):
 )
 def mae_by_horizon(spark, sf):
     """Error by step ahead."""
-    return B.rounded(BT.mae_by_step(FC.to_long(scored_cases(spark, sf), MODELS)), 11, sigma=8)
+    return B.rounded(BT.mae_by_step(FC.to_long(scored_cases(B.panel(spark, sf)), MODELS)), 11, sigma=8)
 
 
 CURVE = f"""{LINEAR},
@@ -67,7 +67,7 @@ CURVE = f"""{LINEAR},
 )
 def weight_curve(spark, sf):
     """MAE of the blend at 21 weights."""
-    wide = FC.to_wide(fixed_cases(spark, sf), ["linear", "seasonal_naive"])
+    wide = FC.to_wide(fixed_cases(B.panel(spark, sf)), ["linear", "seasonal_naive"])
     return B.rounded(BT.weight_curve(wide, "linear", "seasonal_naive"))
 
 
@@ -78,7 +78,7 @@ def weight_curve(spark, sf):
 )
 def best_weight(spark, sf):
     """The best weight, lowest on ties."""
-    wide = FC.to_wide(fixed_cases(spark, sf), ["linear", "seasonal_naive"])
+    wide = FC.to_wide(fixed_cases(B.panel(spark, sf)), ["linear", "seasonal_naive"])
     return B.rounded(BT.best_weight(BT.weight_curve(wide, "linear", "seasonal_naive")))
 
 
@@ -117,7 +117,7 @@ def _boot_sql(n_boot: int) -> str:
 def block_bootstrap(spark, sf):
     """Resampled intervals of three MAE differences and their verdicts."""
     pairs = [("linear", "seasonal_naive"), ("ensemble", "seasonal_naive"), ("ensemble", "linear")]
-    return B.rounded(BT.block_bootstrap(scored_cases(spark, sf), pairs, QUERY_BOOT), 8)
+    return B.rounded(BT.block_bootstrap(scored_cases(B.panel(spark, sf)), pairs, QUERY_BOOT), 8)
 
 
 BASELINE = f"""{CURVE},
@@ -143,8 +143,9 @@ BASELINE = f"""{CURVE},
 )
 def training_baseline(spark, sf):
     """The record written after training, with both warnings."""
-    wide = FC.to_wide(fixed_cases(spark, sf), ["linear", "seasonal_naive"])
-    one = FC.one_step_baselines(B.panel(spark, sf))
+    panel = B.gold(spark, sf)
+    wide = FC.to_wide(fixed_cases(panel), ["linear", "seasonal_naive"])
+    one = FC.one_step_baselines(panel)
     naive = one.groupBy("series_id").agg(
         F.avg(F.abs(F.col("seasonal_naive") - F.col("y"))).alias("seasonal_naive"),
         F.avg(F.abs(F.col("persistence") - F.col("y"))).alias("persistence"),
@@ -161,10 +162,11 @@ def training_baseline(spark, sf):
 )
 def paired_holdouts(spark, sf):
     """Two models' holdout tables joined on the day."""
-    one = FC.one_step_baselines(B.panel(spark, sf))
+    panel = B.gold(spark, sf)
+    one = FC.one_step_baselines(panel)
     # One table per model, as two training runs would have written them.
     first = one.select("series_id", "ds", "y", F.col("persistence").alias("yhat_first"))
-    second = FC.one_step_baselines(B.panel(spark, sf), 20).select(
+    second = FC.one_step_baselines(panel, 20).select(
         "series_id", "ds", F.col("seasonal_naive").alias("yhat_second")
     )
     joined = first.join(second, ["series_id", "ds"])
@@ -182,7 +184,7 @@ def skill_table(spark, sf):
     """Display table per model and gain over the naive forecast."""
     from pyspark.sql import Window
 
-    s = BT.relative_mae(BT.score(FC.to_long(scored_cases(spark, sf), MODELS)))
+    s = BT.relative_mae(BT.score(FC.to_long(scored_cases(B.panel(spark, sf)), MODELS)))
     naive = F.max(F.when(F.col("model") == "seasonal_naive", F.col("mae"))).over(
         Window.partitionBy("series_id")
     )
@@ -207,12 +209,13 @@ def skill_table(spark, sf):
 )
 def accuracy_view(spark, sf):
     """Backtest metrics where a series has them, else its holdout's."""
-    wide = FC.to_wide(scored_cases(spark, sf), ["ensemble", "seasonal_naive"])
+    panel = B.gold(spark, sf)
+    wide = FC.to_wide(scored_cases(panel), ["ensemble", "seasonal_naive"])
     tested = wide.where(F.substring("series_id", 1, 1).isin("1", "2", "3")).groupBy("series_id").agg(
         F.avg(F.abs(F.col("ensemble") - F.col("y"))).alias("ensemble_mae"),
         F.avg(F.abs(F.col("seasonal_naive") - F.col("y"))).alias("seasonal_naive_mae"),
     )
-    holdout = FC.one_step_baselines(B.panel(spark, sf)).groupBy("series_id").agg(
+    holdout = FC.one_step_baselines(panel).groupBy("series_id").agg(
         F.avg(F.abs(F.col("persistence") - F.col("y"))).alias("ensemble_mae"),
         F.avg(F.abs(F.col("seasonal_naive") - F.col("y"))).alias("seasonal_naive_mae"),
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from dayloom.operators.panel import join_covariates
 from dayloom.plans.gold import daily_panel
+from dayloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,6 +72,11 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
     return daily_panel(silver(spark, sf))
 
 
+def gold(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel as a written table, for queries that read it more than once."""
+    return stage(panel(spark, sf), "gold")
+
+
 def rounded(df: DataFrame, digits: int = 9, **special: int) -> DataFrame:
     """Rounds floating columns for comparison across engines; adding 0 turns −0 into 0."""
     kinds = dict(df.dtypes)

@@ -69,9 +69,9 @@ LINEAR = f"""{BASE},
       ON l.series_id = b.series_id AND l.origin = b.origin AND l.h = b.h)"""
 
 
-def fixed_cases(spark, sf):
+def fixed_cases(panel):
     """Backtest cases with the fixed linear model and both baselines."""
-    cases = FC.rolling_origins(B.panel(spark, sf), list(S.EXOG))
+    cases = FC.rolling_origins(panel, list(S.EXOG))
     coef = F.array(*[F.lit(c) for c in FIXED_COEF])
     path = L.recurse_linear(F.col("hist"), F.col("future"), coef, list(S.LAGS), list(S.EXOG))
     return training.add_baselines(cases.withColumn("linear", path))
@@ -108,7 +108,7 @@ def baseline_paths(spark, sf):
 )
 def linear_recursion(spark, sf):
     """Recursive forecast of a given linear model from every origin."""
-    rows = FC.to_wide(fixed_cases(spark, sf), ["linear"])
+    rows = FC.to_wide(fixed_cases(B.panel(spark, sf)), ["linear"])
     return rows.withColumn("linear", F.round("linear", 10))
 
 
@@ -178,9 +178,8 @@ SERVED = f"""{FUTURE},
       path[CASE WHEN h <= 7 THEN 7 + h ELSE h END] AS seasonal_naive FROM rec WHERE h > 0)"""
 
 
-def served(spark, sf):
+def served(spark, sf, panel):
     """Next two weeks: fixed linear model, seasonal naive, equal-weight blend."""
-    panel = B.panel(spark, sf)
     cases = FC.serving_cases(panel, _future(spark, sf, panel), list(S.EXOG))
     coef = F.array(*[F.lit(c) for c in FIXED_COEF])
     path = L.recurse_linear(F.col("hist"), F.col("future"), coef, list(S.LAGS), list(S.EXOG))
@@ -196,7 +195,7 @@ def served(spark, sf):
 )
 def served_forecast(spark, sf):
     """Forecast table after the last actual day."""
-    return B.rounded(served(spark, sf))
+    return B.rounded(served(spark, sf, B.gold(spark, sf)))
 
 
 @entry(
@@ -210,7 +209,7 @@ def forecast_interval(spark, sf):
     """Interval from the backtest's error deviation at the same step."""
     from dayloom.operators.backtest import mae_by_step
 
-    cases = fixed_cases(spark, sf)
+    cases = fixed_cases(B.gold(spark, sf))
     spread = mae_by_step(FC.to_long(cases, ["linear"])).select("series_id", "h", "sigma")
     rows = FC.to_wide(cases, ["linear"]).select("series_id", "origin", "h", "linear")
     return B.rounded(FC.with_interval(rows, spread, "linear", ["series_id"]))
@@ -229,7 +228,8 @@ def forecast_interval(spark, sf):
 )
 def forecast_chart(spark, sf):
     """Last 90 actuals and the forecasts anchored on the last one."""
-    out = R.forecast_chart(B.panel(spark, sf), served(spark, sf), ["linear", "ensemble"], unit=S.UNIT_SCALE)
+    panel = B.gold(spark, sf)
+    out = R.forecast_chart(panel, served(spark, sf, panel), ["linear", "ensemble"], unit=S.UNIT_SCALE)
     return out.withColumn("value", F.round("value", 10))
 
 
@@ -240,7 +240,7 @@ def forecast_chart(spark, sf):
 )
 def forward_total(spark, sf):
     """Total of the last seven forecast days with its range."""
-    return B.rounded(R.forward_total(served(spark, sf), "ensemble"))
+    return B.rounded(R.forward_total(served(spark, sf, B.gold(spark, sf)), "ensemble"))
 
 
 # --- fitted models ---
@@ -299,7 +299,7 @@ def resolved_order(spark, sf):
     """Cached lag set while younger than 90 days, else the new one (M6)."""
     facts = B.facts(spark, sf)
     ends = facts.groupBy("series_id").agg(F.max("ds").alias("last_ds"))
-    today = facts.agg(F.max("ds").alias("m")).scalar()
+    today = ends.agg(F.max("last_ds").alias("m")).scalar()
     age = F.substring("series_id", 1, 1).cast("int") * 30
     cached = ends.select(
         "series_id", F.array(F.lit(1), F.lit(7)).alias("lags"), F.date_sub(today, age).alias("search_date")
@@ -312,7 +312,7 @@ def resolved_order(spark, sf):
 @entry("linear_coefficients")
 def linear_coefficients(spark, sf):
     """Covariate effects with p-values and significance per series."""
-    fit = training.fit_linear_models(B.panel(spark, sf))
+    fit = training.fit_linear_models(B.gold(spark, sf))
     names = [FT.lag_name(k) for k in S.LAGS] + list(S.EXOG)
     return B.rounded(L.coefficient_table(fit, names).where(F.col("feature").isin(list(S.EXOG))))
 
@@ -321,28 +321,28 @@ def linear_coefficients(spark, sf):
 def linear_backtest(spark, sf):
     """Fitted linear model on the rolling origins."""
     return B.rounded(
-        FC.to_wide(training.linear_backtest(B.panel(spark, sf)), ["linear", "seasonal_naive", "persistence"])
+        FC.to_wide(training.linear_backtest(B.gold(spark, sf)), ["linear", "seasonal_naive", "persistence"])
     )
 
 
 @entry("holdout_predictions")
 def holdout_predictions(spark, sf):
     """Both families' recursive forecasts of the last 30 days."""
-    paths = training.holdout_paths(B.panel(spark, sf), n_trees=QUERY_TREES)
+    paths = training.holdout_paths(B.gold(spark, sf), n_trees=QUERY_TREES)
     return B.rounded(FC.to_long(paths, ["linear", "trees"]))
 
 
 @entry("tree_backtest")
 def tree_backtest(spark, sf):
     """Both families and the ensemble on the rolling origins."""
-    cases = training.full_backtest(B.panel(spark, sf), n_trees=QUERY_TREES)
+    cases = training.full_backtest(B.gold(spark, sf), n_trees=QUERY_TREES)
     return B.rounded(FC.to_wide(cases, ["linear", "trees", "ensemble", "seasonal_naive", "persistence"]))
 
 
 @entry("tree_importance")
 def tree_importance(spark, sf):
     """Permutation importance on the last 30 days."""
-    rows = feature_table(B.panel(spark, sf)).withColumn("_back", FT.days_from_end())
+    rows = feature_table(B.gold(spark, sf)).withColumn("_back", FT.days_from_end())
     model = T.fit_trees(rows.where("_back >= 30"), trees=QUERY_TREES)
     return B.rounded(T.permutation_importance(model, rows.where("_back < 30")))
 
@@ -352,7 +352,7 @@ def served_ensemble(spark, sf):
     """Two weeks ahead from both fitted families with interval and lineage."""
     from dayloom.operators.backtest import mae_by_step
 
-    panel = B.panel(spark, sf)
+    panel = B.gold(spark, sf)
     rows = feature_table(panel)
     model = T.fit_trees(rows, trees=QUERY_TREES)
     coef = training.fit_linear_models(panel, held_back=0)

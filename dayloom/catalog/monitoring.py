@@ -11,6 +11,7 @@ from dayloom.functions import errors as E
 from dayloom.operators import forecast as FC
 from dayloom.operators import monitor as M
 from dayloom.operators import reports as R
+from dayloom.operators.features import whole
 from dayloom.plans import monitoring as plan
 from dayloom.plans import training
 from dayloom.plans.gold import WEATHER
@@ -70,7 +71,7 @@ def forecast_snapshots(spark, sf):
 )
 def live_errors(spark, sf):
     """Past forecast days of the newest eight runs against actuals."""
-    panel = B.panel(spark, sf)
+    panel = B.gold(spark, sf)
     out = M.live_errors(snapshots(spark, sf, panel), panel, today_of(panel))
     out = out.select(
         "series_id", "run_date", "ds", "horizon", "ensemble", "seasonal_naive", "actual", "error",
@@ -86,7 +87,7 @@ def live_errors(spark, sf):
 )
 def live_metrics(spark, sf):
     """MAE, MAPE, days and runs of the live window."""
-    panel = B.panel(spark, sf)
+    panel = B.gold(spark, sf)
     live = M.live_errors(snapshots(spark, sf, panel), panel, today_of(panel))
     return B.rounded(M.live_metrics(live), 9, rolling_mape_pct=6)
 
@@ -98,7 +99,7 @@ def live_metrics(spark, sf):
 )
 def scatter_axis_range(spark, sf):
     """Common axis of forecast and actual."""
-    panel = B.panel(spark, sf)
+    panel = B.gold(spark, sf)
     live = M.live_errors(snapshots(spark, sf, panel), panel, today_of(panel))
     return B.rounded(R.axis_range(live, "actual", "ensemble"))
 
@@ -155,11 +156,9 @@ TRIGGERS = f"""{RECOMMENDED},
 
 
 def recommended(panel):
-    mean = F.round(F.avg("y"), 2)
-    av = panel.groupBy("series_id").agg(mean.alias("m"))
-    return panel.join(av, "series_id").where(F.abs(F.col("y") - F.col("m")) > 1.5 * F.col("m")).select(
-        "series_id", "ds"
-    )
+    mean = F.round(F.avg("y").over(whole()), 2)
+    far = panel.withColumn("m", mean).where(F.abs(F.col("y") - F.col("m")) > 1.5 * F.col("m"))
+    return far.select("series_id", "ds")
 
 
 @entry(
@@ -201,7 +200,7 @@ def last_trigger(spark, sf):
 )
 def monitoring_report(spark, sf):
     """Live error, drift, retrain decision with cooldown."""
-    panel = B.panel(spark, sf)
+    panel = B.gold(spark, sf)
     strict = F.when(F.substring("series_id", 1, 1).isin("1", "2"), 0.05).otherwise(1.0)
     baseline = panel.groupBy("series_id").agg(F.round(F.avg("y") / 1e6, 6).alias("_m")).select(
         "series_id", (F.col("_m") * strict).alias("training_mae")

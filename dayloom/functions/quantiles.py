@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 
 def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], intervals: int = 1000
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], intervals: int = 1024
 ) -> DataFrame:
     """One row per key with one column per entry of ``probs`` (linear interpolation)."""
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(
@@ -27,7 +27,10 @@ def exact_percentiles(
         F.count("*").alias("_total"),
     )
     # Interval of a value: how many cut points lie below it.
-    placed = _null_safe_join(counted, cuts, keys).withColumn("_bin", _position("_cuts", "_v"))
+    coarse = F.filter("_cuts", lambda c, i: i % _BLOCK == _BLOCK - 1)
+    cuts = cuts.withColumn("_coarse", coarse)
+    placed = _null_safe_join(counted, cuts, keys).withColumn("_bin", _position())
+    placed = placed.drop("_cuts", "_coarse")
 
     sizes = placed.groupBy(*keys, "_bin").agg(
         F.sum("_n").alias("_size"), F.first("_total").alias("_total")
@@ -79,8 +82,15 @@ def _interpolated(mine: Column, lower: Column, upper: Column) -> Column:
     return low + (high - low) * (pos - F.floor(pos))
 
 
-def _position(cuts: str, value: str) -> Column:
-    return F.size(F.filter(F.col(cuts), lambda c: c < F.col(value)))
+# Cut points per block: a position is found block first, then inside the block.
+_BLOCK = 32
+
+
+def _position() -> Column:
+    v = F.col("_v")
+    block = F.size(F.filter("_coarse", lambda c: c < v))
+    inside = F.slice("_cuts", block * _BLOCK + 1, _BLOCK)
+    return block * _BLOCK + F.size(F.filter(inside, lambda c: c < v))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "dayloom", shuffle: int = 8) -> SparkSession:
@@ -37,3 +37,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="dayloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Writes an intermediate table to the shared folder and reads it back. Cuts the lineage
+    where several branches need the same table, so its inputs are scanned once; the files
+    survive the loss of an executor."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
