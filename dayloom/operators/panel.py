@@ -62,20 +62,12 @@ def rollup_hierarchy(facts: DataFrame, levels: list[str], value: str = "y") -> D
     """Grand total, each level and the leaves per day, in one pass: facts are brought to one
     row per leaf and day first, so the rollup expands only those."""
     leaves = rollup_daily(facts, levels, [value])
-    sets = [levels[:i] for i in range(len(levels) + 1)]
-    slots = F.array(
-        *[
-            F.struct(
-                *[(F.col(c) if c in kept else F.lit(None).cast("string")).alias(c) for c in levels],
-                F.lit(len(kept)).alias("level"),
-            )
-            for kept in sets
-        ]
-    )
+    sets = [[*levels[:i], "ds"] for i in range(len(levels) + 1)]
+    level = sum((F.lit(1) - F.grouping(c) for c in levels), F.lit(0)).cast("int")
     return (
-        leaves.select("ds", F.col(value), F.explode(slots).alias("_s"))
-        .groupBy(*[F.col(f"_s.{c}").alias(c) for c in levels], F.col("_s.level").alias("level"), "ds")
-        .agg(F.round(F.sum(value), 6).alias(value))
+        leaves.groupingSets(sets, *levels, "ds")
+        .agg(level.alias("level"), F.round(F.sum(value), 6).alias(value))
+        .select(*levels, "level", "ds", value)
     )
 
 

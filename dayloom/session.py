@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -24,6 +23,9 @@ def local_session(cpus: int | str = "*", app: str = "dayloom", shuffle: int = 8)
     )
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the cluster's ``spark.checkpoint.dir``.
 
@@ -32,11 +34,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="dayloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+        root = _LOCAL_ROOTS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="dayloom-"))
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

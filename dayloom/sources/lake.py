@@ -36,7 +36,7 @@ COVARIATES = StructType(
 def file_end_date(name: Column) -> Column:
     """Last date in a file name ``…_<start>_<end>.<ext>``; long ago if there is none."""
     text = F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})[^_/]*$", 1)
-    return F.coalesce(F.try_to_date(text, F.lit("yyyy-MM-dd")), F.lit(S.NO_DATE).cast("date"))
+    return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.lit(S.NO_DATE).cast("date"))
 
 
 def list_files(spark: SparkSession, path: str, extension: str) -> DataFrame:
@@ -55,9 +55,9 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header, columns matched by name. ``newer_than`` skips whole files: the
     filter is on the file name, which Spark checks before it opens a file."""
-    names = spark.read.option("header", True).csv(path).columns
-    raw = spark.read.option("header", True).csv(path)
-    missing = {f.name for f in schema} - set(names)
+    # Files whose header differs from the first one's are an error, not misread columns.
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    missing = {f.name for f in schema} - set(raw.columns)
     if missing:
         raise ValueError(f"missing required columns: {sorted(missing)}")
     df = raw.select(

@@ -3,10 +3,10 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -86,9 +86,9 @@ def append_silver(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = None
-        if _exists(spark, silver_path):
-            stored = spark.read.parquet(silver_path).where(F.col(BATCH) < batch_id)
+        stored = _stored(spark, silver_path)
+        if stored is not None:
+            stored = stored.where(F.col(BATCH) < batch_id)
         top = None if stored is None else stored.agg(F.max("ds")).first()[0]
         floor = F.date_sub(F.lit(top or S.NO_DATE).cast("date"), late_days)
         fresh = newer_than(batch, floor).dropDuplicates()
@@ -113,9 +113,14 @@ def append_silver(
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table under a path, or None before its first write."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 TRIGGERS = "series_id string, trigger_date date"
