@@ -309,20 +309,75 @@ def resolved_order(spark, sf):
     return out.withColumn("lags", F.array_join(F.col("lags").cast("array<string>"), ","))
 
 
-@entry("linear_coefficients")
+# Least squares in SQL: scaled covariates, normal equations, Gauss–Jordan elimination on
+# [X'X | X'y | I]. fit(series_id, n, yy, m): m[i][11] is a coefficient, m[i][11 + i] the
+# inverse's diagonal.
+_SCALED = ", ".join(
+    f"(g.{c} - b.{c}0) / CASE WHEN b.{c}1 > b.{c}0 THEN b.{c}1 - b.{c}0 ELSE 1 END AS {c}" for c in S.EXOG
+)
+_BOUNDS = ", ".join(f"MIN({c}) AS {c}0, MAX({c}) AS {c}1" for c in S.EXOG)
+_VECTOR = "[1.0::DOUBLE, " + ", ".join(f"LAG(v, {k}) {B.W}" for k in S.LAGS) + ", temp, precip, snow_lag1, is_holiday]"
+
+FIT = f"""{BASE},
+    bk AS (SELECT *, MAX(ds) OVER (PARTITION BY series_id) - ds AS back FROM gold),
+    bd AS (SELECT series_id, {_BOUNDS} FROM bk WHERE back >= 90 GROUP BY 1),
+    sc AS (SELECT g.series_id, g.ds, g.back, g.y / 1e6 AS v, {_SCALED} FROM bk g JOIN bd b ON b.series_id = g.series_id),
+    vec AS (SELECT series_id, back, v, LAG(v, 14) {B.W} AS deepest, {_VECTOR} AS f FROM sc),
+    obs AS (SELECT series_id, v, f FROM vec WHERE back >= 90 AND deepest IS NOT NULL),
+    ix AS (SELECT CAST(UNNEST(range(1, 11)) AS INTEGER) AS i),
+    gram AS (SELECT o.series_id, a.i, b.i AS j, SUM(o.f[a.i] * o.f[b.i]) AS s FROM obs o CROSS JOIN ix a CROSS JOIN ix b GROUP BY 1, 2, 3),
+    rhs AS (SELECT o.series_id, a.i, SUM(o.f[a.i] * o.v) AS s FROM obs o CROSS JOIN ix a GROUP BY 1, 2),
+    tot AS (SELECT series_id, COUNT(*) AS n, SUM(v * v) AS yy FROM obs GROUP BY 1),
+    lines AS (SELECT g.series_id, g.i, list_concat(list(g.s ORDER BY g.j), [ANY_VALUE(r.s)],
+        list_transform(range(1, 11), lambda c: CASE WHEN c = g.i THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)) AS line
+      FROM gram g JOIN rhs r ON r.series_id = g.series_id AND r.i = g.i GROUP BY 1, 2),
+    gj AS (SELECT series_id, 1 AS k, list(line ORDER BY i) AS m FROM lines GROUP BY 1
+      UNION ALL
+      SELECT series_id, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / m[k][k])
+        ELSE list_transform(r, lambda x, c: x - r[k] * m[k][c] / m[k][k]) END) FROM gj WHERE k <= 10),
+    fit AS (SELECT g.series_id, t.n, t.yy, g.m FROM gj g JOIN tot t ON t.series_id = g.series_id WHERE g.k = 11),
+    rs AS (SELECT r.series_id, SUM(r.s * f.m[r.i][11]) AS explained FROM rhs r JOIN fit f ON f.series_id = r.series_id GROUP BY 1)"""
+
+_FITTED = "f.m[1][11]" + "".join(
+    f" + f.m[{i}][11] * r.path[len(r.path) - {k} + 1]" for i, k in enumerate(S.LAGS, start=2)
+) + "".join(f" + f.m[{i}][11] * s.{c}" for i, c in enumerate(S.EXOG, start=7))
+
+
+@entry(
+    "linear_coefficients",
+    f"""WITH RECURSIVE {FIT}, e AS (SELECT f.series_id, x.i, f.m[x.i][11] AS b,
+      SQRT(f.m[x.i][11 + x.i] * (f.yy - rs.explained) / (f.n - 10)) AS se
+      FROM fit f JOIN rs ON rs.series_id = f.series_id, ix x WHERE x.i > 6)
+    SELECT series_id, ['temp', 'precip', 'snow_lag1', 'is_holiday'][i - 6] AS feature, ROUND(b, 7) + 0.0 AS coefficient,
+      ROUND(se, 7) AS std_err, CASE WHEN ABS(b / se) > 1.959963984540054 THEN 1 ELSE 0 END AS is_significant,
+      CASE WHEN b >= 0 THEN 'raises' ELSE 'lowers' END AS direction FROM e""",
+)
 def linear_coefficients(spark, sf):
-    """Covariate effects with p-values and significance per series."""
+    """Covariate effects and their significance per series."""
     fit = training.fit_linear_models(B.gold(spark, sf))
     names = [FT.lag_name(k) for k in S.LAGS] + list(S.EXOG)
-    return B.rounded(L.coefficient_table(fit, names).where(F.col("feature").isin(list(S.EXOG))))
+    table = L.coefficient_table(fit, names).where(F.col("feature").isin(list(S.EXOG)))
+    return B.rounded(table.drop("p_value"), 7)
 
 
-@entry("linear_backtest")
+@entry(
+    "linear_backtest",
+    f"""WITH RECURSIVE {FIT},
+    hist AS (SELECT o.series_id, o.origin, list(g.y / 1e6 ORDER BY g.ds) AS path
+      FROM o JOIN gold g ON g.series_id = o.series_id AND g.ds BETWEEN o.origin - 13 AND o.origin GROUP BY 1, 2),
+    rec AS (SELECT series_id, origin, 0 AS h, path FROM hist
+      UNION ALL
+      SELECT r.series_id, r.origin, r.h + 1, list_append(r.path, {_FITTED})
+      FROM rec r JOIN fit f ON f.series_id = r.series_id
+        JOIN sc s ON s.series_id = r.series_id AND s.ds = r.origin + r.h + 1 WHERE r.h < 14)
+    SELECT b.series_id, b.origin, b.h, b.ds, ROUND(r.path[len(r.path)], 7) AS linear, ROUND(seasonal_naive, 12) AS seasonal_naive,
+      ROUND(persistence, 12) AS persistence, ROUND(y, 12) AS y
+    FROM base b JOIN rec r ON r.series_id = b.series_id AND r.origin = b.origin AND r.h = b.h""",
+)
 def linear_backtest(spark, sf):
-    """Fitted linear model on the rolling origins."""
-    return B.rounded(
-        FC.to_wide(training.linear_backtest(B.gold(spark, sf)), ["linear", "seasonal_naive", "persistence"])
-    )
+    """Linear model fitted per series before the window, on the rolling origins."""
+    cases = training.linear_backtest(B.gold(spark, sf))
+    return B.rounded(FC.to_wide(cases, ["linear", "seasonal_naive", "persistence"]), 12, linear=7)
 
 
 @entry("holdout_predictions")

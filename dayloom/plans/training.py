@@ -20,9 +20,10 @@ CASE_COVARIATES = sorted({*EXOG, *trees.WEATHER, "is_holiday"})
 
 
 def scaled_training_rows(daily: DataFrame, held_back: int, keys=SERIES) -> DataFrame:
-    """Feature rows with the target in units and covariates scaled on the training part."""
-    rows = feature_panel(daily, keys).withColumn("_back", days_from_end(keys))
-    rows = scale_columns(rows, EXOG, F.col("_back") >= held_back, keys)
+    """Feature rows with the target in units and scaled covariates. The scaler sees every
+    day before the held-back part, as it does when the forecast cases are scaled."""
+    scaled = scale_columns(daily, EXOG, days_from_end(keys) >= held_back, keys)
+    rows = feature_panel(scaled, keys).withColumn("_back", days_from_end(keys))
     return rows.withColumn("target", F.col("y") / S.UNIT_SCALE)
 
 
