@@ -14,6 +14,7 @@ from dayloom.operators import reports as R
 from dayloom.operators import trees as T
 from dayloom.plans import prediction, training
 from dayloom.plans.gold import feature_table
+from dayloom.session import stage
 
 # Trees per fit in the registered queries; the library default is larger.
 QUERY_TREES = 5
@@ -394,10 +395,17 @@ def tree_backtest(spark, sf):
     return B.rounded(FC.to_wide(cases, ["linear", "trees", "ensemble", "seasonal_naive", "persistence"]))
 
 
+@entry("tree_cv_scores")
+def tree_cv_scores(spark, sf):
+    """Boosted trees on five expanding folds."""
+    rows = stage(feature_table(B.panel(spark, sf)), "features")
+    return B.rounded(T.cross_validate_trees(rows, trees=QUERY_TREES))
+
+
 @entry("tree_importance")
 def tree_importance(spark, sf):
     """Permutation importance on the last 30 days."""
-    rows = feature_table(B.gold(spark, sf)).withColumn("_back", FT.days_from_end())
+    rows = stage(feature_table(B.panel(spark, sf)), "features").withColumn("_back", FT.days_from_end())
     model = T.fit_trees(rows.where("_back >= 30"), trees=QUERY_TREES)
     return B.rounded(T.permutation_importance(model, rows.where("_back < 30")))
 
@@ -409,7 +417,9 @@ def served_ensemble(spark, sf):
 
     panel = B.gold(spark, sf)
     rows = feature_table(panel)
-    model = T.fit_trees(rows, trees=QUERY_TREES)
+    # The number of trees comes from a validation tail, the model from all rows.
+    _, count = T.fit_with_early_stop(rows, trees=QUERY_TREES)
+    model = T.fit_trees(rows, trees=count)
     coef = training.fit_linear_models(panel, held_back=0)
     bounds = FT.scale_bounds(panel, list(S.EXOG), F.lit(True))
     spread = mae_by_step(FC.to_long(training.linear_backtest(panel), ["linear"]))

@@ -114,7 +114,7 @@ def distinct_union(spark, sf):
 )
 def covered_dimension(spark, sf):
     """Covariate days that occur in the facts."""
-    return B.weather(spark, sf).join(B.facts(spark, sf).select("ds"), "ds", "left_semi")
+    return P.covered_days(B.weather(spark, sf), B.facts(spark, sf))
 
 
 @entry(

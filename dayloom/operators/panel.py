@@ -91,6 +91,12 @@ def join_covariates(facts: DataFrame, dim: DataFrame) -> DataFrame:
     return facts.join(dim, "ds", "left")
 
 
+def covered_days(dim: DataFrame, facts: DataFrame) -> DataFrame:
+    """Rows of a daily dimension whose day occurs in the facts. The facts are reduced to
+    their distinct days map-side, so the join sees one row per day, not per fact."""
+    return dim.join(facts.select("ds").distinct(), "ds", "left_semi")
+
+
 def newer_than(df: DataFrame, watermark: Column) -> DataFrame:
     return df.where(F.col("ds") > watermark)
 
@@ -116,7 +122,7 @@ def merge_silver(
     require_columns(facts, {"ds", "y"})
     require_columns(covariates, {"ds"})
     fresh = newer_than(facts, high_watermark(existing, late_days)).dropDuplicates()
-    days = latest_per_day(covariates.join(fresh.select("ds"), "ds", "left_semi"), arrival)
+    days = latest_per_day(covered_days(covariates, fresh), arrival)
     merged = join_covariates(fresh, days)
     kept = existing
     if late_days:

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayloom import settings as S
-from dayloom.functions import calendar as C
-from dayloom.operators.features import SERIES, lag_name
+from dayloom.operators.features import SERIES, days_from_end, lag_name, test_fold
+from dayloom.operators.panel import union_all
 
 CALENDAR = ["day_of_week", "month", "is_weekend", "is_holiday"]
 WEATHER = ["temp", "precip", "snow", "snow_lag1", "temp_lag1", "precip_lag1"]
@@ -20,19 +20,19 @@ HISTORY = [lag_name(k) for k in S.LAGS] + ["y_mean14", "y_std7"]
 TREE_FEATURES = CALENDAR + WEATHER + HISTORY
 
 
+def _training_set(rows: DataFrame, features: list[str], unit: float) -> DataFrame:
+    label = (F.col("y") / unit).alias("label")
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    return assembler.transform(rows.select(*features, label)).select("features", "label")
+
+
 def fit_trees(
     rows: DataFrame,
-    is_validation: Column | None = None,
     features: list[str] = TREE_FEATURES,
     trees: int = S.TREES,
     unit: float = S.UNIT_SCALE,
     seed: int = S.TREE_SEED,
 ) -> GBTRegressionModel:
-    """Fits on all rows, or, given ``is_validation``, stops early on those rows."""
-    cols = [*features, (F.col("y") / unit).alias("label")]
-    if is_validation is not None:
-        cols.append(is_validation.alias("is_validation"))
-    train = VectorAssembler(inputCols=features, outputCol="features").transform(rows.select(*cols))
     gbt = GBTRegressor(
         maxIter=trees,
         maxDepth=S.TREE_DEPTH,
@@ -41,24 +41,69 @@ def fit_trees(
         seed=seed,
         featureSubsetStrategy="0.8",
     )
-    kept = ["features", "label"]
-    if is_validation is not None:
-        gbt = gbt.setValidationIndicatorCol("is_validation")
-        kept.append("is_validation")
-    train = train.select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
+    train = _training_set(rows, features, unit).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return gbt.fit(train)
     finally:
         train.unpersist()
 
 
-def fit_with_early_stop(train: DataFrame, days: int = S.HOLDOUT_DAYS, keys: list[str] = SERIES, **kw):
-    """Chooses the number of trees on the last ``days`` of the training rows; the caller's
-    holdout is not looked at."""
-    from dayloom.operators.features import days_from_end
+def best_tree_count(errors: list[float], patience: int = S.TREE_PATIENCE) -> int:
+    """Number of trees at the lowest error, looking no further than ``patience`` trees
+    without an improvement."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
+
+def fit_with_early_stop(
+    train: DataFrame,
+    days: int = S.HOLDOUT_DAYS,
+    keys: list[str] = SERIES,
+    features: list[str] = TREE_FEATURES,
+    trees: int = S.TREES,
+    unit: float = S.UNIT_SCALE,
+) -> tuple[GBTRegressionModel, int]:
+    """Fits on all but the last ``days`` of the training rows and chooses the number of
+    trees there; the caller's holdout is not looked at. Returns the model cut to that
+    number, and the number, for a refit on all rows."""
     marked = train.withColumn("_val", days_from_end(keys) < days)
-    return fit_trees(marked, F.col("_val"), **kw)
+    inner = marked.where(~F.col("_val"))
+    model = fit_trees(inner, features, trees, unit)
+    validation = _training_set(marked.where("_val"), features, unit)
+    count = best_tree_count(model.evaluateEachIteration(validation, "absolute"))
+    if count < trees:
+        model = fit_trees(inner, features, count, unit)
+    return model, count
+
+
+def cross_validate_trees(
+    rows: DataFrame,
+    splits: int = S.CV_SPLITS,
+    keys: list[str] = SERIES,
+    features: list[str] = TREE_FEATURES,
+    trees: int = S.TREES,
+    unit: float = S.UNIT_SCALE,
+) -> DataFrame:
+    """MAE of every expanding-window fold. The loop is over the folds; each fit and each
+    score is a job over all series."""
+    folds = rows.withColumn("_fold", test_fold(splits, keys))
+    scores = []
+    for fold in range(1, splits + 1):
+        model = fit_trees(folds.where(F.col("_fold") < fold), features, trees, unit)
+        tested = model.transform(_training_set(folds.where(F.col("_fold") == fold), features, unit))
+        scores.append(
+            tested.agg(
+                F.lit(fold).alias("fold"),
+                F.count("*").alias("n_rows"),
+                F.avg(F.abs(F.col("prediction") - F.col("label"))).alias("mae"),
+            )
+        )
+    return union_all(scores)
 
 
 def forecast_trees(
@@ -71,41 +116,40 @@ def forecast_trees(
     repeats just its own cases and no checkpoint is needed.
     """
     df = cases.withColumn("_path", F.col("hist"))
+    scorer = model.setFeaturesCol("_x").setPredictionCol("_yhat")
     for h in range(1, horizon + 1):
-        vector = array_to_vector(F.array(*[x.cast("double") for x in _step_features(h)]))
-        df = df.withColumn("_x", vector)
-        scored = model.setFeaturesCol("_x").setPredictionCol("_yhat").transform(df)
-        df = scored.withColumn("_path", F.concat("_path", F.array("_yhat"))).drop("_x", "_yhat")
+        scored = scorer.transform(df.select("*", array_to_vector(_step_features(h)).alias("_x")))
+        kept = [F.col(c) for c in df.columns if c != "_path"]
+        df = scored.select(*kept, F.expr("concat(_path, array(_yhat))").alias("_path"))
     return df.withColumn(name, F.slice("_path", -horizon, horizon)).drop("_path")
 
 
-def _step_features(h: int) -> list[Column]:
+def _step_features(h: int) -> Column:
     """Features of step h in the order of TREE_FEATURES. Lags and rolling statistics see
     known history followed by earlier predictions, never a later actual."""
-    path, now = F.col("_path"), F.get("future", h - 1)
-    day = F.date_add("origin", h)
-    size = F.size(path)
+    day = f"date_add(origin, {h})"
     calendar = [
-        C.day_of_week(day),
-        F.month(day),
-        C.is_weekend(day),
-        now["is_holiday"],
+        f"weekday({day})",
+        f"month({day})",
+        f"int(weekday({day}) >= 5)",
+        f"get(future, {h - 1}).is_holiday",
     ]
-    weather = [now[c] for c in WEATHER]
-    lags = [F.get(path, size - k) for k in S.LAGS]
-    return calendar + weather + lags + [_mean(path, S.MEAN_WINDOW), _sample_std(path, S.STD_WINDOW)]
+    weather = [f"get(future, {h - 1}).{c}" for c in WEATHER]
+    lags = [f"get(_path, size(_path) - {k})" for k in S.LAGS]
+    mean = _mean_sql(S.MEAN_WINDOW)
+    off = f"(v - {_mean_sql(S.STD_WINDOW)})"
+    squares = f"aggregate({_tail_sql(S.STD_WINDOW)}, 0D, (a, v) -> a + {off} * {off})"
+    spread = f"sqrt({squares} / {S.STD_WINDOW - 1})"
+    entries = calendar + weather + lags + [mean, spread]
+    return F.expr("array(" + ", ".join(f"double({e})" for e in entries) + ")")
 
 
-def _mean(path: Column, n: int) -> Column:
-    last = F.slice(path, -n, n)
-    return F.aggregate(last, F.lit(0.0), lambda a, v: a + v) / n
+def _tail_sql(n: int) -> str:
+    return f"slice(_path, -{n}, {n})"
 
 
-def _sample_std(path: Column, n: int) -> Column:
-    centre = _mean(path, n)
-    last = F.slice(path, -n, n)
-    squares = F.aggregate(last, F.lit(0.0), lambda a, v: a + (v - centre) * (v - centre))
-    return F.sqrt(squares / (n - 1))
+def _mean_sql(n: int) -> str:
+    return f"(aggregate({_tail_sql(n)}, 0D, (s, w) -> s + w) / {n})"
 
 
 def permutation_importance(

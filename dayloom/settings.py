@@ -44,6 +44,7 @@ TREE_DEPTH = 5
 TREE_RATE = 0.05
 TREE_SUBSAMPLE = 0.8
 TREE_SEED = 42
+TREE_PATIENCE = 50
 
 # Significance.
 N_BOOT = 10_000

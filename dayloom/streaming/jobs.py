@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dayloom import settings as S
-from dayloom.operators.panel import join_covariates, latest_per_day, newer_than
+from dayloom.operators.panel import covered_days, join_covariates, latest_per_day, newer_than
 from dayloom.session import shared_dir
 from dayloom.sources.lake import write_partitions
 
@@ -56,10 +56,21 @@ def daily_totals(events: DataFrame, dims: list[str], ts: str = "ts", value: str
     )
 
 
+def thinned(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Drops repeats of a key inside each Arrow batch, before any shuffle. Keyed state has no
+    map-side combine; without this, a key with a third of all rows goes to one task whole."""
+
+    def first_of_batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.drop_duplicates(keys)
+
+    return rows.mapInPandas(first_of_batch, rows.schema)
+
+
 def distinct_arrivals(events: DataFrame, keys: list[str], ts: str = "ts", lateness: str = "2 days"):
     """First arrival per key; state is dropped once the watermark passes."""
     return (
-        events.withColumn(ts, F.col(ts).cast("timestamp"))
+        thinned(events.withColumn(ts, F.col(ts).cast("timestamp")), keys)
         .withWatermark(ts, lateness)
         .dropDuplicatesWithinWatermark(keys)
     )
@@ -92,13 +103,12 @@ def append_silver(
         top = None if stored is None else stored.agg(F.max("ds")).first()[0]
         floor = F.date_sub(F.lit(top or S.NO_DATE).cast("date"), late_days)
         fresh = newer_than(batch, floor).dropDuplicates()
-        needed = covariates.join(fresh.select("ds"), "ds", "left_semi")
-        gated = latest_per_day(needed, F.col(arrival)).drop(arrival)
+        gated = latest_per_day(covered_days(covariates, fresh), F.col(arrival)).drop(arrival)
         rows = join_covariates(fresh, gated)
         if late_days and top is not None:
             # Late rows join those already stored for their day; staged, because a table
             # cannot be read and overwritten in one job.
-            again = stored.drop(BATCH).join(fresh.select("ds"), "ds", "left_semi")
+            again = covered_days(stored.drop(BATCH), fresh)
             staged = shared_dir(spark, "silver-batch")
             again.unionByName(rows).dropDuplicates().write.parquet(staged)
             rows = spark.read.parquet(staged)
@@ -145,6 +155,7 @@ def retrain_triggers(recommended: DataFrame, cooldown: int = S.COOLDOWN_DAYS) ->
             state.update((last,))
         yield pd.DataFrame({"series_id": [key[0]] * len(fired), "trigger_date": fired})
 
-    return recommended.groupBy("series_id").applyInPandasWithState(
+    days = thinned(recommended.select("series_id", "ds"), ["series_id", "ds"])
+    return days.groupBy("series_id").applyInPandasWithState(
         fold, TRIGGERS, STATE, "append", GroupStateTimeout.NoTimeout
     )

@@ -130,6 +130,12 @@ def numpy_tree_path(model, case, horizon):
     return path[-horizon:]
 
 
+def test_tree_count():
+    assert T.best_tree_count([5, 4, 3, 3, 2.9, 6], patience=50) == 5
+    assert T.best_tree_count([5, 4, 4, 4, 1], patience=2) == 2
+    assert T.best_tree_count([1.0]) == 1
+
+
 def test_trees_and_serving(spark, make_panel):
     panel = daily_panel(make_panel({"a": weekly(200), "b": weekly(160, seed=2)})).cache()
     cases = training.full_backtest(panel, n_trees=3)
