@@ -261,12 +261,12 @@ GATE = f"""{RUNS},
 
 @entry(
     "promotion_gate",
-    f"""WITH {GATE} SELECT model, new_version, ROUND(new_mae, 9) AS new_mae, prod_version, ROUND(prod_mae, 9) AS prod_mae, decision,
+    f"""WITH {GATE} SELECT model, new_version, new_mae, prod_version, prod_mae, decision,
       CASE WHEN decision IN ('first', 'promoted') THEN new_version ELSE prod_version END AS serving_version FROM gate""",
 )
 def promotion_gate(spark, sf):
     """Newest against Production version of every model."""
-    return B.rounded(RG.promotion_gate(model_runs(spark, sf)).drop("prod_run_id"))
+    return RG.promotion_gate(model_runs(spark, sf)).drop("prod_run_id")
 
 
 @entry(

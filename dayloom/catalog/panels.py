@@ -183,7 +183,7 @@ def common_status_per_priority(spark, sf):
 @entry(
     "span_summary",
     f"""WITH {B.FACTS} SELECT series_id, MIN(ds) AS first_ds, MAX(ds) AS last_ds, COUNT(*) AS n_days,
-      CAST(MAX(ds) - MIN(ds) + 1 AS INTEGER) AS span_days, ROUND(SUM(y) / 1e6, 6) AS total_m
+      CAST(MAX(ds) - MIN(ds) + 1 AS INTEGER) AS span_days, ROUND(SUM(y), 2) / 1e6 AS total_m
     FROM facts GROUP BY 1""",
 )
 def span_summary(spark, sf):
@@ -193,7 +193,7 @@ def span_summary(spark, sf):
         F.max("ds").alias("last_ds"),
         F.count("*").alias("n_days"),
         (F.datediff(F.max("ds"), F.min("ds")) + 1).alias("span_days"),
-        F.round(F.sum("y") / 1_000_000, 6).alias("total_m"),
+        (F.round(F.sum("y"), 2) / 1_000_000).alias("total_m"),
     )
 
 
