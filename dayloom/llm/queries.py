@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from dayloom.llm.jaccard_join import op10
 from dayloom.llm.quality_rules import op3
 from dayloom.llm.shards import op1
+from dayloom.llm.toxicity import op5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1,
     "op3_divergence_rules": op3,
+    "op5_toxic_lexicon": op5,
     "op10_jaccard_join": op10,
 }
 ORACLES: dict[str, str] = {}
