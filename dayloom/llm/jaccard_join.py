@@ -17,7 +17,9 @@ ORDERS = 3
 #: Cells of the table of shingle frequencies that the orders use: its size is fixed.
 FREQUENCY_BITS = 18
 #: Star rounds before the remaining pairs are listed.
-STAR_ROUNDS = 4
+STAR_ROUNDS = 3
+#: Most keys that are sent to all executors in place of a shuffle of texts.
+SENT_KEYS = 1 << 20
 
 
 def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -35,8 +37,15 @@ def frequencies(docs: DataFrame, text: str, k: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(size, np.int64)
         for batch in batches:
+            kept, many = [], 0
             for _, found in _sets(batch.column(0), k):
-                np.add.at(total, (found >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64), 1)
+                kept.append(_cell(found))
+                many += len(found)
+                if many > size:
+                    total += np.bincount(np.concatenate(kept), minlength=size)
+                    kept, many = [], 0
+            if kept:
+                total += np.bincount(np.concatenate(kept), minlength=size)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
@@ -47,81 +56,84 @@ def frequencies(docs: DataFrame, text: str, k: int) -> np.ndarray:
     return out
 
 
-def _prefixes(found: np.ndarray, seen: np.ndarray, percent: int) -> list[np.ndarray]:
-    """The first shingles of a set under each order. Two sets over the threshold share one of
-    them under every order. Rare shingles come first: by exact cell count in the first order,
-    by its magnitude in the others, each with its own scrambling."""
+def _cell(found: np.ndarray) -> np.ndarray:
+    return (found >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
+
+
+def _prefix(found: np.ndarray, seen: np.ndarray, percent: int, order: int) -> np.ndarray:
+    """The first shingles of a set under an order. Two sets over the threshold share one of
+    them under every order. Rare shingles come first: by exact cell count in order 0, by its
+    magnitude in the others, each with its own scrambling."""
     n = len(found)
-    if not n:
-        return [found] * ORDERS
-    length = n - -(-percent * n // 100) + 1
-    count = seen[(found >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]
-    out = []
-    for k in range(ORDERS):
-        rank = count if k == 0 else np.log2(count + 1).astype(np.int64)
-        first = np.lexsort((T.salted(found, k), rank))[:length]
-        out.append(np.sort(found[first]))
-    return out
+    length = n - -(-percent * n // 100) + 1 if n else 0
+    rank = seen[_cell(found)]
+    if order:
+        rank = np.log2(rank + 1).astype(np.int64)
+    return found[np.lexsort((T.salted(found, order), rank))[:length]]
 
 
-def signatures(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """``key, n, cls`` and the prefixes ``p0, p1, …`` of every row. ``cls`` is a 128-bit
-    fingerprint of the set, null for an empty one."""
-    spark = docs.sparkSession
-    seen = spark.sparkContext.broadcast(frequencies(docs, text, k))
+def _fingerprint(found: np.ndarray) -> bytes | None:
+    """128 bits that do not depend on the order of the set; null for an empty one."""
+    if not len(found):
+        return None
+    return np.array([T.salted(found, 8).sum(), T.salted(found, 9).sum()], np.uint64).tobytes()
+
+
+def signatures(docs: DataFrame, key: str, text: str, k: int, percent: int, seen) -> DataFrame:
+    """``key, n, cls, p0`` of every row: set size, fingerprint, prefix under order 0."""
 
     def sign(batches):
         for batch in batches:
-            n, cls, parts = [], [], [[] for _ in range(ORDERS)]
+            n, cls, first = [], [], []
             for _, found in _sets(batch.column(1), k):
                 n.append(len(found))
-                with np.errstate(over="ignore"):
-                    pair = np.array([T.salted(found, 8).sum(), T.salted(found, 9).sum()], np.uint64)
-                cls.append(pair.tobytes() if len(found) else None)
-                for out, p in zip(parts, _prefixes(found, seen.value, percent), strict=True):
-                    out.append(p)
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary())]
-            columns += [T.list_array(p) for p in parts]
-            names = [key, "n", "cls", *[f"p{i}" for i in range(ORDERS)]]
-            yield pa.RecordBatch.from_arrays(columns, names)
+                cls.append(_fingerprint(found))
+                first.append(_prefix(found, seen.value, percent, 0))
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), T.list_array(first)]
+            yield pa.RecordBatch.from_arrays(columns, [key, "n", "cls", "p0"])
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, n long, cls binary, " + ", ".join(f"p{i} array<long>" for i in range(ORDERS))
-    return docs.select(key, text).mapInArrow(sign, schema)
-
+    return docs.select(key, text).mapInArrow(sign, f"`{key}` {kind}, n long, cls binary, p0 array<long>")
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int):
-    """Of candidate pairs ``a, b`` of classes, those that pass the filters of all orders and
-    whose whole sets then reach the threshold."""
-    side = classes.select("cls", "n", *[f"p{i}" for i in range(1, ORDERS)])
 
-    def named(c):
-        return side.select(*[F.col(x).alias(c if x == "cls" else f"{x}_{c}") for x in side.columns])
-
-    kept = pairs.join(named("a"), "a").join(named("b"), "b")
-    for i in range(1, ORDERS):
-        kept = kept.where(F.arrays_overlap(f"p{i}_a", f"p{i}_b"))
-    kept = stage(kept.select("a", "b", "n_a", "n_b"), "candidates")
-    ends = kept.select(F.col("a").alias("cls")).union(kept.select(F.col("b").alias("cls"))).distinct()
-    wanted = ends.join(classes.select("cls", "owner"), "cls").select("cls", F.col("owner").alias(key))
+def _whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int, percent: int, seen) -> DataFrame:
+    """``cls, n, s`` and the prefixes ``p1, …`` (as 32-bit values) of the classes in ``wanted``,
+    which has ``cls, owner``; each is read again from the text of its owner."""
 
     def whole(batches):
         for batch in batches:
             found = [s for _, s in _sets(batch.column(1), k)]
-            pairs_ = [np.array([T.salted(s, 8).sum(), T.salted(s, 9).sum()], np.uint64).tobytes() for s in found]
-            names = ["cls", "own", "s"]
-            columns = [batch.column(0), pa.array(pairs_, pa.binary()), T.list_array(found)]
+            columns = [batch.column(0), pa.array([_fingerprint(s) for s in found], pa.binary())]
+            columns += [pa.array([len(s) for s in found], pa.int64()), T.list_array(found)]
+            for order in range(1, ORDERS):
+                firsts = [_prefix(s, seen.value, percent, order) for s in found]
+                columns.append(T.list_array([(p >> np.uint64(32)).astype(np.int32) for p in firsts], pa.int32()))
+            names = ["cls", "own", "n", "s", *[f"p{i}" for i in range(1, ORDERS)]]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    # a key may stand on several rows: only a row whose set is the class's own counts
-    texts = docs.select(F.struct(F.col(key)).alias("_k"), F.col(text).alias("_t"))
-    wanted = wanted.select("cls", F.struct(F.col(key)).alias("_k"))
-    sets = texts.join(wanted, "_k").select("cls", "_t").mapInArrow(whole, "cls binary, own binary, s array<long>")
-    sets = stage(sets.where("cls = own").dropDuplicates(["cls"]).select("cls", "s"), "sets")
-    both = kept.join(sets.select(F.col("cls").alias("a"), F.col("s").alias("s_a")), "a")
-    both = both.join(sets.select(F.col("cls").alias("b"), F.col("s").alias("s_b")), "b")
+    if wanted.count() <= SENT_KEYS:
+        wanted = F.broadcast(wanted)
+    texts = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
+    texts = texts.join(wanted, F.col("_k").eqNullSafe(F.col("owner"))).select("cls", "_t")
+    schema = "cls binary, own binary, n long, s array<long>, " + ", ".join(f"p{i} array<int>" for i in range(1, ORDERS))
+    sets = stage(texts.mapInArrow(whole, schema).where("cls = own").drop("own"), "sets")
+    # a key may stand on several rows with one text
+    once = sets.groupBy("cls").agg(F.count("*").alias("c")).where("c > 1")
+    return sets if once.isEmpty() else stage(sets.dropDuplicates(["cls"]), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of candidate pairs ``a, b`` of classes, those whose prefixes overlap under all further
+    orders and whose whole sets then reach the threshold."""
+
+    def named(c):
+        return sets.select(*[F.col(x).alias(c if x == "cls" else f"{x}_{c}") for x in sets.columns])
+
+    kept = pairs.join(named("a"), "a").join(named("b"), "b")
+    for i in range(1, ORDERS):
+        kept = kept.where(F.arrays_overlap(f"p{i}_a", f"p{i}_b"))
     common = F.size(F.array_intersect("s_a", "s_b"))
-    return both.where(common * 100 >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+    return kept.where(common * 100 >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
 def jaccard_components(
@@ -145,28 +157,30 @@ def jaccard_components(
     gives an empty one.
     """
     spark = docs.sparkSession
-    rows = stage(signatures(docs, key, text, k, percent), "prefixes")
-    owners = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min(key).alias("owner"), F.count("*").alias("copies"))
-    chosen = rows.where("cls IS NOT NULL").select("cls", F.col(key).alias("owner"), "n", *[f"p{i}" for i in range(ORDERS)])
-    classes = chosen.join(owners, (chosen.cls == owners.cls) & chosen.owner.eqNullSafe(owners.owner), "left_semi")
-    classes = stage(classes.dropDuplicates(["cls"]), "classes")
-    postings = classes.select("cls", "n", F.explode("p0").alias("token"))
+    seen = spark.sparkContext.broadcast(frequencies(docs, text, k))
+    rows = stage(signatures(docs, key, text, k, percent, seen), "prefixes")
+    filled = rows.where("cls IS NOT NULL")
+    owners = stage(filled.groupBy("cls").agg(F.min(key).alias("owner"), F.first("n").alias("n")), "owners")
     # only shingles that two classes share can make candidates
-    shared = postings.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    postings = stage(postings.join(shared, "token"), "postings")
+    short = filled.select(F.explode("p0").alias("token"), F.xxhash64("cls").alias("c"))
+    shared = short.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
+    postings = filled.select(F.explode("p0").alias("token"), "cls", "n").join(shared, "token")
+    postings = stage(postings.groupBy("token", "cls").agg(F.first("n").alias("n")), "postings")
     near = F.expr(f"least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b)")
-    links = spark.createDataFrame([], "a binary, b binary")
-    labels = spark.createDataFrame([], "node binary, component binary")
-    tried: DataFrame | None = None
+    links = labels = tried = None
     for turn in range(STAR_ROUNDS + 1):
-        placed = postings.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-        placed = placed.withColumn("comp", F.coalesce("component", "cls")).drop("component")
+        placed = postings.withColumn("comp", F.col("cls"))
+        if labels is not None:
+            placed = postings.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+            placed = placed.select("token", "cls", "n", F.coalesce("component", "cls").alias("comp"))
         groups = placed.groupBy("token").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"),
             F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("r"), "cls", "n", "comp")).alias("pivot"),
         )
-        groups = groups.where("lo <> hi")
-        open_ = placed.join(groups.select("token", "pivot"), "token")
+        open_ = stage(placed.join(groups.where("lo <> hi").select("token", "pivot"), "token"), "open")
+        if open_.isEmpty():
+            break
+        postings = open_.select("token", "cls", "n")
         if turn < STAR_ROUNDS:
             pairs = open_.select(
                 F.col("pivot.cls").alias("a"), F.col("pivot.n").alias("n_a"), F.col("cls").alias("b"),
@@ -181,12 +195,18 @@ def jaccard_components(
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
-        if turn == STAR_ROUNDS or not pairs.isEmpty():
-            found = stage(_verified(pairs, classes, docs, key, text, k, percent), "found")
-            tried = pairs if tried is None else tried.union(pairs)
-            if not found.isEmpty():
-                links = links.union(found)
-                labels = stage(components(links), "labels")
+        if pairs.isEmpty():
+            continue
+        ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+        wanted = stage(owners.join(ends, "cls", "left_semi").select("cls", "owner"), "wanted")
+        sets = _whole_sets(docs, wanted, key, text, k, percent, seen)
+        found = stage(_verified(pairs, sets, percent), "found")
+        tried = pairs if tried is None else tried.union(pairs)
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = stage(components(links), "labels")
+    if labels is None:
+        return rows.select(key, F.col("n").alias("n_shingles"), F.col(key).alias("component_id"))
     named = owners.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.select("cls", "owner", F.coalesce("component", "cls").alias("component"))
     least = named.groupBy("component").agg(F.min("owner").alias("component_id"))
