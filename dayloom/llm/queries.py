@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dayloom.llm.jaccard_join import op10
+from dayloom.llm.language import op6
 from dayloom.llm.quality_rules import op3
 from dayloom.llm.shards import op1
 from dayloom.llm.toxicity import op5
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1,
     "op3_divergence_rules": op3,
     "op5_toxic_lexicon": op5,
+    "op6_viterbi_language": op6,
     "op10_jaccard_join": op10,
 }
 ORACLES: dict[str, str] = {}
