@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dayloom.llm.jaccard_join import op10
 from dayloom.llm.language import op6
+from dayloom.llm.packing import op7
 from dayloom.llm.quality_rules import op3
 from dayloom.llm.shards import op1
 from dayloom.llm.toxicity import op5
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_divergence_rules": op3,
     "op5_toxic_lexicon": op5,
     "op6_viterbi_language": op6,
+    "op7_exact_complement_packing": op7,
     "op10_jaccard_join": op10,
 }
 ORACLES: dict[str, str] = {}
