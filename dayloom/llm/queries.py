@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dayloom.llm.decontaminate import op9
 from dayloom.llm.jaccard_join import op10
 from dayloom.llm.language import op6
 from dayloom.llm.packing import op7
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxic_lexicon": op5,
     "op6_viterbi_language": op6,
     "op7_exact_complement_packing": op7,
+    "op9_qgram_contamination": op9,
     "op10_jaccard_join": op10,
 }
 ORACLES: dict[str, str] = {}
