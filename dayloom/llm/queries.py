@@ -10,6 +10,7 @@ from dayloom.llm.decontaminate import op9
 from dayloom.llm.jaccard_join import op10
 from dayloom.llm.language import op6
 from dayloom.llm.packing import op7
+from dayloom.llm.passages import op8
 from dayloom.llm.quality_rules import op3
 from dayloom.llm.shards import op1
 from dayloom.llm.toxicity import op5
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_viterbi_language": op6,
     "op7_exact_complement_packing": op7,
     "op9_qgram_contamination": op9,
+    "op8_chained_passages": op8,
     "op10_jaccard_join": op10,
 }
 ORACLES: dict[str, str] = {}
