@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dayloom.llm.bilinear import op2
 from dayloom.llm.decontaminate import op9
 from dayloom.llm.jaccard_join import op10
 from dayloom.llm.language import op6
@@ -17,6 +18,7 @@ from dayloom.llm.toxicity import op5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1,
+    "op2_log_bilinear": op2,
     "op3_divergence_rules": op3,
     "op5_toxic_lexicon": op5,
     "op6_viterbi_language": op6,
