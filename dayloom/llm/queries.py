@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dayloom.llm.bilinear import op2
 from dayloom.llm.decontaminate import op9
 from dayloom.llm.jaccard_join import op10
+from dayloom.llm.kneser_ney import op4
 from dayloom.llm.language import op6
 from dayloom.llm.packing import op7
 from dayloom.llm.passages import op8
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1,
     "op2_log_bilinear": op2,
     "op3_divergence_rules": op3,
+    "op4_kneser_ney": op4,
     "op5_toxic_lexicon": op5,
     "op6_viterbi_language": op6,
     "op7_exact_complement_packing": op7,
