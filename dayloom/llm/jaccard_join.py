@@ -14,13 +14,17 @@ from dayloom.llm.graph import components
 from dayloom.session import stage
 
 ORDERS = 3
-#: Cells of the table of shingle frequencies that the orders use: its size is fixed.
-FREQUENCY_BITS = 18
-#: Star rounds before the remaining pairs are listed.
-STAR_ROUNDS = 3
+#: Order 0 ranks this part of all shingles (those with the least hashes) by exact frequency.
+RANKED_PART = 6
+#: Star rounds at least and at most before the remaining pairs are listed.
+STAR_ROUNDS = (2, 8)
+#: Ranges of shingle hashes whose sizes bound the overlap of two sets.
+BINS = 256
 #: Most keys that are sent to all executors in place of a shuffle of texts.
 SENT_KEYS = 1 << 20
 
+_RANKED_BELOW = (1 << 64) // RANKED_PART  # hashes are not negative up to half of all values
+
 
 def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """Row and distinct shingles of every text."""
@@ -30,46 +34,24 @@ def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
             yield part.doc + i, np.unique(T.shingles(hashes[part.words[i] : part.words[i + 1]], k))
 
 
-def frequencies(docs: DataFrame, text: str, k: int) -> np.ndarray:
-    """How many document sets hold a shingle of each cell, over all documents."""
-    size = 1 << FREQUENCY_BITS
+def _length(n: int, percent: int) -> int:
+    """Two sets over the threshold share one of so many first shingles under any order."""
+    return n - -(-percent * n // 100) + 1 if n else 0
+
+
+def _prefix(found: np.ndarray, percent: int, order: int) -> np.ndarray:
+    """The first shingles of a set under one of the scrambled orders."""
+    length = _length(len(found), percent)
+    if length >= len(found):
+        return found
+    return found[np.argpartition(T.salted(found, order), length - 1)[:length]]
 
-    def count(batches):
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            kept, many = [], 0
-            for _, found in _sets(batch.column(0), k):
-                kept.append(_cell(found))
-                many += len(found)
-                if many > size:
-                    total += np.bincount(np.concatenate(kept), minlength=size)
-                    kept, many = [], 0
-            if kept:
-                total += np.bincount(np.concatenate(kept), minlength=size)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
-
-    counted = docs.select(text).mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    out = np.zeros(size, np.int64)
-    table = counted.toPandas()
-    out[table["cell"].to_numpy(np.int64)] = table["n"].to_numpy(np.int64)
-    return out
-
-
-def _cell(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
-
-
-def _prefix(found: np.ndarray, seen: np.ndarray, percent: int, order: int) -> np.ndarray:
-    """The first shingles of a set under an order. Two sets over the threshold share one of
-    them under every order. Rare shingles come first: by exact cell count in order 0, by its
-    magnitude in the others, each with its own scrambling."""
-    n = len(found)
-    length = n - -(-percent * n // 100) + 1 if n else 0
-    rank = seen[_cell(found)]
-    if order:
-        rank = np.log2(rank + 1).astype(np.int64)
-    return found[np.lexsort((T.salted(found, order), rank))[:length]]
+
+def _ranked(found: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """What may stand in the prefix of order 0, and how many of these are ranked by frequency:
+    all shingles of the ranked part, and if they are too few, the next in hash order."""
+    ranked = int(np.searchsorted(found, np.uint64(_RANKED_BELOW)))
+    return found[: max(ranked, _length(len(found), percent))], ranked
 
 
 def _fingerprint(found: np.ndarray) -> bytes | None:
@@ -79,63 +61,98 @@ def _fingerprint(found: np.ndarray) -> bytes | None:
     return np.array([T.salted(found, 8).sum(), T.salted(found, 9).sum()], np.uint64).tobytes()
 
 
-def signatures(docs: DataFrame, key: str, text: str, k: int, percent: int, seen) -> DataFrame:
-    """``key, n, cls, p0`` of every row: set size, fingerprint, prefix under order 0."""
+def signatures(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """Of every row: ``key, n, cls`` (set size and fingerprint), ``tokens`` that order 0 may put
+    first with the number ``ranked`` of them, the prefixes of the other orders as 32-bit
+    values, and ``bins``, the sizes of ``BINS`` parts of the set."""
 
     def sign(batches):
         for batch in batches:
-            n, cls, first = [], [], []
+            n, cls, ranked, tokens, bins, parts = [], [], [], [], [], [[] for _ in _PREFIXES]
             for _, found in _sets(batch.column(1), k):
                 n.append(len(found))
                 cls.append(_fingerprint(found))
-                first.append(_prefix(found, seen.value, percent, 0))
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), T.list_array(first)]
-            yield pa.RecordBatch.from_arrays(columns, [key, "n", "cls", "p0"])
+                first, count = _ranked(found, percent)
+                tokens.append(first)
+                ranked.append(count)
+                bins.append(np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=BINS).astype(np.int32))
+                for order, out in enumerate(parts, 1):
+                    out.append((_prefix(found, percent, order) >> np.uint64(32)).astype(np.int32))
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(ranked, pa.int64())]
+            columns += [T.list_array(tokens), *(T.list_array(p, pa.int32()) for p in parts), T.list_array(bins, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, [key, "n", "cls", "ranked", "tokens", *_PREFIXES, "bins"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(sign, f"`{key}` {kind}, n long, cls binary, p0 array<long>")
+    arrays = "tokens array<long>, " + ", ".join(f"{p} array<int>" for p in [*_PREFIXES, "bins"])
+    return docs.select(key, text).mapInArrow(sign, f"`{key}` {kind}, n long, cls binary, ranked long, {arrays}")
+
+
+_PREFIXES = [f"p{i}" for i in range(1, ORDERS)]
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int, percent: int, seen) -> DataFrame:
-    """``cls, n, s`` and the prefixes ``p1, …`` (as 32-bit values) of the classes in ``wanted``,
-    which has ``cls, owner``; each is read again from the text of its owner."""
+def _whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """``cls, s`` of the classes in ``wanted``, which has ``cls, owner``; each set is read again
+    from the text of its owner."""
 
     def whole(batches):
         for batch in batches:
             found = [s for _, s in _sets(batch.column(1), k)]
-            columns = [batch.column(0), pa.array([_fingerprint(s) for s in found], pa.binary())]
-            columns += [pa.array([len(s) for s in found], pa.int64()), T.list_array(found)]
-            for order in range(1, ORDERS):
-                firsts = [_prefix(s, seen.value, percent, order) for s in found]
-                columns.append(T.list_array([(p >> np.uint64(32)).astype(np.int32) for p in firsts], pa.int32()))
-            names = ["cls", "own", "n", "s", *[f"p{i}" for i in range(1, ORDERS)]]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            columns = [batch.column(0), pa.array([_fingerprint(s) for s in found], pa.binary()), T.list_array(found)]
+            yield pa.RecordBatch.from_arrays(columns, ["cls", "own", "s"])
 
     if wanted.count() <= SENT_KEYS:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
     texts = texts.join(wanted, F.col("_k").eqNullSafe(F.col("owner"))).select("cls", "_t")
-    schema = "cls binary, own binary, n long, s array<long>, " + ", ".join(f"p{i} array<int>" for i in range(1, ORDERS))
-    sets = stage(texts.mapInArrow(whole, schema).where("cls = own").drop("own"), "sets")
+    sets = texts.mapInArrow(whole, "cls binary, own binary, s array<long>")
+    sets = stage(sets.where("cls = own").drop("own"), "sets")
     # a key may stand on several rows with one text
-    once = sets.groupBy("cls").agg(F.count("*").alias("c")).where("c > 1")
-    return sets if once.isEmpty() else stage(sets.dropDuplicates(["cls"]), "sets")
+    twice = sets.groupBy("cls").agg(F.count("*").alias("c")).where("c > 1")
+    return sets if twice.isEmpty() else stage(sets.dropDuplicates(["cls"]), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of candidate pairs ``a, b`` of classes, those whose prefixes overlap under all further
-    orders and whose whole sets then reach the threshold."""
+def _sided(df: DataFrame, c: str) -> DataFrame:
+    return df.select(*[F.col(x).alias(c if x == "cls" else f"{x}_{c}") for x in df.columns])
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Of candidate pairs ``a, b``, those that share a prefix shingle under every further order,
+    and whose bins allow the overlap that the threshold needs."""
+    kept = pairs.join(_sided(sketches, "a"), "a").join(_sided(sketches, "b"), "b")
+    for p in _PREFIXES:
+        kept = kept.where(F.arrays_overlap(f"{p}_a", f"{p}_b"))
+    most = F.expr("aggregate(zip_with(bins_a, bins_b, (x, y) -> least(x, y)), 0L, (t, x) -> t + x)")
+    return kept.where(most * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b", "n_a", "n_b")
 
-    def named(c):
-        return sets.select(*[F.col(x).alias(c if x == "cls" else f"{x}_{c}") for x in sets.columns])
 
-    kept = pairs.join(named("a"), "a").join(named("b"), "b")
-    for i in range(1, ORDERS):
-        kept = kept.where(F.arrays_overlap(f"p{i}_a", f"p{i}_b"))
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs ``a, b, n_a, n_b``, those whose whole sets reach the threshold."""
+    kept = pairs.join(_sided(sets, "a"), "a").join(_sided(sets, "b"), "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
     return kept.where(common * 100 >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
+def _postings(filled: DataFrame, owners: DataFrame, percent: int) -> DataFrame:
+    """``token, cls, n``: the prefixes under order 0, without shingles that one class alone has.
+
+    Order 0 has the ranked part first, rarest first by exact frequency, then all others by hash.
+    A shingle of one class makes no candidates, so it only counts: of a class with ``own`` such
+    ranked shingles, the prefix has ``own`` places fewer for shared ones.
+    """
+    short = filled.select(F.explode("tokens").alias("token"), F.xxhash64("cls").alias("c"))
+    found = short.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("f"))
+    shared = short.join(found.where("lo <> hi").select("token", "f"), "token")
+    # a row of a class for each of its copies
+    shared = shared.distinct().withColumn("in_part", F.col("token").between(0, _RANKED_BELOW - 1))
+    length = F.expr(f"n - (({percent} * n + 99) div 100) + 1")
+    placed = shared.join(owners.select("c", "cls", "n", "ranked"), "c")
+    # both windows hold the tokens of one document
+    placed = placed.withColumn("own", F.col("ranked") - F.expr("count_if(in_part) OVER (PARTITION BY c, cls)"))
+    placed = placed.withColumn("place", F.expr("row_number() OVER (PARTITION BY c, cls ORDER BY NOT in_part, f, token)"))
+    kept = placed.where((F.col("ranked") < length) | (F.col("place") <= length - F.col("own")))
+    return kept.select("token", "cls", "n")
+
+
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90
 ) -> DataFrame:
@@ -145,51 +162,55 @@ def jaccard_components(
     where there are fewer; rows link when 100 · |A ∩ B| ≥ percent · |A ∪ B|. ``component_id``
     is the smallest key that links reach, the row's own key included.
 
-    Rows with equal sets are one class. Classes that share a prefix shingle under the first
-    order are candidates; the prefixes of the other orders must overlap too, and the whole
-    sets are compared last. Within the classes of one prefix shingle, a star round compares all
-    with one pivot; what still lies in different components after a few rounds is compared in
-    all remaining combinations, so no link is lost and large groups of copies cost a row per
-    member. Cells of shingle frequency keep very common shingles out of the prefixes.
+    Rows with equal sets are one class. Classes that share a prefix shingle under order 0 are
+    candidates; the prefixes of the other orders must overlap too, then the sizes of parts of
+    the sets must allow the overlap, and the whole sets are compared last. Within the classes
+    of one prefix shingle, a star round compares all with one pivot; after some rounds, what
+    still lies in different components is compared in all remaining combinations. So no link
+    is lost, and a large group of copies costs a row per member and round.
 
     Null or blank texts have an empty set and stay alone; null keys stay null unless linked;
     repeated rows come back as often as they stand; other columns are ignored; an empty table
     gives an empty one.
     """
-    spark = docs.sparkSession
-    seen = spark.sparkContext.broadcast(frequencies(docs, text, k))
-    rows = stage(signatures(docs, key, text, k, percent, seen), "prefixes")
+    rows = stage(signatures(docs, key, text, k, percent), "prefixes")
     filled = rows.where("cls IS NOT NULL")
-    owners = stage(filled.groupBy("cls").agg(F.min(key).alias("owner"), F.first("n").alias("n")), "owners")
-    # only shingles that two classes share can make candidates
-    short = filled.select(F.explode("p0").alias("token"), F.xxhash64("cls").alias("c"))
-    shared = short.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    postings = filled.select(F.explode("p0").alias("token"), "cls", "n").join(shared, "token")
-    postings = stage(postings.groupBy("token", "cls").agg(F.first("n").alias("n")), "postings")
+    owners = filled.groupBy("cls").agg(F.min(key).alias("owner"), F.first("n").alias("n"), F.first("ranked").alias("ranked"))
+    owners = stage(owners.withColumn("c", F.xxhash64("cls")), "owners")
+    postings = stage(_postings(filled, owners, percent), "postings")
+    sketches = filled.select("cls", "n", *_PREFIXES, "bins")
+    sketches = sketches.join(postings.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
+    sketches = stage(sketches, "sketches")
     near = F.expr(f"least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b)")
     links = labels = tried = None
-    for turn in range(STAR_ROUNDS + 1):
+    turn, last = 0, False
+    while not last:
         placed = postings.withColumn("comp", F.col("cls"))
         if labels is not None:
             placed = postings.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
             placed = placed.select("token", "cls", "n", F.coalesce("component", "cls").alias("comp"))
         groups = placed.groupBy("token").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"),
             F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("r"), "cls", "n", "comp")).alias("pivot"),
         )
-        open_ = stage(placed.join(groups.where("lo <> hi").select("token", "pivot"), "token"), "open")
-        if open_.isEmpty():
+        open_ = stage(placed.join(groups.where("lo <> hi").select("token", "pivot", "m"), "token"), "open")
+        size = open_.agg(F.count("*").alias("rows"), F.sum("m").alias("pairs")).first()
+        if not size.rows:
             break
+        # every row of a group of m stands for m pairs; groups are left to the last round when
+        # they are small, or star rounds have had their turns
+        last = turn >= STAR_ROUNDS[1] or (turn >= STAR_ROUNDS[0] and size.pairs <= 4 * size.rows)
+        turn += 1
         postings = open_.select("token", "cls", "n")
-        if turn < STAR_ROUNDS:
+        if last:
+            left = open_.select("token", *[F.col(x).alias(y) for x, y in (("cls", "a"), ("n", "n_a"), ("comp", "c_a"))])
+            right = open_.select("token", *[F.col(x).alias(y) for x, y in (("cls", "b"), ("n", "n_b"), ("comp", "c_b"))])
+            pairs = left.join(right, "token").where("a < b")
+        else:
             pairs = open_.select(
                 F.col("pivot.cls").alias("a"), F.col("pivot.n").alias("n_a"), F.col("cls").alias("b"),
                 F.col("n").alias("n_b"), F.col("pivot.comp").alias("c_a"), F.col("comp").alias("c_b"),
             )
-        else:
-            left = open_.select("token", *[F.col(x).alias(y) for x, y in (("cls", "a"), ("n", "n_a"), ("comp", "c_a"))])
-            right = open_.select("token", *[F.col(x).alias(y) for x, y in (("cls", "b"), ("n", "n_b"), ("comp", "c_b"))])
-            pairs = left.join(right, "token").where("a < b")
         pairs = pairs.where(near & (F.col("c_a") != F.col("c_b")))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tried is not None:
@@ -197,18 +218,20 @@ def jaccard_components(
         pairs = stage(pairs, "pairs")
         if pairs.isEmpty():
             continue
-        ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-        wanted = stage(owners.join(ends, "cls", "left_semi").select("cls", "owner"), "wanted")
-        sets = _whole_sets(docs, wanted, key, text, k, percent, seen)
-        found = stage(_verified(pairs, sets, percent), "found")
+        possible = stage(_possible(pairs, sketches, percent), "possible")
         tried = pairs if tried is None else tried.union(pairs)
+        if possible.isEmpty():
+            continue
+        ends = possible.select(F.col("a").alias("cls")).union(possible.select(F.col("b").alias("cls"))).distinct()
+        wanted = stage(owners.join(ends, "cls", "left_semi").select("cls", "owner"), "wanted")
+        found = stage(_verified(possible, _whole_sets(docs, wanted, key, text, k), percent), "found")
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = stage(components(links), "labels")
-    if labels is None:
-        return rows.select(key, F.col("n").alias("n_shingles"), F.col(key).alias("component_id"))
-    named = owners.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    named = named.select("cls", "owner", F.coalesce("component", "cls").alias("component"))
+    named = owners.select("cls", "owner", F.col("cls").alias("component"))
+    if labels is not None:
+        named = named.drop("component").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+        named = named.withColumn("component", F.coalesce("component", "cls"))
     least = named.groupBy("component").agg(F.min("owner").alias("component_id"))
     ids = named.join(least, "component").select("cls", "component_id")
     out = rows.select(key, F.col("n").alias("n_shingles"), "cls").join(ids, "cls", "left")

@@ -192,9 +192,11 @@ def identify(docs: DataFrame, model, text: str = "text") -> DataFrame:
     ``lang_score`` its share of them, ``lang_spans`` the runs of words ``first, last, lang``.
 
     A null text or one without letters is ``und`` with score 0 and no spans; so is every text
-    if the model has no language. Repeated rows are labelled alike, other columns come along, an
+    if the model has no language. Repeated rows are labelled alike, other columns come along (those of
+    the three names are replaced), an
     empty table gives an empty one.
     """
+    docs = docs.drop("lang_pred", "lang_score", "lang_spans")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string())]))
 

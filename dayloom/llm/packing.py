@@ -174,9 +174,10 @@ def pack(rows: DataFrame, length: str = "length", capacity: int = CAPACITY) -> D
     Only the number of pieces by length goes to the driver, where the plan is made; every
     piece then gets a rank among those of its length, and its rank says its place. A length
     that very many pieces share is ranked in cells of about ``CELL_ROWS`` rows. Columns named
-    ``sequence_id`` or ``offset`` must not be there yet; a null length is an error; repeated
+    ``sequence_id`` or ``offset`` are replaced; a null length is an error; repeated
     rows are pieces of their own; an empty table gives an empty one.
     """
+    rows = rows.drop("sequence_id", "offset")
     kept = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
     slim = stage(rows.select(kept, F.col(length).alias("len"), F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if dict(rows.dtypes)[c] != "array<int>"], F.monotonically_increasing_id()).alias("h")), "pieces")
     counts = {r["len"]: r["n"] for r in slim.groupBy("len").agg(F.count("*").alias("n")).collect()}

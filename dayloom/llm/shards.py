@@ -111,10 +111,10 @@ def histogram_sort(
     ``slot`` is gapless from 0 in each shard.
 
     A null key is a key like any other, a null size counts 0, repeated rows are rows of their
-    own, an empty table gives an empty one. Other columns come along as they are, so ``df``
-    may have any names but ``shard, slot, bytes``.
+    own, an empty table gives an empty one. Other columns come along as they are, those
+    named ``shard``, ``slot`` or ``bytes`` are replaced.
     """
-    carried = df.columns if carry is None else carry
+    carried = [c for c in (df.columns if carry is None else carry) if c not in ("shard", "slot", "bytes")]
     slim = df.select(
         F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
         F.coalesce(size.cast("long"), F.lit(0)).alias("w"),

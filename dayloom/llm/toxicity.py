@@ -233,8 +233,9 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> Da
     """All rows and columns of ``docs`` with ``tox_score`` (0 to 1) and ``tox_terms``, the terms found.
 
     Null and empty texts score like any text without a term. Repeated rows score alike; other
-    columns come along; an empty table gives an empty one.
+    columns come along, columns of these two names are replaced; an empty table gives an empty one.
     """
+    docs = docs.drop("tox_score", "tox_terms")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(batches):
