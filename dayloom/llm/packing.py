@@ -69,8 +69,16 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
 
     Longest lengths first: what fills the gap exactly with one, two or three pieces is taken as
     often as there are pieces; what no combination completes is packed best-fit, longest first.
-    Works on the number of pieces by length, so its size is bounded by the capacity.
+    Taking exact fills early can leave worse rests than it saves, so the same is tried with
+    fewer pieces to a fill, and the plan with the fewest sequences stands. Works on the number
+    of pieces by length, so its size is bounded by the capacity.
     """
+    plans = [_filled(counts, capacity, most) for most in (3, 2, 1, 0)]
+    return min(plans, key=lambda made: sum(n for _, n in made))
+
+
+def _filled(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+    """The plan whose exact fills have at most ``most`` pieces."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -82,7 +90,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     for length in range(capacity - 1, 0, -1):
         while left[length]:
             left[length] -= 1  # the piece whose gap is filled
-            fill = _complement(left, capacity - length)
+            fill = _complement(left, capacity - length, most)
             left[length] += 1
             if fill is None:
                 rest[length] = int(left[length])
@@ -97,12 +105,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     return out + best_fit(rest, capacity)
 
 
-def _complement(left: np.ndarray, gap: int) -> tuple[int, ...] | None:
+def _complement(left: np.ndarray, gap: int, most: int = 3) -> tuple[int, ...] | None:
     """One, two or three available lengths with sum ``gap``; larger ones are used up first."""
-    if left[gap]:
+    if most and left[gap]:
         return (gap,)
-    found = _pair(left, gap)
-    if found:
+    found = _pair(left, gap) if most > 1 else None
+    if found or most < 3:
         return found
     for a in np.flatnonzero(left[: max(gap - 1, 0)])[::-1].tolist():
         if 3 * a < gap:
