@@ -13,8 +13,6 @@ from dayloom.operators import forecast as FC
 from dayloom.operators import registry as RG
 from dayloom.operators import reports as R
 
-# Replicates in the registered query; the library default is 10,000.
-QUERY_BOOT = 2000
 MODELS = ["linear", "seasonal_naive", "persistence", "ensemble"]
 
 LONG = f"""{LINEAR},
@@ -109,15 +107,14 @@ def _boot_sql(n_boot: int) -> str:
       FROM draws d JOIN blocks x ON x.series_id = d.series_id AND x.pos = d.pos GROUP BY 1, 2),
     u AS ({out})
     SELECT series_id, pair, ROUND(dmae, 8) + 0.0 AS dmae, ROUND(ci_lo, 8) + 0.0 AS ci_lo, ROUND(ci_hi, 8) + 0.0 AS ci_hi,
-      CASE WHEN ci_hi < 0 THEN p1 || ' significantly better' WHEN ci_lo > 0 THEN p2 || ' significantly better'
-        ELSE 'TIE (95% CI includes 0)' END AS verdict FROM u"""
+      CASE WHEN ci_hi < 0 THEN 'first' WHEN ci_lo > 0 THEN 'second' ELSE 'tie' END AS verdict FROM u"""
 
 
-@entry("block_bootstrap", _boot_sql(QUERY_BOOT))
+@entry("block_bootstrap", _boot_sql(S.N_BOOT))
 def block_bootstrap(spark, sf):
     """Resampled intervals of three MAE differences and their verdicts."""
     pairs = [("linear", "seasonal_naive"), ("ensemble", "seasonal_naive"), ("ensemble", "linear")]
-    return B.rounded(BT.block_bootstrap(scored_cases(B.panel(spark, sf)), pairs, QUERY_BOOT), 8)
+    return B.rounded(BT.block_bootstrap(scored_cases(B.panel(spark, sf)), pairs), 8)
 
 
 BASELINE = f"""{CURVE},

@@ -139,11 +139,13 @@ def one_step_baselines(spark, sf):
     )
 
 
-# The outlook covers working days only, so that the fallbacks are used on weekends.
-FUTURE = f"""{B.GOLD},
+# With ``working`` the outlook covers working days only, so that the fallbacks show on weekends.
+def future_sql(working: bool) -> str:
+    days = "WHERE isodow(ds) <= 5" if working else ""
+    return f"""{B.GOLD},
     ends AS (SELECT series_id, MAX(ds) AS last_ds, AVG(temp) AS mean_temp, arg_max(snow, ds) AS last_snow,
       arg_max(temp, ds) AS last_temp, arg_max(precip, ds) AS last_precip FROM gold GROUP BY 1),
-    outlook AS (SELECT * FROM weather WHERE isodow(ds) <= 5),
+    outlook AS (SELECT * FROM weather {days}),
     f0 AS (SELECT e.series_id, CAST(e.last_ds + s.h AS DATE) AS ds, s.h, COALESCE(w.temp, e.mean_temp) AS temp,
       COALESCE(w.precip, 0) AS precip, COALESCE(w.snow, 0) AS snow, e.last_snow, e.last_temp, e.last_precip
       FROM ends e CROSS JOIN {STEPS} s LEFT JOIN outlook w ON w.ds = e.last_ds + s.h),
@@ -152,19 +154,17 @@ FUTURE = f"""{B.GOLD},
       COALESCE(LAG(precip) {B.W}, last_precip) AS precip_lag1 FROM f0)"""
 
 
-def _future(spark, sf, panel):
-    outlook = B.weather(spark, sf).where(F.weekday("ds") < 5)
-    return FC.future_covariates(panel, outlook)
+FUTURE = future_sql(working=False)
 
 
 @entry(
     "future_covariates",
-    f"""WITH {FUTURE} SELECT series_id, ds, h, ROUND(temp, 9) AS temp, precip, snow, is_holiday, snow_lag1,
+    f"""WITH {future_sql(working=True)} SELECT series_id, ds, h, ROUND(temp, 9) AS temp, precip, snow, is_holiday, snow_lag1,
       ROUND(temp_lag1, 9) AS temp_lag1, precip_lag1 FROM fut""",
 )
 def future_covariates(spark, sf):
     """Covariates of the next 14 days with fallbacks and chained lags (TS10, J5, J6, J7, S17, T11, T12)."""
-    out = _future(spark, sf, B.panel(spark, sf))
+    out = FC.future_covariates(B.panel(spark, sf), B.weather(spark, sf).where(F.weekday("ds") < 5))
     return out.withColumn("temp", F.round("temp", 9)).withColumn("temp_lag1", F.round("temp_lag1", 9))
 
 
@@ -181,7 +181,7 @@ SERVED = f"""{FUTURE},
 
 def served(spark, sf, panel):
     """Next two weeks: fixed linear model, seasonal naive, equal-weight blend."""
-    cases = FC.serving_cases(panel, _future(spark, sf, panel), list(S.EXOG))
+    cases = FC.serving_cases(panel, FC.future_covariates(panel, B.weather(spark, sf)), list(S.EXOG))
     coef = F.array(*[F.lit(c) for c in FIXED_COEF])
     path = L.recurse_linear(F.col("hist"), F.col("future"), coef, list(S.LAGS), list(S.EXOG))
     cases = cases.withColumn("linear", path).withColumn("seasonal_naive", FC.seasonal_naive(F.col("hist")))

@@ -230,10 +230,12 @@ def ingest_windows(spark, sf):
 
 @entry(
     "table_fingerprint",
-    """SELECT o_orderpriority AS series_id, COUNT(*) AS n_rows,
-      CAST(SUM(CAST('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
-        COALESCE(o_orderstatus, '~'), strftime(o_orderdate, '%Y-%m-%d'))), 1, 8) AS BIGINT)) AS VARCHAR) AS digest
-    FROM orders GROUP BY 1""",
+    """WITH f AS (SELECT o_orderpriority AS series_id, md5(concat(COALESCE(length(k) || ':' || k, '-'),
+        COALESCE(length(c) || ':' || c, '-'), COALESCE(length(s) || ':' || s, '-'), COALESCE(length(d) || ':' || d, '-'))) AS m
+      FROM (SELECT o_orderpriority, CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c, o_orderstatus AS s,
+        strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders))
+    SELECT series_id, COUNT(*) AS n_rows, CAST(SUM(CAST('0x' || substr(m, 1, 15) AS BIGINT)) AS VARCHAR) || '-'
+      || CAST(SUM(CAST('0x' || substr(m, 16, 15) AS BIGINT)) AS VARCHAR) AS digest FROM f GROUP BY 1""",
 )
 def table_fingerprint(spark, sf):
     """Order-free content hash per group."""

@@ -186,9 +186,10 @@ def last_trigger(spark, sf):
     f"""WITH RECURSIVE {LIVE},{PSI.split(B.GOLD + ',', 1)[1]},{TRIGGERS.split(B.GOLD + ',', 1)[1]},
     lm AS (SELECT series_id, COUNT(*) AS n_evaluated, AVG(ABS(error)) AS rolling_mae, AVG(ABS(error / actual)) * 100 AS mape FROM live GROUP BY 1),
     tb AS (SELECT series_id, ROUND(AVG(y) / 1e6, 6) * CASE WHEN substr(series_id, 1, 1) IN ('1', '2') THEN 0.05 ELSE 1 END AS training_mae FROM gold GROUP BY 1),
-    pm AS (SELECT series_id, MAX(psi) AS max_psi FROM psi GROUP BY 1),
+    pm AS (SELECT series_id, MAX(psi) AS max_psi, MAX(psi) FILTER (feature = 'temp') AS psi_temp, MAX(psi) FILTER (feature = 'precip') AS psi_precip,
+      MAX(psi) FILTER (feature = 'snow') AS psi_snow FROM psi GROUP BY 1),
     lt AS (SELECT series_id, MAX(trigger_date) AS last_trigger FROM fired, today WHERE trigger_date <= today.d GROUP BY 1),
-    j AS (SELECT tb.series_id, today.d, n_evaluated, rolling_mae, mape, training_mae, max_psi, last_trigger,
+    j AS (SELECT tb.series_id, today.d, n_evaluated, rolling_mae, mape, training_mae, max_psi, psi_temp, psi_precip, psi_snow, last_trigger,
       rolling_mae > 1.5 * training_mae AS wanted, rolling_mae > 1.5 * training_mae AND COALESCE(today.d - last_trigger < 7, FALSE) AS cooling
       FROM tb JOIN lm ON lm.series_id = tb.series_id JOIN pm ON pm.series_id = tb.series_id
       LEFT JOIN lt ON lt.series_id = tb.series_id, today)
@@ -196,7 +197,10 @@ def last_trigger(spark, sf):
       ROUND(training_mae, 9) AS training_mae, ROUND(max_psi, 8) AS max_psi,
       CASE WHEN max_psi > 0.25 THEN 'critical' WHEN max_psi > 0.1 THEN 'moderate' ELSE 'stable' END AS psi_status,
       CASE WHEN wanted THEN 1 ELSE 0 END AS retrain_recommended, CASE WHEN cooling THEN 1 ELSE 0 END AS cooldown_active,
-      CASE WHEN wanted AND NOT cooling THEN 1 ELSE 0 END AS retrain_triggered FROM j""",
+      CASE WHEN wanted AND NOT cooling THEN 1 ELSE 0 END AS retrain_triggered,
+      ROUND(psi_temp, 8) AS psi_temp, ROUND(psi_precip, 8) AS psi_precip, ROUND(psi_snow, 8) AS psi_snow,
+      CASE WHEN wanted THEN 'live_mae' END AS reason, CASE WHEN wanted THEN ROUND(rolling_mae, 9) END AS reason_value,
+      CASE WHEN wanted THEN ROUND(1.5 * training_mae, 9) END AS reason_limit FROM j""",
 )
 def monitoring_report(spark, sf):
     """Live error, drift, retrain decision with cooldown."""
@@ -210,8 +214,12 @@ def monitoring_report(spark, sf):
     out = out.select(
         "series_id", "report_date", "n_evaluated", "rolling_mae", "rolling_mape_pct", "training_mae",
         "max_psi", "psi_status", "retrain_recommended", "cooldown_active", "retrain_triggered",
+        *[F.col("psi_scores")[c].alias(f"psi_{c}") for c in ("temp", "precip", "snow")],
+        F.get("retrain_reasons", F.lit(0))["rule"].alias("reason"),
+        F.get("retrain_reasons", F.lit(0))["value"].alias("reason_value"),
+        F.get("retrain_reasons", F.lit(0))["limit"].alias("reason_limit"),
     )
-    return B.rounded(out, 9, rolling_mape_pct=6, max_psi=8)
+    return B.rounded(out, 9, rolling_mape_pct=6, max_psi=8, psi_temp=8, psi_precip=8, psi_snow=8)
 
 
 RUN_LOG = """log AS (SELECT CASE o_orderstatus WHEN 'O' THEN 'ingestion' WHEN 'F' THEN 'training' ELSE 'prediction' END AS job,
@@ -237,7 +245,7 @@ def run_log(spark, sf):
 
 @entry(
     "run_status",
-    f"""WITH {RUN_LOG},{B.FACTS}, t AS (SELECT MAX(ds) AS through FROM facts WHERE series_id = '1-URGENT'),
+    f"""WITH {RUN_LOG},{B.FACTS}, t AS (SELECT MAX(ds) AS through FROM facts),
     n AS (SELECT MAX(run_date) AS today FROM log),
     r AS (SELECT job, run_date, status FROM log QUALIFY ROW_NUMBER() OVER (PARTITION BY job ORDER BY run_date DESC) = 1)
     SELECT job, run_date, status, CASE status WHEN 'success' THEN 'ok' WHEN 'failure' THEN 'failed' ELSE 'unknown' END AS badge,
@@ -246,7 +254,7 @@ def run_log(spark, sf):
 def run_status(spark, sf):
     """Newest run of each job, badge, data coverage."""
     log = run_log(spark, sf)
-    through = B.facts(spark, sf).where(F.col("series_id") == "1-URGENT").agg(F.max("ds").alias("m")).scalar()
+    through = B.facts(spark, sf).agg(F.max("ds").alias("m")).scalar()
     return M.run_status(log, through, log.agg(F.max("run_date").alias("m")).scalar())
 
 

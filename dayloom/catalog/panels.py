@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dayloom import settings as S
 from dayloom.catalog import base as B
 from dayloom.catalog.base import entry
 from dayloom.functions import calendar as C
@@ -89,16 +90,17 @@ def calendar_flags(spark, sf):
 
 @entry(
     "holiday_lookup",
-    f"""WITH {B.FACTS}, span AS (SELECT CAST(UNNEST(generate_series(DATE '1995-01-01', DATE '2001-12-31',
-      INTERVAL 1 DAY)) AS DATE) AS ds), cal AS (SELECT ds FROM span WHERE {B.holiday_sql('ds')} = 1)
+    f"""WITH {B.FACTS}, span AS (SELECT CAST(UNNEST(generate_series((SELECT MIN(ds) FROM facts),
+      (SELECT MAX(ds) FROM facts), INTERVAL 1 DAY)) AS DATE) AS ds), cal AS (SELECT ds FROM span WHERE {B.holiday_sql('ds')} = 1)
     SELECT f.series_id, COUNT(*) AS n_days, COUNT(c.ds) AS n_holidays,
       ROUND(SUM(CASE WHEN c.ds IS NOT NULL THEN y ELSE 0 END), 2) AS holiday_total
     FROM facts f LEFT JOIN cal c ON c.ds = f.ds GROUP BY 1""",
 )
 def holiday_lookup(spark, sf):
     """Facts against a holiday table (J7 with a caller's calendar)."""
-    cal = C.holiday_table(spark, "1995-01-01", "2001-12-31")
-    flagged = C.flag_calendar(B.facts(spark, sf), cal, "is_holiday")
+    facts = B.facts(spark, sf)
+    span = facts.agg(F.min("ds").cast("string"), F.max("ds").cast("string")).first()
+    flagged = C.flag_calendar(facts, C.holiday_table(spark, *span), "is_holiday")
     return flagged.groupBy("series_id").agg(
         F.count("*").alias("n_days"),
         F.sum("is_holiday").alias("n_holidays"),
@@ -265,22 +267,33 @@ def scaler_bounds(spark, sf):
     return B.rounded(FT.scale_bounds(df, ["temp", "precip"], F.col("split") == "train"), 6)
 
 
+TRAINING = f"""{B.FEATURES},
+    training AS (SELECT * EXCLUDE (back) FROM (SELECT *, MAX(ds) OVER (PARTITION BY series_id) - ds AS back FROM features)
+      WHERE back >= 30)"""
+
+
+def training_rows(spark, sf):
+    """The feature rows before the holdout."""
+    rows = feature_table(B.panel(spark, sf)).withColumn("_back", FT.days_from_end())
+    return rows.where(F.col("_back") >= S.HOLDOUT_DAYS).drop("_back")
+
+
 @entry(
     "cv_fold_table",
-    f"""WITH {B.FEATURES}, n AS (SELECT series_id, COUNT(*) AS n_rows FROM features GROUP BY 1),
+    f"""WITH {TRAINING}, n AS (SELECT series_id, COUNT(*) AS n_rows FROM training GROUP BY 1),
     f AS (SELECT *, n_rows // 6 AS size, UNNEST([1, 2, 3, 4, 5]) AS fold FROM n)
     SELECT series_id, fold, CAST(n_rows - (6 - fold) * size AS BIGINT) AS train_end,
       CAST(n_rows - (5 - fold) * size AS BIGINT) AS test_end FROM f""",
 )
 def cv_fold_table(spark, sf):
-    """Expanding-window folds as position ranges (M3)."""
-    return FT.cv_folds(feature_table(B.panel(spark, sf)))
+    """Expanding-window folds of the training part as position ranges (M3)."""
+    return FT.cv_folds(training_rows(spark, sf))
 
 
 @entry(
     "cv_fold_scores",
-    f"""WITH {B.FEATURES}, p AS (SELECT *, COUNT(*) OVER (PARTITION BY series_id) AS n,
-      ROW_NUMBER() {B.W} - 1 AS pos FROM features),
+    f"""WITH {TRAINING}, p AS (SELECT *, COUNT(*) OVER (PARTITION BY series_id) AS n,
+      ROW_NUMBER() {B.W} - 1 AS pos FROM training),
     f AS (SELECT *, CASE WHEN pos < n - (n // 6) * 5 THEN 0
         ELSE (pos - (n - (n // 6) * 5)) // (n // 6) + 1 END AS fold FROM p)
     SELECT series_id, CAST(fold AS INTEGER) AS fold, COUNT(*) AS n_rows, MIN(ds) AS from_ds, MAX(ds) AS to_ds,
@@ -288,7 +301,7 @@ def cv_fold_table(spark, sf):
 )
 def cv_fold_scores(spark, sf):
     """Seasonal-naive error of each test fold (M3)."""
-    rows = feature_table(B.panel(spark, sf)).withColumn("fold", FT.test_fold())
+    rows = training_rows(spark, sf).withColumn("fold", FT.test_fold())
     return rows.where("fold > 0").groupBy("series_id", "fold").agg(
         F.count("*").alias("n_rows"),
         F.min("ds").alias("from_ds"),
@@ -299,8 +312,8 @@ def cv_fold_scores(spark, sf):
 
 @entry(
     "cv_spread",
-    f"""WITH {B.FEATURES}, p AS (SELECT *, COUNT(*) OVER (PARTITION BY series_id) AS n,
-      ROW_NUMBER() {B.W} - 1 AS pos FROM features),
+    f"""WITH {TRAINING}, p AS (SELECT *, COUNT(*) OVER (PARTITION BY series_id) AS n,
+      ROW_NUMBER() {B.W} - 1 AS pos FROM training),
     f AS (SELECT *, CASE WHEN pos < n - (n // 6) * 5 THEN 0
         ELSE (pos - (n - (n // 6) * 5)) // (n // 6) + 1 END AS fold FROM p),
     s AS (SELECT series_id, fold, AVG(ABS(y_lag7 - y / 1e6)) AS mae FROM f WHERE fold > 0 GROUP BY 1, 2)
@@ -308,7 +321,7 @@ def cv_fold_scores(spark, sf):
 )
 def cv_spread(spark, sf):
     """Mean and population deviation over the folds."""
-    rows = feature_table(B.panel(spark, sf)).withColumn("fold", FT.test_fold())
+    rows = training_rows(spark, sf).withColumn("fold", FT.test_fold())
     folds = rows.where("fold > 0").groupBy("series_id", "fold").agg(
         F.avg(F.abs(F.col("y_lag7") - F.col("y") / 1_000_000)).alias("mae")
     )

@@ -39,13 +39,11 @@ def psi_status(score: Column) -> Column:
     )
 
 
-def verdict(low: Column, high: Column, first: str, second: str) -> Column:
-    """Which of two models is better, given the interval of MAE(first) − MAE(second)."""
-    return (
-        F.when(high < 0, f"{first} significantly better")
-        .when(low > 0, f"{second} significantly better")
-        .otherwise("TIE (95% CI includes 0)")
-    )
+def verdict(low: Column, high: Column) -> Column:
+    """``first``, ``second`` or ``tie`` from the interval of MAE(first) − MAE(second): the common
+    sign of both ends says which model has the smaller error."""
+    sign = F.when(F.signum(low) == F.signum(high), F.signum(low)).otherwise(0.0)
+    return F.element_at(F.array(F.lit("first"), F.lit("tie"), F.lit("second")), (sign + 2).cast("int"))
 
 
 def status_badge(status: Column) -> Column:

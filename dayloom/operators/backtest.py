@@ -107,12 +107,12 @@ def block_bootstrap(
     n_boot: int = S.N_BOOT,
     seed: int = 0,
     keys: list[str] = SERIES,
-    max_blocks: int = (S.EVAL_DAYS - S.HORIZON - 1) // S.STEP + 1,
+    max_blocks: int | None = None,
 ) -> DataFrame:
     """Bootstrap of MAE(first) − MAE(second) over whole origins.
 
     Each origin shrinks to its summed errors before anything is resampled, and a series'
-    origins (at most ``max_blocks``) sit in one row. Replicates are made by exploding that
+    origins (at most ``max_blocks``, by default as many as there are) sit in one row. Replicates are made by exploding that
     row, so the resample needs no join, and all pairs share the draws.
     """
     sums = cases.select(
@@ -127,6 +127,8 @@ def block_bootstrap(
         ).alias("_block"),
     )
     blocks = sums.groupBy(*keys).agg(F.sort_array(F.collect_list("_block")).alias("_blocks"))
+    if max_blocks is None:
+        max_blocks = cases.groupBy(*keys).count().agg(F.max("count")).first()[0] or 1
     k = F.size("_blocks")
     guard = F.when(k > max_blocks, F.raise_error(F.lit("more origins than max_blocks"))).otherwise(k)
     reps = blocks.select(
@@ -164,7 +166,7 @@ def block_bootstrap(
                 F.col(f"_m{i}").alias("dmae"),
                 F.col(f"_q{i}")[0].alias("ci_lo"),
                 F.col(f"_q{i}")[1].alias("ci_hi"),
-                E.verdict(F.col(f"_q{i}")[0], F.col(f"_q{i}")[1], a, b).alias("verdict"),
+                E.verdict(F.col(f"_q{i}")[0], F.col(f"_q{i}")[1]).alias("verdict"),
             )
             for i, (a, b) in enumerate(pairs)
         ]

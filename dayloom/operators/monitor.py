@@ -154,9 +154,7 @@ def retrain_decision(
     limit = F.col("training_mae") * multiplier
     wanted = F.coalesce(F.col("rolling_mae") > limit, F.lit(False))
     cooling = wanted & F.coalesce(F.datediff(as_of, "last_trigger") < cooldown, F.lit(False))
-    reason = F.format_string(
-        f"rolling MAE %.4f exceeds {multiplier} × training MAE %.4f", "rolling_mae", "training_mae"
-    )
+    reason = F.struct(F.lit("live_mae").alias("rule"), F.col("rolling_mae").alias("value"), limit.alias("limit"))
     return df.withColumns(
         {
             "report_date": as_of,
@@ -166,9 +164,7 @@ def retrain_decision(
             "retrain_recommended": wanted.cast("int"),
             "cooldown_active": cooling.cast("int"),
             "retrain_triggered": (wanted & ~cooling).cast("int"),
-            "retrain_reasons": F.when(wanted, F.array(reason)).otherwise(
-                F.array().cast("array<string>")
-            ),
+            "retrain_reasons": F.filter(F.array(F.when(wanted, reason)), lambda r: r.isNotNull()),
         }
     )
 

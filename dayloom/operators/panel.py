@@ -33,10 +33,6 @@ def nan_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})
 
 
-def feature_columns(df: DataFrame, target: str = "y", ids: tuple[str, ...] = ("series_id", "ds")):
-    return [c for c in df.columns if c != target and c not in ids]
-
-
 def rollup_daily(
     facts: DataFrame,
     keys: list[str],
@@ -48,7 +44,9 @@ def rollup_daily(
 
     Double sums depend on the order in which partial results arrive; ``digits`` rounds
     that noise away, so a task that is run again after a lost executor gives the same row.
+    A NaN counts as a missing value.
     """
+    facts = nan_to_null(facts, [c for c, kind in facts.dtypes if kind in ("double", "float") and c in [*sums, *(means or [])]])
 
     def tidy(col: Column) -> Column:
         return col if digits is None else F.round(col, digits)
@@ -130,15 +128,6 @@ def merge_silver(
     return kept.unionByName(merged, allowMissingColumns=True)
 
 
-def spine(panel: DataFrame, keys: list[str]) -> DataFrame:
-    """Every day from the first to the last of each series."""
-    return (
-        panel.groupBy(*keys)
-        .agg(F.min("ds").alias("_a"), F.max("ds").alias("_b"))
-        .select(*keys, F.explode(F.sequence("_a", "_b")).alias("ds"))
-    )
-
-
 def missing_days(panel: DataFrame, keys: list[str]) -> DataFrame:
     """Days without a row, from each row's gap to its successor: no spine, no anti-join."""
     w = Window.partitionBy(*keys).orderBy("ds")

@@ -73,7 +73,8 @@ def full_backtest(
     raw = tree_covariates(daily, keys)
     train = feature_panel(daily, keys).withColumn("_back", days_from_end(keys))
     train = train.where(F.col("_back") >= eval_days)
-    model, _ = trees.fit_with_early_stop(train, trees=n_trees, keys=keys)
+    _, count = trees.fit_with_early_stop(train, trees=n_trees, keys=keys)
+    model = trees.fit_trees(train, trees=count)
 
     # The linear model sees scaled covariates, the trees the plain ones: both in one struct.
     plain = {f"raw_{c}": F.col(c) for c in CASE_COVARIATES}
@@ -96,7 +97,8 @@ def holdout_paths(daily: DataFrame, days: int = S.HOLDOUT_DAYS, n_trees: int = S
     case = forecast.rolling_origins
     fit = fit_linear_models(daily, days, keys=keys)
     train = feature_panel(daily, keys).withColumn("_back", days_from_end(keys)).where(F.col("_back") >= days)
-    model, _ = trees.fit_with_early_stop(train, trees=n_trees, keys=keys)
+    _, count = trees.fit_with_early_stop(train, trees=n_trees, keys=keys)
+    model = trees.fit_trees(train, trees=count)
     plain = {f"raw_{c}": F.col(c) for c in CASE_COVARIATES}
     both = scale_columns(
         tree_covariates(daily, keys).withColumns(plain), EXOG, days_from_end(keys) >= days, keys

@@ -49,3 +49,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found, files = _path(spark, path)
+    return files.exists(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder of intermediate results; one that is not there is no error."""
+    found, files = _path(spark, path)
+    files.delete(found, True)

@@ -82,10 +82,6 @@ def write_partitions(df: DataFrame, path: str, by: str, files_per_partition: int
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def with_month(df: DataFrame) -> DataFrame:
-    return df.withColumn("month_start", F.trunc("ds", "month"))
-
-
 def write_snapshot(df: DataFrame, path: str, run_date: Column) -> None:
     """One snapshot per run date; a second run on the same day replaces the first."""
     write_partitions(df.withColumn("run_date", run_date), path, "run_date")
@@ -117,12 +113,17 @@ def dependent_window(own: Column, leader: Column, start: str = S.FEED_START):
 
 def fingerprint(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
     """Order-free content hash of a table: equal rows give equal prints on any layout.
-    Sums of row digests, so it is one map-side aggregate."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
-    part = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return df.groupBy(*keys).agg(
-        F.count("*").alias("n_rows"), F.sum(part).cast("decimal(38,0)").cast("string").alias("digest")
-    )
+    Sums of row digests, so it is one map-side aggregate. Fields carry their length, so no two
+    rows have one text; 120 bits of each digest are summed as decimals, which do not overflow."""
+
+    def field(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    digest = F.md5(F.concat(*[field(c) for c in columns]))
+    parts = [F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 16)]
+    sums = [F.sum(p).cast("string") for p in parts]
+    return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.concat_ws("-", *sums).alias("digest"))
 
 
 def log_run(

@@ -13,7 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dayloom import settings as S
 from dayloom.operators.panel import covered_days, join_covariates, latest_per_day, newer_than
-from dayloom.session import shared_dir
+from dayloom.session import exists, remove
 from dayloom.sources.lake import write_partitions
 
 
@@ -91,12 +91,21 @@ def append_silver(
     """Bronze stream → silver table partitioned by day.
 
     Each batch keeps the days past the table's watermark (minus ``late_days``), joins the
-    day's covariates and overwrites only the days it touches. Rows carry the batch that
-    wrote them and the watermark looks at earlier batches only, so a batch repeated after a
-    failure, even a half-written one, makes the same days again.
+    day's covariates and overwrites only the days it touches; rows already stored for these
+    days stay, under the batch that brought them. The finished days are first written under the
+    checkpoint, by batch. A batch repeated after a failure finds them there and only overwrites
+    the same days again, however much of the table its first attempt had replaced.
     """
+    folder = f"{checkpoint.rstrip('/')}/silver-batches"
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        staged = f"{folder}/{batch_id}"
+        if not exists(spark, f"{staged}/_SUCCESS"):
+            _finished_days(batch, batch_id).write.mode("overwrite").parquet(staged)
+        write_partitions(spark.read.parquet(staged), silver_path, "ds")
+        remove(spark, f"{folder}/{batch_id - 1}")
+
+    def _finished_days(batch: DataFrame, batch_id: int) -> DataFrame:
         stored = _stored(spark, silver_path)
         if stored is not None:
             stored = stored.where(F.col(BATCH) < batch_id)
@@ -104,15 +113,11 @@ def append_silver(
         floor = F.date_sub(F.lit(top or S.NO_DATE).cast("date"), late_days)
         fresh = newer_than(batch, floor).dropDuplicates()
         gated = latest_per_day(covered_days(covariates, fresh), F.col(arrival)).drop(arrival)
-        rows = join_covariates(fresh, gated)
+        rows = join_covariates(fresh, gated).withColumn(BATCH, F.lit(batch_id))
         if late_days and top is not None:
-            # Late rows join those already stored for their day; staged, because a table
-            # cannot be read and overwritten in one job.
-            again = covered_days(stored.drop(BATCH), fresh)
-            staged = shared_dir(spark, "silver-batch")
-            again.unionByName(rows).dropDuplicates().write.parquet(staged)
-            rows = spark.read.parquet(staged)
-        write_partitions(rows.withColumn(BATCH, F.lit(batch_id)), silver_path, "ds")
+            rows = covered_days(stored, fresh).unionByName(rows)
+        values = [c for c in rows.columns if c != BATCH]
+        return rows.groupBy(*values).agg(F.min(BATCH).alias(BATCH))
 
     (
         bronze.writeStream.foreachBatch(write)

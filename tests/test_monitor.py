@@ -1,6 +1,6 @@
 import datetime as dt
+import math
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,29 +9,31 @@ from dayloom.operators import registry as RG
 from dayloom.operators import reports as R
 
 D = dt.date
-RNG = np.random.default_rng(7)
-
-
-def numpy_psi(reference, recent, buckets=10):
-    edges = np.percentile(reference, np.linspace(0, 100, buckets + 1))
-    edges[0], edges[-1] = -np.inf, np.inf
-    p = (np.histogram(reference, edges)[0] + 1e-8) / len(reference)
-    q = (np.histogram(recent, edges)[0] + 1e-8) / len(recent)
-    return float(np.sum((q - p) * np.log(q / p)))
 
 
 def psi(df, *features):
     return {(r.series_id, r.feature): r.psi for r in M.psi_scores(df, list(features)).collect()}
 
 
-def test_psi_matches_numpy(make_panel):
-    x = {c: RNG.normal(size=130) for c in "uv"}
-    df = make_panel({"a": [1.0] * 130, "b": [2.0] * 110}, u=lambda i: float(x["u"][i]), v=lambda i: float(x["v"][i]))
-    got = psi(df, "u", "v")
-    for name, n in (("a", 130), ("b", 110)):
-        for c in "uv":
-            s = x[c][:n]
-            assert got[(name, c)] == pytest.approx(numpy_psi(s[-104:-14], s[-14:]), rel=1e-9)
+def index(reference, recent):
+    """Population stability index of two lists of counts, from its definition on shares."""
+    total = 0.0
+    for a, b in zip(reference, recent, strict=True):
+        p, q = (a + 1e-8) / sum(reference), (b + 1e-8) / sum(recent)
+        total += q * math.log(q / p) - p * math.log(q / p)
+    return total
+
+
+def test_psi_of_counted_deciles(make_panel):
+    # 90 reference days with the values 0…89: nine to each tenth. The 14 recent days are dealt
+    # by hand: seven in the lowest tenth, four in the middle, three above all.
+    recent = [1, 2, 3, 4, 5, 6, 7, 41, 42, 43, 44, 95, 96, 97]
+    values = [50.5] * 20 + list(range(90)) + recent
+    df = make_panel({"a": [1.0] * 124}, u=lambda i: float(values[i]))
+    want = index([9] * 10, [7, 0, 0, 0, 4, 0, 0, 0, 0, 3])
+    assert psi(df, "u")[("a", "u")] == pytest.approx(want, rel=1e-9)
+    even = make_panel({"a": [1.0] * 104}, u=lambda i: float(i % 90))
+    assert psi(even, "u")[("a", "u")] == pytest.approx(index([9] * 10, [9, 5, *[0] * 8]), rel=1e-9)
 
 
 def test_psi_edge_cases(make_panel):

@@ -80,6 +80,9 @@ def test_fingerprint_ignores_layout_but_not_content(spark):
     assert lake.fingerprint(df.orderBy(F.desc("a")).repartition(5), ["a", "b"]).first() == base
     other = df.withColumn("b", F.when(F.col("a") == 3, "x").otherwise(F.col("b")))
     assert lake.fingerprint(other, ["a", "b"]).first().digest != base.digest
+    sides = spark.createDataFrame([("x|", "y"), ("x", "|y"), ("-", None), (None, "-")], "a string, b string")
+    prints = [lake.fingerprint(sides.limit(4).where(F.col("a").eqNullSafe(r.a) & F.col("b").eqNullSafe(r.b)), ["a", "b"]).first() for r in sides.collect()]
+    assert len({p.digest for p in prints}) == 4
 
 
 def test_run_log(spark, tmp_path):

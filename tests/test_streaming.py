@@ -69,6 +69,33 @@ def test_a_repeated_batch_writes_the_same_days(spark, tmp_path):
     assert len(silver_rows(spark, silver)) == 2
 
 
+def test_a_repeated_batch_keeps_stored_rows_of_reopened_days(spark, tmp_path):
+    bronze, silver, ck = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
+    dim = spark.createDataFrame([(D(2025, 1, d), float(d), 1) for d in range(1, 9)], DIM)
+
+    def step():
+        stream = jobs.file_stream(spark, bronze, FACTS, "*.parquet")
+        jobs.append_silver(spark, stream, dim, "arrival", silver, ck, late_days=3)
+
+    put(spark, bronze, [(D(2025, 1, 4), "a", 5.0), (D(2025, 1, 5), "a", 6.0)])
+    step()
+    put(spark, bronze, [(D(2025, 1, 4), "b", 7.0), (D(2025, 1, 6), "a", 8.0)])
+    step()
+    want = silver_rows(spark, silver)
+    assert [r[:3] for r in want] == [
+        ("2025-01-04", "a", 5.0), ("2025-01-04", "b", 7.0), ("2025-01-05", "a", 6.0), ("2025-01-06", "a", 8.0),
+    ]
+    last = max(int(p.name) for p in (tmp_path / "ck" / "commits").iterdir() if p.name.isdigit())
+    for p in list((tmp_path / "ck" / "commits").iterdir()):  # the commit of the last batch is lost
+        if p.name in (str(last), f".{last}.crc"):
+            p.unlink()
+    step()
+    assert silver_rows(spark, silver) == want
+    put(spark, bronze, [(D(2025, 1, 4), "c", 9.0)])
+    step()
+    assert silver_rows(spark, silver) == sorted([*want, ("2025-01-04", "c", 9.0, 4.0)])
+
+
 def test_daily_totals_equal_the_batch_for_closed_days(spark, tmp_path):
     src = str(tmp_path / "src")
     rows = [(dt.datetime(2025, 1, 1 + i // 4, 3 * (i % 4)), "k", float(i)) for i in range(40)]
