@@ -39,6 +39,10 @@ HEADLINE = [
     "served_forecast",
     "stream_daily_totals",
     "tree_backtest",
+    "holdout_predictions",
+    "tree_cv_scores",
+    "tree_importance",
+    "served_ensemble",
 ]
 
 

@@ -7,53 +7,55 @@ from pyspark.sql import functions as F
 from dayloom import settings as S
 from dayloom.catalog import base as B
 from dayloom.catalog.base import entry
-from dayloom.catalog.forecasts import LINEAR, fixed_cases
+from dayloom.catalog.forecasts import FITTED
 from dayloom.operators import backtest as BT
 from dayloom.operators import forecast as FC
 from dayloom.operators import registry as RG
 from dayloom.operators import reports as R
+from dayloom.plans import training
 
 MODELS = ["linear", "seasonal_naive", "persistence", "ensemble"]
 
-LONG = f"""{LINEAR},
+LONG = f"""{FITTED},
     long AS (SELECT series_id, origin, h, y, 'linear' AS model, linear AS yhat FROM wide
       UNION ALL SELECT series_id, origin, h, y, 'seasonal_naive', seasonal_naive FROM wide
       UNION ALL SELECT series_id, origin, h, y, 'persistence', persistence FROM wide
       UNION ALL SELECT series_id, origin, h, y, 'ensemble', 0.5::DOUBLE * linear + 0.5::DOUBLE * seasonal_naive FROM wide),
-    sc AS (SELECT series_id, model, COUNT(*) AS n_points, AVG(ABS(yhat - y)) AS mae, SQRT(AVG((yhat - y) * (yhat - y))) AS rmse,
+    marks AS (SELECT series_id, model, COUNT(*) AS n_points, AVG(ABS(yhat - y)) AS mae, SQRT(AVG((yhat - y) * (yhat - y))) AS rmse,
       AVG(ABS(yhat - y) / GREATEST(ABS(y), 2.220446049250313e-16)) * 100 AS mape_pct, AVG(yhat - y) AS bias
       FROM long GROUP BY 1, 2)"""
 
 
 def scored_cases(panel):
-    cases = fixed_cases(panel)
+    """The fitted linear model, both baselines and the blend of the model with the seasonal one."""
+    cases = training.linear_backtest(panel)
     return cases.withColumn("ensemble", FC.blend_arrays(F.col("linear"), F.col("seasonal_naive")))
 
 
 @entry(
     "backtest_scores",
-    f"""WITH RECURSIVE {LONG}, b AS (SELECT series_id, mae AS naive FROM sc WHERE model = 'seasonal_naive')
-    SELECT sc.series_id, model, n_points, ROUND(mae, 9) AS mae, ROUND(rmse, 9) AS rmse, ROUND(mape_pct, 6) AS mape_pct,
-      ROUND(bias, 9) + 0.0 AS bias, CASE WHEN model = 'seasonal_naive' THEN 1.0 ELSE ROUND(mae / naive, 8) END::DOUBLE AS mase
-    FROM sc JOIN b ON b.series_id = sc.series_id""",
+    f"""WITH RECURSIVE {LONG}, b AS (SELECT series_id, mae AS naive FROM marks WHERE model = 'seasonal_naive')
+    SELECT marks.series_id, model, n_points, ROUND(mae, 6) AS mae, ROUND(rmse, 6) AS rmse, ROUND(mape_pct, 4) AS mape_pct,
+      ROUND(bias, 6) + 0.0 AS bias, CASE WHEN model = 'seasonal_naive' THEN 1.0 ELSE ROUND(mae / naive, 5) END::DOUBLE AS mase
+    FROM marks JOIN b ON b.series_id = marks.series_id""",
 )
 def backtest_scores(spark, sf):
     """MAE, RMSE, MAPE, bias and relative MAE per model."""
-    out = BT.relative_mae(BT.score(FC.to_long(scored_cases(B.panel(spark, sf)), MODELS)))
-    return B.rounded(out, 9, mape_pct=6, mase=8)
+    out = BT.relative_mae(BT.score(FC.to_long(scored_cases(B.gold(spark, sf)), MODELS)))
+    return B.rounded(out, 6, mape_pct=4, mase=5)
 
 
 @entry(
     "mae_by_horizon",
-    f"""WITH RECURSIVE {LONG} SELECT series_id, model, h, ROUND(AVG(ABS(yhat - y)), 11) AS mae,
-      ROUND(STDDEV_SAMP(yhat - y), 8) AS sigma, COUNT(*) AS n_origins FROM long GROUP BY 1, 2, 3""",
+    f"""WITH RECURSIVE {LONG} SELECT series_id, model, h, ROUND(AVG(ABS(yhat - y)), 6) AS mae,
+      ROUND(STDDEV_SAMP(yhat - y), 6) AS sigma, COUNT(*) AS n_origins FROM long GROUP BY 1, 2, 3""",
 )
 def mae_by_horizon(spark, sf):
     """Error by step ahead."""
-    return B.rounded(BT.mae_by_step(FC.to_long(scored_cases(B.panel(spark, sf)), MODELS)), 11, sigma=8)
+    return B.rounded(BT.mae_by_step(FC.to_long(scored_cases(B.gold(spark, sf)), MODELS)), 6)
 
 
-CURVE = f"""{LINEAR},
+CURVE = f"""{FITTED},
     ws AS (SELECT CAST(UNNEST(range(0, 21)) AS DOUBLE) * 5 / 100 AS w),
     curve AS (SELECT series_id, w AS weight, AVG(ABS(w * linear + (1 - w) * seasonal_naive - y)) AS mae
       FROM wide CROSS JOIN ws GROUP BY 1, 2)"""
@@ -61,23 +63,23 @@ CURVE = f"""{LINEAR},
 
 @entry(
     "weight_curve",
-    f"WITH RECURSIVE {CURVE} SELECT series_id, weight, ROUND(mae, 9) AS mae FROM curve",
+    f"WITH RECURSIVE {CURVE} SELECT series_id, weight, ROUND(mae, 6) AS mae FROM curve",
 )
 def weight_curve(spark, sf):
     """MAE of the blend at 21 weights."""
-    wide = FC.to_wide(fixed_cases(B.panel(spark, sf)), ["linear", "seasonal_naive"])
-    return B.rounded(BT.weight_curve(wide, "linear", "seasonal_naive"))
+    wide = FC.to_wide(training.linear_backtest(B.gold(spark, sf)), ["linear", "seasonal_naive"])
+    return B.rounded(BT.weight_curve(wide, "linear", "seasonal_naive"), 6)
 
 
 @entry(
     "best_weight",
     f"""WITH RECURSIVE {CURVE} SELECT series_id, arg_min(weight, (ROUND(mae, 12), weight)) AS best_weight,
-      ROUND(MIN(mae), 9) AS best_mae FROM curve GROUP BY 1""",
+      ROUND(MIN(mae), 6) AS best_mae FROM curve GROUP BY 1""",
 )
 def best_weight(spark, sf):
     """The best weight, lowest on ties."""
-    wide = FC.to_wide(fixed_cases(B.panel(spark, sf)), ["linear", "seasonal_naive"])
-    return B.rounded(BT.best_weight(BT.weight_curve(wide, "linear", "seasonal_naive")))
+    wide = FC.to_wide(training.linear_backtest(B.gold(spark, sf)), ["linear", "seasonal_naive"])
+    return B.rounded(BT.best_weight(BT.weight_curve(wide, "linear", "seasonal_naive")), 6)
 
 
 def _boot_sql(n_boot: int) -> str:
@@ -95,7 +97,7 @@ def _boot_sql(n_boot: int) -> str:
         QUANTILE_CONT(diff{i}, 0.025) AS ci_lo, QUANTILE_CONT(diff{i}, 0.975) AS ci_hi FROM diffs GROUP BY 1"""
         for i, (a, b) in enumerate(pairs)
     )
-    return f"""WITH RECURSIVE {LINEAR},
+    return f"""WITH RECURSIVE {FITTED},
     blocks AS (SELECT series_id, origin, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY origin) - 1 AS pos,
       COUNT(*) OVER (PARTITION BY series_id) AS k, n, d0, d1, d2
       FROM (SELECT series_id, origin, CAST(COUNT(*) AS DOUBLE) AS n, {sums} FROM wide GROUP BY 1, 2)),
@@ -106,7 +108,7 @@ def _boot_sql(n_boot: int) -> str:
     diffs AS (SELECT d.series_id, d.b, SUM(d0) / SUM(n) AS diff0, SUM(d1) / SUM(n) AS diff1, SUM(d2) / SUM(n) AS diff2
       FROM draws d JOIN blocks x ON x.series_id = d.series_id AND x.pos = d.pos GROUP BY 1, 2),
     u AS ({out})
-    SELECT series_id, pair, ROUND(dmae, 8) + 0.0 AS dmae, ROUND(ci_lo, 8) + 0.0 AS ci_lo, ROUND(ci_hi, 8) + 0.0 AS ci_hi,
+    SELECT series_id, pair, ROUND(dmae, 6) + 0.0 AS dmae, ROUND(ci_lo, 6) + 0.0 AS ci_lo, ROUND(ci_hi, 6) + 0.0 AS ci_hi,
       CASE WHEN ci_hi < 0 THEN 'first' WHEN ci_lo > 0 THEN 'second' ELSE 'tie' END AS verdict FROM u"""
 
 
@@ -114,7 +116,7 @@ def _boot_sql(n_boot: int) -> str:
 def block_bootstrap(spark, sf):
     """Resampled intervals of three MAE differences and their verdicts."""
     pairs = [("linear", "seasonal_naive"), ("ensemble", "seasonal_naive"), ("ensemble", "linear")]
-    return B.rounded(BT.block_bootstrap(scored_cases(B.panel(spark, sf)), pairs), 8)
+    return B.rounded(BT.block_bootstrap(scored_cases(B.gold(spark, sf)), pairs), 6)
 
 
 BASELINE = f"""{CURVE},
@@ -130,9 +132,9 @@ BASELINE = f"""{CURVE},
 @entry(
     "training_baseline",
     f"""WITH RECURSIVE {BASELINE}
-    SELECT m.series_id, ROUND(linear_mae, 9) AS linear_mae, ROUND(seasonal_naive_mae, 9) AS seasonal_naive_mae,
-      ROUND(ensemble_mae, 9) AS ensemble_mae, n_holdout, best_weight, ROUND(best_mae, 9) AS best_mae,
-      ROUND(seasonal_naive, 9) AS seasonal_naive, ROUND(persistence, 9) AS persistence,
+    SELECT m.series_id, ROUND(linear_mae, 6) AS linear_mae, ROUND(seasonal_naive_mae, 6) AS seasonal_naive_mae,
+      ROUND(ensemble_mae, 6) AS ensemble_mae, n_holdout, best_weight, ROUND(best_mae, 6) AS best_mae,
+      ROUND(seasonal_naive, 6) AS seasonal_naive, ROUND(persistence, 6) AS persistence,
       CASE WHEN linear_mae <= seasonal_naive_mae THEN 'linear' ELSE 'seasonal_naive' END AS champion,
       CAST(0.5 AS DOUBLE) AS config_weight, CASE WHEN ensemble_mae >= seasonal_naive THEN 1 ELSE 0 END AS loses_to_naive,
       CASE WHEN ABS(best_weight - 0.5) > 1e-9 AND ensemble_mae - best_mae > 0.001 THEN 1 ELSE 0 END AS weight_suboptimal
@@ -141,13 +143,13 @@ BASELINE = f"""{CURVE},
 def training_baseline(spark, sf):
     """The record written after training, with both warnings."""
     panel = B.gold(spark, sf)
-    wide = FC.to_wide(fixed_cases(panel), ["linear", "seasonal_naive"])
+    wide = FC.to_wide(training.linear_backtest(panel), ["linear", "seasonal_naive"])
     one = FC.one_step_baselines(panel)
     naive = one.groupBy("series_id").agg(
         F.avg(F.abs(F.col("seasonal_naive") - F.col("y"))).alias("seasonal_naive"),
         F.avg(F.abs(F.col("persistence") - F.col("y"))).alias("persistence"),
     )
-    return B.rounded(BT.training_baseline(wide, "linear", "seasonal_naive", naive))
+    return B.rounded(BT.training_baseline(wide, "linear", "seasonal_naive", naive), 6)
 
 
 @entry(
@@ -173,22 +175,22 @@ def paired_holdouts(spark, sf):
 
 @entry(
     "skill_table",
-    f"""WITH RECURSIVE {LONG}, b AS (SELECT series_id, mae AS naive FROM sc WHERE model = 'seasonal_naive')
-    SELECT sc.series_id, model, ROUND(mae, 3) AS mae, ROUND(mae / naive, 2)::DOUBLE AS mase, ROUND(bias, 3) + 0.0 AS bias,
-      ROUND((naive - mae) / naive * 100, 5) + 0.0 AS skill_pct FROM sc JOIN b ON b.series_id = sc.series_id WHERE mae IS NOT NULL""",
+    f"""WITH RECURSIVE {LONG}, b AS (SELECT series_id, mae AS naive FROM marks WHERE model = 'seasonal_naive')
+    SELECT marks.series_id, model, ROUND(mae, 3) AS mae, ROUND(mae / naive, 2)::DOUBLE AS mase, ROUND(bias, 3) + 0.0 AS bias,
+      ROUND((naive - mae) / naive * 100, 3) + 0.0 AS skill_pct FROM marks JOIN b ON b.series_id = marks.series_id WHERE mae IS NOT NULL""",
 )
 def skill_table(spark, sf):
     """Display table per model and gain over the naive forecast."""
     from pyspark.sql import Window
 
-    s = BT.relative_mae(BT.score(FC.to_long(scored_cases(B.panel(spark, sf)), MODELS)))
+    s = BT.relative_mae(BT.score(FC.to_long(scored_cases(B.gold(spark, sf)), MODELS)))
     naive = F.max(F.when(F.col("model") == "seasonal_naive", F.col("mae"))).over(
         Window.partitionBy("series_id")
     )
     out = s.withColumn("skill_pct", BT.skill_pct(F.col("mae"), naive)).where(F.col("mae").isNotNull())
     return B.rounded(
         out.select("series_id", "model", "mae", "mase", "bias", "skill_pct"),
-        mae=3, mase=2, bias=3, skill_pct=5,
+        mae=3, mase=2, bias=3, skill_pct=3,
     )
 
 
@@ -198,10 +200,10 @@ def skill_table(spark, sf):
     bt AS (SELECT series_id, ensemble_mae, seasonal_naive_mae FROM m WHERE substr(series_id, 1, 1) IN ('1', '2', '3')),
     h AS (SELECT series_id, persistence AS ensemble_mae, seasonal_naive AS seasonal_naive_mae FROM nb)
     SELECT h.series_id, CASE WHEN bt.series_id IS NOT NULL THEN 'walk-forward' ELSE 'holdout' END AS source,
-      ROUND(COALESCE(bt.ensemble_mae, h.ensemble_mae), 9) AS ensemble_mae,
-      ROUND(COALESCE(bt.seasonal_naive_mae, h.seasonal_naive_mae), 9) AS seasonal_naive_mae,
+      ROUND(COALESCE(bt.ensemble_mae, h.ensemble_mae), 6) AS ensemble_mae,
+      ROUND(COALESCE(bt.seasonal_naive_mae, h.seasonal_naive_mae), 6) AS seasonal_naive_mae,
       ROUND((COALESCE(bt.seasonal_naive_mae, h.seasonal_naive_mae) - COALESCE(bt.ensemble_mae, h.ensemble_mae))
-        / COALESCE(bt.seasonal_naive_mae, h.seasonal_naive_mae) * 100, 6) + 0.0 AS skill_pct
+        / COALESCE(bt.seasonal_naive_mae, h.seasonal_naive_mae) * 100, 4) + 0.0 AS skill_pct
     FROM h LEFT JOIN bt ON bt.series_id = h.series_id""",
 )
 def accuracy_view(spark, sf):
@@ -216,7 +218,7 @@ def accuracy_view(spark, sf):
         F.avg(F.abs(F.col("persistence") - F.col("y"))).alias("ensemble_mae"),
         F.avg(F.abs(F.col("seasonal_naive") - F.col("y"))).alias("seasonal_naive_mae"),
     )
-    return B.rounded(R.accuracy_view(tested, holdout), 9, skill_pct=6)
+    return B.rounded(R.accuracy_view(tested, holdout), 6, skill_pct=4)
 
 
 # --- registry: one run per priority and order month ---

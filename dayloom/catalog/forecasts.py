@@ -344,6 +344,19 @@ _FITTED = "f.m[1][11]" + "".join(
 ) + "".join(f" + f.m[{i}][11] * s.{c}" for i, c in enumerate(S.EXOG, start=7))
 
 
+# The rolling origins with the fitted model's recursive path.
+FITTED = f"""{FIT},
+    hist AS (SELECT o.series_id, o.origin, list(g.y / 1e6 ORDER BY g.ds) AS path
+      FROM o JOIN gold g ON g.series_id = o.series_id AND g.ds BETWEEN o.origin - 13 AND o.origin GROUP BY 1, 2),
+    rec AS (SELECT series_id, origin, 0 AS h, path FROM hist
+      UNION ALL
+      SELECT r.series_id, r.origin, r.h + 1, list_append(r.path, {_FITTED})
+      FROM rec r JOIN fit f ON f.series_id = r.series_id
+        JOIN sc s ON s.series_id = r.series_id AND s.ds = r.origin + r.h + 1 WHERE r.h < 14),
+    wide AS (SELECT b.series_id, b.origin, b.h, b.ds, r.path[len(r.path)] AS linear, b.seasonal_naive, b.persistence, b.y
+      FROM base b JOIN rec r ON r.series_id = b.series_id AND r.origin = b.origin AND r.h = b.h)"""
+
+
 @entry(
     "linear_coefficients",
     f"""WITH RECURSIVE {FIT}, e AS (SELECT f.series_id, x.i, f.m[x.i][11] AS b,
@@ -363,17 +376,8 @@ def linear_coefficients(spark, sf):
 
 @entry(
     "linear_backtest",
-    f"""WITH RECURSIVE {FIT},
-    hist AS (SELECT o.series_id, o.origin, list(g.y / 1e6 ORDER BY g.ds) AS path
-      FROM o JOIN gold g ON g.series_id = o.series_id AND g.ds BETWEEN o.origin - 13 AND o.origin GROUP BY 1, 2),
-    rec AS (SELECT series_id, origin, 0 AS h, path FROM hist
-      UNION ALL
-      SELECT r.series_id, r.origin, r.h + 1, list_append(r.path, {_FITTED})
-      FROM rec r JOIN fit f ON f.series_id = r.series_id
-        JOIN sc s ON s.series_id = r.series_id AND s.ds = r.origin + r.h + 1 WHERE r.h < 14)
-    SELECT b.series_id, b.origin, b.h, b.ds, ROUND(r.path[len(r.path)], 7) AS linear, ROUND(seasonal_naive, 12) AS seasonal_naive,
-      ROUND(persistence, 12) AS persistence, ROUND(y, 12) AS y
-    FROM base b JOIN rec r ON r.series_id = b.series_id AND r.origin = b.origin AND r.h = b.h""",
+    f"""WITH RECURSIVE {FITTED} SELECT series_id, origin, h, ds, ROUND(linear, 7) AS linear, ROUND(seasonal_naive, 12) AS seasonal_naive,
+      ROUND(persistence, 12) AS persistence, ROUND(y, 12) AS y FROM wide""",
 )
 def linear_backtest(spark, sf):
     """Linear model fitted per series before the window, on the rolling origins."""
