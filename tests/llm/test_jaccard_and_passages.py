@@ -105,7 +105,13 @@ def test_align_finds_the_passage():
     a[40:120] = core
     b[45:125] = core
     b[70] = -1
-    assert align(a, b, -5, 15) == (40, 120, 45, 125, 79)
+    pairs = [(a, b), (a[30:], b), (a[:20], b), (a, b[100:])]
+    low = np.array([-5, 25, -5, -105])
+    got = align([p[0] for p in pairs], [p[1] for p in pairs], low, low + 20, cells=50)
+    assert got[0].tolist() == [40, 120, 45, 125, 79] and got[1].tolist() == [10, 90, 45, 125, 79]
+    assert got[3].tolist() == [95, 120, 0, 25, 25]
+    inserted = np.concatenate([b[:80], [-5, -6], b[80:]])
+    assert align([a], [inserted], np.array([-5]), np.array([15]))[0].tolist() == [40, 120, 45, 127, 79]
 
 
 def test_planted_passages_are_found_and_cut(spark, docs, words):
