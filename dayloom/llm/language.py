@@ -48,8 +48,9 @@ def _scripts(part: T.Slice) -> np.ndarray:
     """Script of every word: the highest of its letters, -1 without letters."""
     out = np.full(len(part.starts), -1)
     d = part.data
-    at = np.flatnonzero((d >= 97) & (d <= 122))
-    out[np.unique(np.searchsorted(part.starts, at, side="right") - 1)] = 0
+    if not len(out):
+        return out
+    out[np.add.reduceat(((d >= 97) & (d <= 122)).astype(np.int32), part.starts) > 0] = 0
     lead = np.flatnonzero(d >= 0xC3)
     if len(lead):
         size = np.where(d[lead] < 0xE0, 1, np.where(d[lead] < 0xF0, 2, 3))
