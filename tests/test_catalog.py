@@ -9,7 +9,7 @@ from tests.compare import compare, duck
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = driver.QUERIES, driver.ORACLES
 
 
 @pytest.fixture(scope="module")
