@@ -183,7 +183,7 @@ def jaccard_components(
     sketches = stage(sketches, "sketches")
     near = F.expr(f"least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b)")
     links = labels = tried = None
-    turn, last = 0, False
+    turn, last, linked = 0, False, True
     while not last:
         placed = postings.withColumn("comp", F.col("cls"))
         if labels is not None:
@@ -191,16 +191,19 @@ def jaccard_components(
             placed = placed.select("token", "cls", "n", F.coalesce("component", "cls").alias("comp"))
         groups = placed.groupBy("token").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"),
+            F.bit_xor(F.xxhash64("cls")).alias("x1"), F.bit_xor(F.xxhash64("cls", F.lit("x"))).alias("x2"),
             F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("r"), "cls", "n", "comp")).alias("pivot"),
         )
-        open_ = stage(placed.join(groups.where("lo <> hi").select("token", "pivot", "m"), "token"), "open")
+        # shingles with the same classes make the same pairs: one of them is enough
+        groups = groups.where("lo <> hi").groupBy("m", "x1", "x2").agg(F.min("token").alias("token"), F.first("pivot").alias("pivot"))
+        open_ = stage(placed.join(groups.select("token", "pivot", "m"), "token"), "open")
         size = open_.agg(F.count("*").alias("rows"), F.sum("m").alias("pairs")).first()
         if not size.rows:
             break
         # every row of a group of m stands for m pairs; groups are left to the last round when
-        # they are small, or star rounds have had their turns
-        last = turn >= STAR_ROUNDS[1] or (turn >= STAR_ROUNDS[0] and size.pairs <= 4 * size.rows)
-        turn += 1
+        # they are small, or star rounds have had their turns or link nothing more
+        last = turn >= STAR_ROUNDS[1] or (turn >= STAR_ROUNDS[0] and (size.pairs <= 4 * size.rows or not linked))
+        turn, linked = turn + 1, False
         postings = open_.select("token", "cls", "n")
         if last:
             left = open_.select("token", *[F.col(x).alias(y) for x, y in (("cls", "a"), ("n", "n_a"), ("comp", "c_a"))])
@@ -226,6 +229,7 @@ def jaccard_components(
         wanted = stage(owners.join(ends, "cls", "left_semi").select("cls", "owner"), "wanted")
         found = stage(_verified(possible, _whole_sets(docs, wanted, key, text, k), percent), "found")
         if not found.isEmpty():
+            linked = True
             links = found if links is None else links.union(found)
             labels = stage(components(links), "labels")
     named = owners.select("cls", "owner", F.col("cls").alias("component"))
