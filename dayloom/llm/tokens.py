@@ -15,8 +15,10 @@ _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHERS = [b for b in range(256) if b not in set(_PLAIN)]
 BYTE_NAMES = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
 
+_SIMPLE = regex.compile(r"[!-~\u00A1-\u017F]*")
+
 #: Words remembered: so many for good, and as many again until they are forgotten together.
-WORDS = 150_000
+WORDS = 400_000
 
 
 class WordTokens(dict):
@@ -58,7 +60,7 @@ class WordTokens(dict):
     def of(self, word: bytes) -> list[int]:
         text = word.decode("utf-8", "replace")
         small = text.lower()
-        if all("!" <= c <= "~" or "¡" <= c < "ƀ" for c in small) and "<|" not in text:
+        if _SIMPLE.fullmatch(small) and "<|" not in text:
             return [i for p in self.cut.findall(small) for i in self._piece(p)]
         return self.whole.encode(text, add_special_tokens=False).ids
 
