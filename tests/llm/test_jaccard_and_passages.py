@@ -6,7 +6,7 @@ import numpy as np
 
 import dayloom.llm.jaccard_join as J
 from dayloom.llm.graph import components
-from dayloom.llm.passages import Settings, align, chains, repeated_passages, without_passages
+from dayloom.llm.passages import Settings, _all_passages, align, chains, repeated_passages, without_passages
 
 
 def brute(rows, k=3, percent=90):
@@ -141,3 +141,30 @@ def test_passages_of_odd_rows(spark, docs, odd_rows):
     out = repeated_passages(docs(odd_rows)).collect()
     assert {(r.doc_id, r.source) for r in out} == {(4, 4), (5, 4)}
     assert repeated_passages(docs([])).collect() == []
+
+
+def test_two_passages_with_different_words_between(spark, docs, words):
+    own = lambda n, name: " ".join(f"{name}x{k}" for k in range(n))
+    rows, want = [], set()
+    sizes = [(60, 35, 60), (100, 60, 100), (200, 120, 200), (60, 100, 60), (100, 220, 60)]
+    for n, (left, gap, right) in enumerate(sizes):
+        p, q = words(left, f"p{n}"), words(right, f"q{n}")
+        for i in (2 * n, 2 * n + 1):
+            rows.append((i, " ".join([own(20, f"a{i}"), p, own(gap, f"b{i}"), q, own(20, f"c{i}")]), "en"))
+        want |= {(n, 20, left), (n, 20 + left + gap, right)}
+    out = repeated_passages(docs(rows)).collect()
+    near = {(n, a, m) for n, a, m in want for r in out
+            if r.doc_id // 2 == n == r.source // 2 and abs(r["first"] - a) <= 3 and abs(r["last"] - a - m) <= 3}
+    assert near == want and len(out) == len(want)
+
+
+def test_a_similar_whole_is_kept_and_a_rejected_one_is_broken():
+    rng = np.random.default_rng(4)
+    part = lambda n: rng.integers(0, 1 << 30, n)
+    s = Settings()
+    for sizes, want in [((30, 25, 70), [(0, 125)]), ((60, 35, 60), [(0, 60), (95, 155)]), ((20, 10, 20), [(0, 50)]),
+                        ((45, 40, 45), []), ((300, 90, 300), [(0, 300), (390, 690)])]:
+        left, right = part(sizes[0]), part(sizes[2])
+        a, b = (np.concatenate([left, part(sizes[1]), right]) for _ in range(2))
+        _, found = _all_passages([a], [b], np.array([-10]), np.array([10]), s)
+        assert sorted(map(tuple, found[:, :2].tolist())) == want
