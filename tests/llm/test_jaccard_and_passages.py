@@ -6,7 +6,7 @@ import numpy as np
 
 import dayloom.llm.jaccard_join as J
 from dayloom.llm.graph import components
-from dayloom.llm.passages import Settings, _all_passages, align, chains, repeated_passages, without_passages
+from dayloom.llm.passages import Settings, _all_passages, align, chains, covering, repeated_passages, without_passages
 
 
 def brute(rows, k=3, percent=90):
@@ -168,3 +168,30 @@ def test_a_similar_whole_is_kept_and_a_rejected_one_is_broken():
         a, b = (np.concatenate([left, part(sizes[1]), right]) for _ in range(2))
         _, found = _all_passages([a], [b], np.array([-10]), np.array([10]), s)
         assert sorted(map(tuple, found[:, :2].tolist())) == want
+
+
+def test_texts_with_parts_of_a_passage_do_not_hide_it(spark, docs):
+    own = lambda n, name: " ".join(f"{name}x{k}" for k in range(n))
+    rows = []
+    for n in range(12):  # two holders, and texts with its first 45, or first and last 30 words
+        p = own(60, f"p{n}").split()
+        for i in (0, 1):
+            rows.append((10 * n + i, " ".join([own(30, f"a{n}-{i}"), *p, own(30, f"b{n}-{i}")]), "en"))
+        for i, part in enumerate([p[:45]] if n % 2 else [p[:30], p[30:]]):
+            rows.append((10 * n + 5 + i, " ".join([own(30, f"c{n}-{i}"), *part, own(30, f"d{n}-{i}")]), "en"))
+    rows += [(900 + i, own(20, f"e{i}") + " again" * 70, "en") for i in range(2)]
+    out = repeated_passages(docs(rows)).collect()
+    pairs = {tuple(sorted((r.doc_id, r.source))) for r in out if r["first"] == 30 and r["last"] == 90}
+    assert pairs == {(10 * n, 10 * n + 1) for n in range(12)}
+    again = [r for r in out if r.doc_id >= 900]
+    assert {w for r in again for w in range(r["first"], r["last"])} == set(range(20, 90)) and len(out) == 12 + len(again)
+
+
+def test_covering_runs_hold_every_word():
+    rng = random.Random(6)
+    for _ in range(200):
+        points = sorted({(rng.randrange(40), rng.randrange(6)) for _ in range(rng.randrange(1, 12))})
+        x, y = np.array([p[0] for p in points]), np.array([p[1] for p in points])
+        found = covering(x, y, 5)
+        want = {w for a, _ in points for w in range(a, a + 5)}
+        assert {w for a, b, _ in found for w in range(a, b)} == want
