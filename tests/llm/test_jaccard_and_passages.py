@@ -6,7 +6,9 @@ import numpy as np
 
 import dayloom.llm.jaccard_join as J
 from dayloom.llm.graph import components
-from dayloom.llm.passages import Settings, _all_passages, align, chains, covering, repeated_passages, without_passages
+from dayloom.llm.passages import (
+    Settings, _all_passages, align, chains, covering, minimizers, repeated_passages, without_passages,
+)
 
 
 def brute(rows, k=3, percent=90):
@@ -195,3 +197,24 @@ def test_covering_runs_hold_every_word():
         found = covering(x, y, 5)
         want = {w for a, _ in points for w in range(a, a + 5)}
         assert {w for a, b, _ in found for w in range(a, b)} == want
+
+
+def test_fuzzy_passages_reach_a_chain():
+    rng = np.random.default_rng(9)
+    s = Settings()
+    draw = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    for n, changed in [(60, 6), (60, 12), (100, 10), (100, 15), (100, 20)]:
+        missed = 0
+        for trial in range(40):
+            core = draw(n)
+            other = core.copy()
+            step = n // changed  # every step-th word, or any
+            at = np.arange(step - 1, n, step)[:changed] if trial % 2 and step > 5 else rng.choice(n, changed, replace=False)
+            other[at] = draw(len(at))
+            a, b = (np.concatenate([draw(40), x, draw(40)]) for x in (core, other))
+            # by brute force, the planted words are a passage on their diagonal
+            assert (a == b).sum() >= s.similarity * n
+            (ha, x), (hb, y) = minimizers(a, s), minimizers(b, s)
+            _, i, j = np.intersect1d(ha, hb, return_indices=True)
+            missed += not len(i) or not chains(x[i], y[j], s)
+        assert missed <= 1
