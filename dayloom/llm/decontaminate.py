@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Q = 12
-WINDOW, STRIDE = 80, 40
+#: A window begins at every character, so equal excerpts are found wherever they begin.
+WINDOW, STRIDE = 80, 1
 #: One edit for so many characters of a window.
 PER_EDIT = 16
 #: Benchmark characters indexed at a time; a larger benchmark goes through in blocks.
-BLOCK_CHARS = 1 << 24
+BLOCK_CHARS = 1 << 17
 SLICE_CHARS = 1 << 20
+#: Windows aligned at a time.
+VERIFIED = 1 << 14
 _TABLE_BITS = 24
 
 
@@ -75,7 +78,7 @@ class Index:
             padded[k, : len(t)] = t
         return {
             "owner": np.array(owner, np.int64), "sizes": sizes, "windows": padded, "hashes": unique,
-            "first": np.append(first, len(flat)), "window": window[order], "place": place[order],
+            "first": np.append(first, len(flat)), "window": window[order].astype(np.int32), "place": place[order].astype(np.int16),
             "edits": np.array([budget(n) for n in sizes.tolist()], np.int64),
         }
 
@@ -90,7 +93,7 @@ class Index:
         at, k = at[real], k[real]
         many = self.first[k + 1] - self.first[k]
         each = np.repeat(self.first[k] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        window, diagonal = self.window[each], np.repeat(at, many) - self.place[each]
+        window, diagonal = self.window[each].astype(np.int64), np.repeat(at, many) - self.place[each]
         # two families of bands of width 2e + 2, shifted by half: one holds any spread up to e
         width = 2 * (self.edits[window] + 1)
         shifted = diagonal + WINDOW  # not negative
@@ -101,8 +104,9 @@ class Index:
         window, low = key >> 40, (key & ((1 << 40) - 1)) - 2 * WINDOW
         need = self.sizes[window] + 1 - Q * (self.edits[window] + 1)
         good = count >= need
-        if good.any():
-            yield self._verify(points, window[good], low[good])
+        window, low = window[good], low[good]
+        for k in range(0, len(window), VERIFIED):
+            yield self._verify(points, window[k : k + VERIFIED], low[k : k + VERIFIED])
 
     def _verify(self, points, window, low):
         """Least edits of each window against the text around its band; those within budget."""
@@ -169,8 +173,8 @@ def contamination(
     text shares ``size + 1 - Q * (e + 1)`` q-grams with it, on diagonals at most e apart: bands
     of diagonals with so many are aligned, and those within e edits match. ``windows`` is the
     number of the item's windows found, ``first, last`` the places of the region in the
-    normalised text, ``edits`` the fewest edits of a window. Any passage of ``WINDOW + STRIDE``
-    characters of an item holds a whole window.
+    normalised text, ``edits`` the fewest edits of a window. As windows begin at every character,
+    any passage of ``WINDOW`` characters of an item within the edits is found.
 
     Null and empty texts share nothing, nor do items of fewer than ``Q`` characters; equal
     items and repeated rows are reported one by one; null keys stay null; other columns are
@@ -205,7 +209,8 @@ def _finder(sent, key: str):
                     hi += 1
                 points = np.frombuffer("\0".join(texts[lo:hi]).encode("utf-32-le", "replace"), np.uint32)
                 starts = np.cumsum([0] + [len(x) + 1 for x in texts[lo:hi]])[:-1]
-                for window, first, last, edits in index.search(points) if len(index.hashes) else ():
+                hits_of = list(index.search(points)) if len(index.hashes) else []
+                for window, first, last, edits in [map(np.concatenate, zip(*hits_of, strict=True))] if hits_of else ():
                     doc = np.searchsorted(starts, (first + last) // 2, side="right") - 1
                     groups: dict = {}
                     for w, d, a, b, e in zip(*(x.tolist() for x in (window, doc, first, last, edits)), strict=True):

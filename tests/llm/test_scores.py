@@ -183,6 +183,21 @@ def test_windows_match_exhaustive_edit_distance():
         assert (w in found) == (edits <= budget(len(window)))
 
 
+def test_excerpts_are_found_wherever_they_begin():
+    rng = random.Random(2)
+
+    def made(n):
+        return "".join(rng.choice("abcdefghijklmno") for _ in range(n))
+
+    item = made(300)
+    index = Index(Index.state([item]))
+    for size in (80, 90, 100):
+        for at in range(60, 100):
+            points = np.frombuffer((made(50) + item[at : at + size] + made(50)).encode("utf-32-le"), np.uint32)
+            hits = list(index.search(points))
+            assert hits and min(h[3].min() for h in hits if len(h[3])) == 0
+
+
 def test_contamination_of_tables(spark, docs, words, odd_rows, monkeypatch):
     items = [(1, words(60, 700)), (2, words(50, 701)), (3, None), (4, "tiny"), (5, words(60, 700))]
     benchmark = spark.createDataFrame([(*i, 0) for i in items], "item_id long, text string, doc_id long")
