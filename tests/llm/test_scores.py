@@ -93,6 +93,18 @@ def test_kneser_ney_filter(spark, docs, words, odd_rows):
     assert kneser_ney.perplexity_filter(docs([]), none).collect() == []
 
 
+def test_thresholds_take_all_trusted_rows(spark, docs, words, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "FIT_ROWS", 40)
+    rows = [(i, words(40, i, "de" if i < 60 else "en"), "de" if i < 60 else "en") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    out = kneser_ney.perplexity_filter(docs(rows), labels).collect()
+    for name in ("de", "en"):
+        own = [r for r in out if r.lang == name]
+        limit = np.percentile([r.perplexity for r in own], 100 * kneser_ney.QUANTILE) * kneser_ney.SLACK
+        for r in own:
+            assert np.isclose(r.threshold, limit * np.exp(kneser_ney.SPREAD / np.sqrt(r.n_bytes)))
+
+
 def test_toxic_terms_folds_and_exceptions(spark, docs, words, odd_rows):
     rng = random.Random(1)
     rows, marks = [], []
