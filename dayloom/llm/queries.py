@@ -14,8 +14,11 @@ from dayloom.llm.language import op6
 from dayloom.llm.packing import op7
 from dayloom.llm.passages import op8
 from dayloom.llm.quality_rules import op3
+from dayloom.llm.runs import op12
 from dayloom.llm.shards import op1
 from dayloom.llm.toxicity import op5
+from dayloom.llm.urls import op13
+from dayloom.llm.urls import oracle as urls_oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1,
@@ -28,5 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_qgram_contamination": op9,
     "op8_chained_passages": op8,
     "op10_jaccard_join": op10,
+    "op12_recompression_runs": op12,
+    "op13_bloom_cascade_urls": op13,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_bloom_cascade_urls": urls_oracle()}
