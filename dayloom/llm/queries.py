@@ -17,6 +17,8 @@ from dayloom.llm.quality_rules import op3
 from dayloom.llm.runs import op12
 from dayloom.llm.shards import op1
 from dayloom.llm.toxicity import op5
+from dayloom.llm.trie import ORACLE as TRIE_ORACLE
+from dayloom.llm.trie import op11
 from dayloom.llm.urls import op13
 from dayloom.llm.urls import oracle as urls_oracle
 
@@ -31,7 +33,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_qgram_contamination": op9,
     "op8_chained_passages": op8,
     "op10_jaccard_join": op10,
+    "op11_centroid_trie": op11,
     "op12_recompression_runs": op12,
     "op13_bloom_cascade_urls": op13,
 }
-ORACLES: dict[str, str] = {"op13_bloom_cascade_urls": urls_oracle()}
+ORACLES: dict[str, str] = {"op11_centroid_trie": TRIE_ORACLE, "op13_bloom_cascade_urls": urls_oracle()}
