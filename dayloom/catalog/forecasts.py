@@ -270,46 +270,6 @@ def linear_fit(spark, sf):
     return B.rounded(out, 8, rss=6, aic=4)
 
 
-@entry(
-    "lag_search",
-    f"""WITH {B.FEATURES}, t AS (SELECT series_id, y / 1e6 AS v, y_lag1, y_lag7, y_lag14 FROM features),
-    a AS (SELECT series_id, 1 AS lag, COUNT(*) AS n, REGR_SYY(v, y_lag1) * (1 - REGR_R2(v, y_lag1)) AS rss FROM t GROUP BY 1
-      UNION ALL SELECT series_id, 7, COUNT(*), REGR_SYY(v, y_lag7) * (1 - REGR_R2(v, y_lag7)) FROM t GROUP BY 1
-      UNION ALL SELECT series_id, 14, COUNT(*), REGR_SYY(v, y_lag14) * (1 - REGR_R2(v, y_lag14)) FROM t GROUP BY 1),
-    s AS (SELECT *, n * LN(rss / n) + 4 AS aic FROM a)
-    SELECT series_id, arg_min(CAST(lag AS VARCHAR), aic) AS lags, ROUND(MIN(aic), 4) AS aic FROM s GROUP BY 1""",
-)
-def lag_search(spark, sf):
-    """Best lag set by AIC, all candidates from one cross-product matrix (M5)."""
-    out = L.choose_lags(_simple_rows(spark, sf), [(1,), (7,), (14,)], [], "target")
-    return B.rounded(
-        out.select("series_id", F.array_join(F.col("lags").cast("array<string>"), ",").alias("lags"), "aic"), 4
-    )
-
-
-@entry(
-    "resolved_order",
-    f"""WITH {B.FACTS}, e AS (SELECT series_id, MAX(ds) AS last_ds FROM facts GROUP BY 1),
-    n AS (SELECT MAX(ds) AS today FROM facts),
-    c AS (SELECT series_id, CAST(n.today - 30 * CAST(substr(series_id, 1, 1) AS INTEGER) AS DATE) AS w, n.today FROM e, n)
-    SELECT series_id, CASE WHEN today - w < 90 THEN '1,7' ELSE '1,2,3,7,14' END AS lags,
-      CASE WHEN today - w < 90 THEN 'cached' ELSE 'searched' END AS source,
-      CASE WHEN today - w < 90 THEN w ELSE today END AS search_date FROM c""",
-)
-def resolved_order(spark, sf):
-    """Cached lag set while younger than 90 days, else the new one (M6)."""
-    facts = B.facts(spark, sf)
-    ends = facts.groupBy("series_id").agg(F.max("ds").alias("last_ds"))
-    today = ends.agg(F.max("last_ds").alias("m")).scalar()
-    age = F.substring("series_id", 1, 1).cast("int") * 30
-    cached = ends.select(
-        "series_id", F.array(F.lit(1), F.lit(7)).alias("lags"), F.date_sub(today, age).alias("search_date")
-    )
-    found = ends.select("series_id", F.array(*[F.lit(k) for k in S.LAGS]).alias("lags"))
-    out = L.resolve_order(ends.select("series_id"), cached, found, today)
-    return out.withColumn("lags", F.array_join(F.col("lags").cast("array<string>"), ","))
-
-
 # Least squares in SQL: scaled covariates, normal equations, Gauss–Jordan elimination on
 # [X'X | X'y | I]. fit(series_id, n, yy, m): m[i][11] is a coefficient, m[i][11 + i] the
 # inverse's diagonal.
@@ -357,6 +317,101 @@ FITTED = f"""{FIT},
       FROM base b JOIN rec r ON r.series_id = b.series_id AND r.origin = b.origin AND r.h = b.h)"""
 
 
+# Every non-empty lag set with the covariates: a system of its own columns of the same matrices.
+# order_fit(series_id, keep, m, rss, aic): m[i] ends in the i-th coefficient of the columns in keep.
+_SETS = ", ".join(
+    str(([1, *[2 + sorted(S.LAGS).index(k) for k in c], 7, 8, 9, 10], ",".join(map(str, c)))) for c in L.lag_subsets()
+)
+
+SEARCH = f"""{FIT},
+    mats AS (SELECT g.series_id, list(g.line ORDER BY g.i) AS m FROM lines g GROUP BY 1),
+    sets(keep, lags) AS (VALUES {_SETS}),
+    sys0 AS (SELECT a.series_id, s.lags, s.keep,
+      list_transform(s.keep, lambda i: list_append(list_transform(s.keep, lambda j: a.m[i][j]), a.m[i][11])) AS m
+      FROM mats a CROSS JOIN sets s),
+    sys AS (SELECT series_id, lags, keep, m AS m0, 1 AS k, m FROM sys0
+      UNION ALL
+      SELECT series_id, lags, keep, m0, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k
+        THEN list_transform(r, lambda x: x / m[k][k])
+        ELSE list_transform(r, lambda x, c: x - r[k] * m[k][c] / m[k][k]) END) FROM sys WHERE k <= len(m)),
+    solved AS (SELECT y.series_id, y.lags, y.keep, y.m, t.n, len(y.keep) AS p,
+      t.yy - list_sum(list_transform(range(1, len(y.keep) + 1), lambda i: y.m[i][len(y.keep) + 1] * y.m0[i][len(y.keep) + 1])) AS rss
+      FROM sys y JOIN tot t ON t.series_id = y.series_id WHERE y.k = len(y.m) + 1),
+    scored AS (SELECT *, n * LN(rss / n) + 2 * p AS aic FROM solved),
+    best AS (SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY aic) = 1)"""
+
+
+def _joined(lags):
+    return F.array_join(lags.cast("array<string>"), ",").alias("lags")
+
+
+@entry(
+    "lag_search",
+    f"""WITH RECURSIVE {SEARCH} SELECT b.series_id, b.lags, ROUND(b.aic, 4) AS aic, ROUND(MAX(s.aic), 4) AS worst_aic,
+      COUNT(*) AS n_sets FROM best b JOIN scored s ON s.series_id = b.series_id GROUP BY ALL""",
+)
+def lag_search(spark, sf):
+    """Best of all 31 lag sets by AIC, with the covariates, swept out of one matrix (M5)."""
+    rows = training.scaled_training_rows(B.gold(spark, sf), S.EVAL_DAYS).where(F.col("_back") >= S.EVAL_DAYS)
+    out = L.choose_lags(rows, None, list(S.EXOG), "target")
+    return B.rounded(
+        out.select(
+            "series_id", _joined(F.col("lags")), "aic", F.array_max("scores").alias("worst_aic"),
+            F.size("scores").cast("long").alias("n_sets"),
+        ), 4,
+    )
+
+
+# Orders found 30, 60, … days before the newest day, as an earlier run left them.
+CACHED = """cache AS (SELECT f.series_id, CAST(n.today - 30 * CAST(substr(f.series_id, 1, 1) AS INTEGER) AS DATE) AS w, n.today
+      FROM (SELECT DISTINCT series_id FROM facts) f, (SELECT MAX(ds) AS today FROM facts) n)"""
+
+
+def _cached_orders(panel, today):
+    age = F.substring("series_id", 1, 1).cast("int") * 30
+    return panel.select("series_id").distinct().select(
+        "series_id", F.array(F.lit(1), F.lit(7)).alias("lags"), F.date_sub(today, age).alias("search_date")
+    )
+
+
+@entry(
+    "resolved_order",
+    f"""WITH RECURSIVE {SEARCH}, {CACHED}
+    SELECT series_id, CASE WHEN today - w < 90 THEN '1,7' ELSE best.lags END AS lags,
+      CASE WHEN today - w < 90 THEN 'cached' ELSE 'searched' END AS source,
+      CASE WHEN today - w < 90 THEN w ELSE today END AS search_date FROM cache JOIN best USING (series_id)""",
+)
+def resolved_order(spark, sf):
+    """Cached lag set while younger than 90 days, else the search's (M6)."""
+    panel = B.gold(spark, sf)
+    today = panel.agg(F.max("ds").alias("m")).scalar()
+    fit = training.fit_ordered_models(panel, _cached_orders(panel, today), today)
+    return fit.select("series_id", _joined(F.col("lags")), "source", "search_date")
+
+
+@entry(
+    "ordered_fit",
+    f"""WITH RECURSIVE {SEARCH}, {CACHED},
+    won AS (SELECT s.* FROM scored s JOIN cache c ON c.series_id = s.series_id JOIN best b ON b.series_id = s.series_id
+      WHERE s.lags = CASE WHEN c.today - c.w < 90 THEN '1,7' ELSE b.lags END),
+    cols AS (SELECT series_id, lags, n, rss, aic, keep, m, UNNEST(range(1, 11)) AS i FROM won)
+    SELECT series_id, lags, n AS n_rows, ROUND(rss, 6) AS rss, ROUND(aic, 4) AS aic,
+      ['constant', 'y_lag1', 'y_lag2', 'y_lag3', 'y_lag7', 'y_lag14', 'temp', 'precip', 'snow_lag1', 'is_holiday'][i] AS feature,
+      COALESCE(ROUND(m[list_position(keep, i)][len(keep) + 1], 7), 0) + 0.0 AS coefficient FROM cols""",
+)
+def ordered_fit(spark, sf):
+    """Search through the cache into the fit: every series on its own lags (M4, M5, M6)."""
+    panel = B.gold(spark, sf)
+    today = panel.agg(F.max("ds").alias("m")).scalar()
+    fit = training.fit_ordered_models(panel, _cached_orders(panel, today), today)
+    names = ["constant", *[FT.lag_name(k) for k in sorted(S.LAGS)], *S.EXOG]
+    values = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("coef").alias("coefficient"))
+    out = fit.select("series_id", _joined(F.col("lags")), "n_rows", "rss", "aic", F.explode(values).alias("_c"))
+    return B.rounded(
+        out.select("series_id", "lags", "n_rows", "rss", "aic", "_c.feature", "_c.coefficient"), 7, rss=6, aic=4
+    )
+
+
 @entry(
     "linear_coefficients",
     f"""WITH RECURSIVE {FIT}, e AS (SELECT f.series_id, x.i, f.m[x.i][11] AS b,

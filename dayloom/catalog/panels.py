@@ -11,7 +11,9 @@ from dayloom.functions import calendar as C
 from dayloom.operators import features as FT
 from dayloom.operators import panel as P
 from dayloom.operators.explore import most_common
+from dayloom.operators.linear import fold_scores
 from dayloom.plans.gold import feature_table
+from dayloom.session import stage
 
 FEATURE_OUT = [
     "series_id", "ds", "y", "temp", "precip", "snow", "is_holiday", "snow_lag1", "day_of_week",
@@ -310,22 +312,51 @@ def cv_fold_scores(spark, sf):
     )
 
 
+# Five fits of the linear model on lags and covariates, each on the folds before its own.
+CV_COLUMNS = ["y_lag1", "y_lag2", "y_lag3", "y_lag7", "y_lag14", *S.EXOG]
+
+CV_FITS = f"""{TRAINING}, p AS (SELECT *, COUNT(*) OVER (PARTITION BY series_id) AS n,
+      ROW_NUMBER() {B.W} - 1 AS pos FROM training),
+    obs AS (SELECT series_id, CASE WHEN pos < n - (n // 6) * 5 THEN 0 ELSE (pos - (n - (n // 6) * 5)) // (n // 6) + 1 END AS fold,
+      y / 1e6 AS v, [1.0::DOUBLE, {', '.join(CV_COLUMNS)}] AS f FROM p),
+    ix AS (SELECT CAST(UNNEST(range(1, 11)) AS INTEGER) AS i), folds AS (SELECT UNNEST([1, 2, 3, 4, 5]) AS k),
+    gram AS (SELECT o.series_id, k AS fold, a.i, b.i AS j, SUM(o.f[a.i] * o.f[b.i]) AS s
+      FROM obs o JOIN folds ON o.fold < k CROSS JOIN ix a CROSS JOIN ix b GROUP BY 1, 2, 3, 4),
+    rhs AS (SELECT o.series_id, k AS fold, a.i, SUM(o.f[a.i] * o.v) AS s, COUNT(*) AS n
+      FROM obs o JOIN folds ON o.fold < k CROSS JOIN ix a GROUP BY 1, 2, 3),
+    lines AS (SELECT g.series_id, g.fold, g.i, list_append(list(g.s ORDER BY g.j), ANY_VALUE(r.s)) AS line, ANY_VALUE(r.n) AS n
+      FROM gram g JOIN rhs r USING (series_id, fold, i) GROUP BY 1, 2, 3),
+    gj AS (SELECT series_id, fold, ANY_VALUE(n) AS n, 1 AS k, list(line ORDER BY i) AS m FROM lines GROUP BY 1, 2
+      UNION ALL
+      SELECT series_id, fold, n, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / m[k][k])
+        ELSE list_transform(r, lambda x, c: x - r[k] * m[k][c] / m[k][k]) END) FROM gj WHERE k <= 10),
+    off AS (SELECT o.series_id, o.fold, g.n, list_sum(list_transform(range(1, 11), lambda i: o.f[i] * g.m[i][11])) - o.v AS e
+      FROM obs o JOIN gj g ON g.series_id = o.series_id AND g.fold = o.fold AND g.k = 11),
+    s AS (SELECT series_id, fold, MAX(n) AS n_train, COUNT(*) AS n_rows, AVG(ABS(e)) AS mae, SQRT(AVG(e * e)) AS rmse FROM off GROUP BY 1, 2)"""
+
+
+def _cv_scores(spark, sf):
+    rows = stage(training_rows(spark, sf), "features").withColumn("target", F.col("y") / S.UNIT_SCALE)
+    return fold_scores(rows, CV_COLUMNS, "target")
+
+
+@entry(
+    "cv_linear_scores",
+    f"""WITH RECURSIVE {CV_FITS} SELECT series_id, CAST(fold AS INTEGER) AS fold, n_train, n_rows, ROUND(mae, 7) AS mae,
+      ROUND(rmse, 6) AS rmse FROM s""",
+)
+def cv_linear_scores(spark, sf):
+    """Errors of the linear model fitted anew for every fold (M3, M4)."""
+    return B.rounded(_cv_scores(spark, sf), 7, rmse=6)
+
+
 @entry(
     "cv_spread",
-    f"""WITH {TRAINING}, p AS (SELECT *, COUNT(*) OVER (PARTITION BY series_id) AS n,
-      ROW_NUMBER() {B.W} - 1 AS pos FROM training),
-    f AS (SELECT *, CASE WHEN pos < n - (n // 6) * 5 THEN 0
-        ELSE (pos - (n - (n // 6) * 5)) // (n // 6) + 1 END AS fold FROM p),
-    s AS (SELECT series_id, fold, AVG(ABS(y_lag7 - y / 1e6)) AS mae FROM f WHERE fold > 0 GROUP BY 1, 2)
-    SELECT series_id, ROUND(AVG(mae), 9) AS cv_mean_mae, ROUND(STDDEV_POP(mae), 9) AS cv_std_mae FROM s GROUP BY 1""",
+    f"""WITH RECURSIVE {CV_FITS}
+    SELECT series_id, ROUND(AVG(mae), 7) AS cv_mean_mae, ROUND(STDDEV_POP(mae), 7) AS cv_std_mae FROM s GROUP BY 1""",
 )
 def cv_spread(spark, sf):
-    """Mean and population deviation over the folds."""
-    rows = training_rows(spark, sf).withColumn("fold", FT.test_fold())
-    folds = rows.where("fold > 0").groupBy("series_id", "fold").agg(
-        F.avg(F.abs(F.col("y_lag7") - F.col("y") / 1_000_000)).alias("mae")
-    )
-    return folds.groupBy("series_id").agg(
-        F.round(F.avg("mae"), 9).alias("cv_mean_mae"),
-        F.round(F.stddev_pop("mae"), 9).alias("cv_std_mae"),
+    """Mean and population deviation of the fitted model's error over the folds."""
+    return _cv_scores(spark, sf).groupBy("series_id").agg(
+        F.round(F.avg("mae"), 7).alias("cv_mean_mae"), F.round(F.stddev_pop("mae"), 7).alias("cv_std_mae")
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from dayloom import settings as S
-from dayloom.operators.features import SERIES, lag_name
+from dayloom.operators.features import SERIES, lag_name, test_fold
 
 FIT_TYPE = StructType(
     [
@@ -107,30 +107,107 @@ def coefficient_table(fit: DataFrame, x: list[str], keys: list[str] = SERIES) ->
     )
 
 
+def lag_subsets(lags: tuple[int, ...] = S.LAGS) -> list[tuple[int, ...]]:
+    """All lag sets but the empty one, in the order of a Gray code: neighbours differ by one lag."""
+    codes = [i ^ (i >> 1) for i in range(1, 2 ** len(lags))]
+    return [tuple(k for b, k in enumerate(lags) if code >> b & 1) for code in codes]
+
+
+def _gram(tri, xty, yty) -> np.ndarray:
+    """Symmetric matrices of [x y] products, one per row, from their upper triangles."""
+    xty = np.stack(list(xty)).astype(float)
+    n, k = xty.shape
+    a = np.zeros((n, k + 1, k + 1))
+    rows, cols = np.triu_indices(k)
+    a[:, rows, cols] = a[:, cols, rows] = np.stack(list(tri)).astype(float)
+    a[:, :k, k] = a[:, k, :k] = xty
+    a[:, k, k] = np.asarray(yty, float)
+    return a
+
+
+def _sweep(a: np.ndarray, k: int, at: np.ndarray) -> None:
+    """Sweeps the k-th variable of the chosen matrices into the regression, or out of it again."""
+    m = a[at]
+    pivot = m[:, k, k].copy()[:, None]
+    row = m[:, k, :] / pivot
+    column = m[:, :, k].copy()
+    column[:, k] = 0
+    m -= column[:, :, None] * row[:, None, :]
+    m[:, k, :] = row
+    m[:, :, k] = -column / pivot
+    m[:, k, k] = 1 / pivot[:, 0]
+    a[at] = m
+
+
+def subset_scores(tri, xty, yty, n, always: list[int], subsets: list[list[int]], tiny: float = 1e-11) -> np.ndarray:
+    """AIC of every subset of variables for every matrix, by sweeping.
+
+    The variables in ``always`` are swept in once; from one subset to the next only those that
+    differ are swept in or out, so a neighbour costs one sweep. A variable that others explain
+    (its pivot is nearly 0) stays out and counts as a parameter all the same.
+    """
+    a = _gram(tri, xty, yty)
+    count, p = len(a), a.shape[1] - 1
+    size = np.sqrt(np.where(np.diagonal(a, axis1=1, axis2=2) > 0, np.diagonal(a, axis1=1, axis2=2), 1.0))
+    a /= size[:, :, None] * size[:, None, :]
+    n = np.asarray(n, float)
+    inside = np.zeros((count, p), bool)
+
+    def toggle(k: int, on: bool) -> None:
+        at = np.flatnonzero(a[:, k, k] > tiny) if on else np.flatnonzero(inside[:, k])
+        if len(at):
+            _sweep(a, k, at)
+        inside[at, k] = on
+
+    for k in always:
+        toggle(k, True)
+    out, now = np.empty((count, len(subsets))), set()
+    for s, wanted in enumerate(subsets):
+        for k in sorted(now - set(wanted)):
+            toggle(k, False)
+        for k in sorted(set(wanted) - now):
+            toggle(k, True)
+        now = set(wanted)
+        rss = np.maximum(a[:, p, p], 0) * size[:, p] ** 2
+        with np.errstate(divide="ignore"):
+            out[:, s] = n * np.log(rss / n) + 2 * (len(always) + len(wanted))
+    return out
+
+
 def choose_lags(
     df: DataFrame,
-    candidates: list[tuple[int, ...]],
-    exog: list[str],
+    candidates: list[tuple[int, ...]] | None = None,
+    exog: list[str] = (),
     y: str = "y",
     keys: list[str] = SERIES,
 ) -> DataFrame:
-    """The lag set with the lowest AIC. All candidates are sub-blocks of one cross-product
-    matrix, so the data is summed once whatever their number."""
+    """The lag set with the lowest AIC among all subsets of the protocol's lags, or among the
+    given candidates. All are sub-blocks of one cross-product matrix, so the data is summed once
+    whatever their number; of equal ones the first stands."""
+    candidates = candidates or lag_subsets()
     lags = sorted({k for c in candidates for k in c})
     names = [lag_name(k) for k in lags] + list(exog)
-    tail = list(range(1 + len(lags), 1 + len(names)))
-    blocks = [[0] + [1 + lags.index(k) for k in c] + tail for c in candidates]
+    sums = cross_products(df.na.drop(subset=[*names, y]), names, y, keys)
+    return search_lags(sums, candidates, lags, len(exog), keys)
+
+
+def search_lags(
+    sums: DataFrame, candidates: list[tuple[int, ...]], lags: list[int], n_exog: int, keys: list[str] = SERIES
+) -> DataFrame:
+    """The search on cross products of a constant, ``lags`` and ``n_exog`` covariates."""
+    always = [0, *range(1 + len(lags), 1 + len(lags) + n_exog)]
+    blocks = [[1 + lags.index(k) for k in c] for c in candidates]
 
     @F.pandas_udf("struct<choice:int,aic:double,scores:array<double>>")
     def search(tri: pd.Series, xty: pd.Series, yty: pd.Series, n: pd.Series) -> pd.DataFrame:
-        out = []
-        for t, v, yy, m in zip(tri, xty, yty, n):
-            scores = [_solve_one(t, v, yy, m, keep)[4] for keep in blocks]
-            best = int(np.argmin(scores))
-            out.append((best, scores[best], scores))
-        return pd.DataFrame(out, columns=["choice", "aic", "scores"])
+        if not len(n):
+            return pd.DataFrame({"choice": [], "aic": [], "scores": []})
+        scores = subset_scores(tri, xty, yty, n, always, blocks)
+        best = np.argmin(scores, 1)
+        return pd.DataFrame(
+            {"choice": best, "aic": scores[np.arange(len(best)), best], "scores": list(scores)}
+        )
 
-    sums = cross_products(df.na.drop(subset=[*names, y]), names, y, keys)
     sets = F.array(*[F.array(*[F.lit(k) for k in c]) for c in candidates])
     return sums.withColumn("_s", search("xtx", "xty", "yty", "n_rows")).select(
         *keys,
@@ -140,6 +217,81 @@ def choose_lags(
     )
 
 
+def fit_chosen(
+    sums: DataFrame, chosen: DataFrame, lags: list[int], n_exog: int, keys: list[str] = SERIES
+) -> DataFrame:
+    """Fits every series on its own lag set (``chosen``: keys, lags), from the cross products
+    that the search used. Coefficients keep the places of all ``lags``; a lag left out has
+    coefficient 0 and no error, so one recursion serves every series."""
+    width = 1 + len(lags) + n_exog
+    fields = [f.name for f in FIT_TYPE]
+
+    @F.pandas_udf(FIT_TYPE)
+    def solve(tri: pd.Series, xty: pd.Series, yty: pd.Series, n: pd.Series, sets: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, v, yy, m, own in zip(tri, xty, yty, n, sets):
+            keep = [0, *[1 + lags.index(k) for k in own], *range(1 + len(lags), width)]
+            coef, err, p, rss, aic = _solve_one(t, v, yy, m, keep)
+            full = [np.zeros(width), np.full(width, np.nan), np.full(width, np.nan)]
+            for values, found in zip(full, (coef, err, p)):
+                values[keep] = [np.nan if x is None else x for x in found]
+            err, p = ([None if x != x else x for x in values] for values in full[1:])
+            rows.append((full[0].tolist(), err, p, rss, aic))
+        return pd.DataFrame(rows, columns=fields)
+
+    fit = sums.join(chosen.select(*keys, "lags"), keys)
+    fit = fit.withColumn("_f", solve("xtx", "xty", "yty", "n_rows", "lags"))
+    return fit.select(*keys, "lags", "n_rows", *[F.col(f"_f.{f}").alias(f) for f in fields])
+
+
+def fold_fits(
+    rows: DataFrame, x: list[str], y: str = "y", keys: list[str] = SERIES, splits: int = S.CV_SPLITS
+) -> DataFrame:
+    """The fit of every expanding-window fold: ``keys, fold, n_train, n_rows, coef, rmse``.
+
+    Each row is summed once, into the cross products of its own block; a fold's training matrix is
+    the running sum of the blocks before it, and its squared test error follows from its own.
+    """
+    marked = rows.withColumn("fold", test_fold(splits, keys))
+    blocks = cross_products(marked, x, y, [*keys, "fold"])
+    packed = blocks.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("fold", "xtx", "xty", "yty", "n_rows"))).alias("_b")  # splits + 1
+    )
+
+    @F.pandas_udf("array<struct<fold:int,n_train:long,n_rows:long,coef:array<double>,rmse:double>>")
+    def fits(parts: pd.Series) -> pd.Series:
+        out = []
+        for series in parts:
+            own = [(b["fold"], np.asarray(b["xtx"]), np.asarray(b["xty"]), b["yty"], b["n_rows"]) for b in series]
+            made, tri, xty, yty, n = [], 0.0, 0.0, 0.0, 0
+            for fold, t, v, yy, m in own:
+                if n:
+                    coef = np.asarray(_solve_one(tri, xty, yty, n)[0])
+                    gram = _gram([t], [v], [yy])[0][:-1, :-1]
+                    sse = max(yy - 2 * coef @ v + coef @ gram @ coef, 0.0)
+                    made.append({"fold": fold, "n_train": n, "n_rows": m, "coef": coef, "rmse": math.sqrt(sse / m)})
+                tri, xty, yty, n = tri + t, xty + v, yty + yy, n + m
+            out.append(made)
+        return pd.Series(out)
+
+    return packed.select(*keys, F.explode(fits("_b")).alias("_f")).select(*keys, "_f.*")
+
+
+def fold_scores(
+    rows: DataFrame, x: list[str], y: str = "y", keys: list[str] = SERIES, splits: int = S.CV_SPLITS
+) -> DataFrame:
+    """MAE and RMSE of every fold's fit on its test rows (``fold_fits``, then one pass for the MAE)."""
+    fits = fold_fits(rows, x, y, keys, splits)
+    tested = rows.withColumn("fold", test_fold(splits, keys)).join(fits, [*keys, "fold"])
+    yhat = F.get("coef", F.lit(0))
+    for i, c in enumerate(x, start=1):
+        yhat = yhat + F.get("coef", F.lit(i)) * F.col(c)
+    return tested.groupBy(*keys, "fold").agg(
+        F.first("n_train").alias("n_train"), F.count("*").alias("n_rows"),
+        F.avg(F.abs(yhat - F.col(y))).alias("mae"), F.first("rmse").alias("rmse"),
+    )
+
+
 def resolve_order(
     series: DataFrame,
     cached: DataFrame,

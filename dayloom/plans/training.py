@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayloom import settings as S
@@ -14,6 +14,7 @@ from dayloom.operators.features import (
     lag_name,
     scale_columns,
 )
+from dayloom.session import stage
 
 EXOG = list(S.EXOG)
 CASE_COVARIATES = sorted({*EXOG, *trees.WEATHER, "is_holiday"})
@@ -33,6 +34,32 @@ def fit_linear_models(daily: DataFrame, held_back: int = S.EVAL_DAYS, lags=S.LAG
     return linear.fit_linear(rows, [lag_name(k) for k in lags] + EXOG, "target", keys)
 
 
+def fit_ordered_models(
+    daily: DataFrame,
+    cached: DataFrame | None = None,
+    as_of: Column | None = None,
+    held_back: int = S.EVAL_DAYS,
+    keys=SERIES,
+) -> DataFrame:
+    """Search, cache, fit: every series on its own lag set, all from one cross-product table.
+
+    A cached set (keys, lags, search_date) younger than 90 days at ``as_of`` is kept, else the best
+    set by AIC is taken and dated ``as_of``. Returns the fit with ``source`` and ``search_date``;
+    these and the lags are the next run's cache.
+    """
+    lags = sorted(S.LAGS)
+    names = [lag_name(k) for k in lags] + EXOG
+    rows = scaled_training_rows(daily, held_back, keys).where(F.col("_back") >= held_back)
+    sums = stage(linear.cross_products(rows, names, "target", keys), "products")
+    order = linear.search_lags(sums, linear.lag_subsets(), lags, len(EXOG), keys)
+    if cached is None:
+        order = order.select(*keys, "lags", F.lit("searched").alias("source"))
+    else:
+        order = linear.resolve_order(sums.select(*keys), cached, order, as_of, keys=keys)
+    fit = linear.fit_chosen(sums, order, lags, len(EXOG), keys)
+    return fit.join(order.drop("lags"), keys)
+
+
 def linear_backtest(
     daily: DataFrame, eval_days: int = S.EVAL_DAYS, lags=S.LAGS, keys=SERIES, coef: DataFrame | None = None
 ) -> DataFrame:
