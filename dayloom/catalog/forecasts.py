@@ -16,9 +16,6 @@ from dayloom.plans import prediction, training
 from dayloom.plans.gold import feature_table
 from dayloom.session import stage
 
-# Trees per fit in the registered queries; the library default is larger.
-QUERY_TREES = 5
-
 # A linear model with given coefficients: constant, lags 1 2 3 7 14, then the covariates.
 FIXED_COEF = [0.01, 0.2, 0.1, 0.05, 0.4, 0.2, 0.002, -0.001, -0.0005, -0.01]
 
@@ -443,42 +440,59 @@ def linear_backtest(spark, sf):
 @entry("holdout_predictions")
 def holdout_predictions(spark, sf):
     """Both families' recursive forecasts of the last 30 days."""
-    paths = training.holdout_paths(B.gold(spark, sf), n_trees=QUERY_TREES)
+    paths = training.holdout_paths(B.gold(spark, sf))
     return B.rounded(FC.to_long(paths, ["linear", "trees"]))
 
 
 @entry("tree_backtest")
 def tree_backtest(spark, sf):
     """Both families and the ensemble on the rolling origins."""
-    cases = training.full_backtest(B.gold(spark, sf), n_trees=QUERY_TREES)
+    cases = training.full_backtest(B.gold(spark, sf))
     return B.rounded(FC.to_wide(cases, ["linear", "trees", "ensemble", "seasonal_naive", "persistence"]))
 
 
 @entry("tree_cv_scores")
 def tree_cv_scores(spark, sf):
-    """Boosted trees on five expanding folds."""
+    """Boosted trees on five expanding folds, stopped early on each."""
     rows = stage(feature_table(B.panel(spark, sf)), "features")
-    return B.rounded(T.cross_validate_trees(rows, trees=QUERY_TREES))
+    return B.rounded(T.cross_validate_trees(rows))
 
 
 @entry("tree_importance")
 def tree_importance(spark, sf):
     """Permutation importance on the last 30 days."""
     rows = stage(feature_table(B.panel(spark, sf)), "features").withColumn("_back", FT.days_from_end())
-    model = T.fit_trees(rows.where("_back >= 30"), trees=QUERY_TREES)
+    model = T.fit_trees(rows.where("_back >= 30"), stop_days=S.HOLDOUT_DAYS)
     return B.rounded(T.permutation_importance(model, rows.where("_back < 30")))
 
 
+@entry(
+    "tree_blend_identity",
+    f"""WITH RECURSIVE {FITTED} SELECT series_id, origin, h, ds, ROUND(linear, 7) AS linear, ROUND(seasonal_naive, 12) AS seasonal_naive,
+      ROUND(persistence, 12) AS persistence, ROUND(y, 12) AS y, TRUE AS blends, TRUE AS in_range FROM wide""",
+)
+def tree_blend_identity(spark, sf):
+    """What SQL can say of the tree backtest: its cases, baselines and linear paths, that the ensemble
+    is the mean of both families, and that trees stay within the values they were fitted to (M14, M15, E2)."""
+    panel = B.gold(spark, sf)
+    rows = FC.to_wide(training.full_backtest(panel), ["linear", "trees", "ensemble", "seasonal_naive", "persistence"])
+    seen = panel.groupBy("series_id").agg(
+        (F.min("y") / S.UNIT_SCALE).alias("lo"), (F.max("y") / S.UNIT_SCALE).alias("hi")
+    )
+    blends = F.abs(F.col("ensemble") - (F.col("linear") + F.col("trees")) / 2) < 1e-9
+    rows = rows.join(seen, "series_id").withColumns(
+        {"blends": blends, "in_range": F.col("trees").between(F.col("lo"), F.col("hi"))}
+    )
+    return B.rounded(rows.drop("trees", "ensemble", "lo", "hi"), 12, linear=7)
+
+
 @entry("served_ensemble")
 def served_ensemble(spark, sf):
     """Two weeks ahead from both fitted families with interval and lineage."""
     from dayloom.operators.backtest import mae_by_step
 
     panel = B.gold(spark, sf)
-    rows = feature_table(panel)
-    # The number of trees comes from a validation tail, the model from all rows.
-    _, count = T.fit_with_early_stop(rows, trees=QUERY_TREES)
-    model = T.fit_trees(rows, trees=count)
+    model = training.production_trees(feature_table(panel))
     coef = training.fit_linear_models(panel, held_back=0)
     bounds = FT.scale_bounds(panel, list(S.EXOG), F.lit(True))
     spread = mae_by_step(FC.to_long(training.linear_backtest(panel), ["linear"]))

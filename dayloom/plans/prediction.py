@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +27,7 @@ def serve(
     outlook: DataFrame,
     coef: DataFrame,
     bounds: DataFrame,
-    model: GBTRegressionModel,
+    model: DataFrame,
     spread: DataFrame | None = None,
     weight: float = S.BLEND_WEIGHT,
     keys=SERIES,
@@ -45,7 +44,7 @@ def serve(
             "future", lambda r: F.struct(*[r[f"raw_{c}"].alias(c) for c in CASE_COVARIATES])
         ),
     )
-    scored = trees.forecast_trees(model, cases)
+    scored = trees.forecast_trees(model, cases, keys=keys)
     scored = scored.withColumn(
         "ensemble", forecast.blend_arrays(F.col("linear"), F.col("trees"), weight)
     )

@@ -100,8 +100,7 @@ def full_backtest(
     raw = tree_covariates(daily, keys)
     train = feature_panel(daily, keys).withColumn("_back", days_from_end(keys))
     train = train.where(F.col("_back") >= eval_days)
-    _, count = trees.fit_with_early_stop(train, trees=n_trees, keys=keys)
-    model = trees.fit_trees(train, trees=count)
+    model = trees.fit_trees(train, n_trees, stop_days=S.HOLDOUT_DAYS, keys=keys)
 
     # The linear model sees scaled covariates, the trees the plain ones: both in one struct.
     plain = {f"raw_{c}": F.col(c) for c in CASE_COVARIATES}
@@ -115,7 +114,7 @@ def full_backtest(
             "future", lambda r: F.struct(*[r[f"raw_{c}"].alias(c) for c in CASE_COVARIATES])
         ),
     )
-    scored = trees.forecast_trees(model, cases)
+    scored = trees.forecast_trees(model, cases, keys=keys)
     return scored.withColumn("ensemble", forecast.blend_arrays(F.col("linear"), F.col("trees")))
 
 
@@ -124,8 +123,8 @@ def holdout_paths(daily: DataFrame, days: int = S.HOLDOUT_DAYS, n_trees: int = S
     case = forecast.rolling_origins
     fit = fit_linear_models(daily, days, keys=keys)
     train = feature_panel(daily, keys).withColumn("_back", days_from_end(keys)).where(F.col("_back") >= days)
-    _, count = trees.fit_with_early_stop(train, trees=n_trees, keys=keys)
-    model = trees.fit_trees(train, trees=count)
+    # scored is the model that was stopped before the holdout, on days it was not fitted to
+    model = trees.fit_trees(train, n_trees, stop_days=days, refit=False, keys=keys)
     plain = {f"raw_{c}": F.col(c) for c in CASE_COVARIATES}
     both = scale_columns(
         tree_covariates(daily, keys).withColumns(plain), EXOG, days_from_end(keys) >= days, keys
@@ -141,4 +140,9 @@ def holdout_paths(daily: DataFrame, days: int = S.HOLDOUT_DAYS, n_trees: int = S
             "future", lambda r: F.struct(*[r[f"raw_{c}"].alias(c) for c in CASE_COVARIATES])
         ),
     )
-    return trees.forecast_trees(model, cases, horizon=days)
+    return trees.forecast_trees(model, cases, horizon=days, keys=keys)
+
+
+def production_trees(rows: DataFrame, n_trees: int = S.TREES, keys=SERIES) -> DataFrame:
+    """The served model: as many trees as the fit before the holdout chose, refitted on all rows."""
+    return trees.fit_trees(rows, n_trees, stop_days=S.HOLDOUT_DAYS, held_out=S.HOLDOUT_DAYS, keys=keys)

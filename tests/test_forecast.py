@@ -116,10 +116,17 @@ def test_linear_backtest_recovers_a_linear_process(make_panel):
     assert scores["linear"].n_points == 154
 
 
-def numpy_tree_path(model, case, horizon):
-    """Brute force: one row at a time through the model's own single-row prediction."""
-    from pyspark.ml.linalg import Vectors
+def one_tree(trees, t, x):
+    """Value of one tree for one row, node by node."""
+    at = 0
+    for d in range(S.TREE_DEPTH):
+        node = 2**d - 1 + at
+        at = 2 * at + int(x[trees.split[t, node]] > trees.bound[t, node])
+    return trees.leaf[t, at]
 
+
+def tree_path(trees, case, horizon):
+    """Brute force: one row, one step, one tree at a time."""
     path = list(case.hist)
     for h in range(1, horizon + 1):
         day = case.origin + dt.timedelta(days=h)
@@ -127,10 +134,44 @@ def numpy_tree_path(model, case, horizon):
         x = [day.weekday(), day.month, int(day.weekday() >= 5), f["is_holiday"]]
         x += [f[c] for c in T.WEATHER] + [path[-k] for k in S.LAGS]
         x += [np.mean(path[-14:]), np.std(path[-7:], ddof=1)]
-        path.append(model.predict(Vectors.dense([float(v) for v in x])))
+        path.append(trees.base + sum(one_tree(trees, t, x) for t in range(len(trees.leaf))))
     return path[-horizon:]
 
 
+def test_first_tree_makes_the_best_split():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 9, (400, 3)).astype(float)
+    y = np.where(x[:, 1] > 4, 5.0, 1.0) + 0.01 * rng.normal(size=400)
+    model = T.boost(x, y, 60)
+    used = [t for t in range(60) if model.split[t, 0] == 1]
+    assert len(used) > 30 and all(model.bound[t, 0] == 4.0 for t in used[:10])
+    assert np.abs(model.predict(x) - y).mean() < 0.3  # 60 steps of 0.05 towards it
+    assert np.allclose(T.boost(x, np.full(400, 2.0), 5).predict(x), 2.0)
+
+
+def test_fitting_stops_early_and_cuts_the_model():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 4))
+    y = x[:, 0] + 0.5 * rng.normal(size=300)
+    model = T.boost(x[:250], y[:250], 500, x[250:], y[250:])
+    tried, kept = len(model.errors), len(model.leaf)
+    assert kept == int(np.argmin(model.errors)) + 1 and tried == min(500, kept + S.TREE_PATIENCE) < 500
+    assert np.abs(model.predict(x[250:]) - y[250:]).mean() == pytest.approx(min(model.errors))
+
+
+def test_refit_keeps_the_number_of_trees(spark, make_panel):
+    rows = feature_table(daily_panel(make_panel({"a": weekly(220), "b": weekly(200, seed=2)})))
+    cut = {r.series_id: r for r in T.fit_trees(rows, stop_days=30, held_out=30, refit=False).collect()}
+    full = {r.series_id: r for r in T.fit_trees(rows, stop_days=30, held_out=30).collect()}
+    assert set(cut) == {"a", "b"}
+    for name in cut:
+        assert cut[name].n_trees == full[name].n_trees == T.best_tree_count(cut[name].errors) <= 500
+        assert cut[name].leaf != full[name].leaf and cut[name].errors == full[name].errors
+    folds = T.cross_validate_trees(rows, trees=40).orderBy("series_id", "fold").collect()
+    assert [(r.fold, r.n_train, r.n_rows) for r in folds[:5]] == [(k, 206 - (6 - k) * 34, 34) for k in range(1, 6)]
+    assert all(0 < r.n_trees <= 40 and r.mae < 1 for r in folds)
+
+
 def test_tree_count():
     assert T.best_tree_count([5, 4, 3, 3, 2.9, 6], patience=50) == 5
     assert T.best_tree_count([5, 4, 4, 4, 1], patience=2) == 2
@@ -146,11 +187,12 @@ def test_trees_and_serving(spark, make_panel):
     long = FC.to_long(cases, ["trees", "seasonal_naive"])
     assert long.where("yhat is null").count() == 0
 
-    model = T.fit_trees(feature_table(panel), trees=3)
+    model = T.fit_trees(feature_table(panel), trees=30)
+    stored = {r.series_id: T.unpacked(r.base, r.split, r.bound, r.leaf) for r in model.collect()}
     picked = FC.rolling_origins(training.tree_covariates(panel), training.CASE_COVARIATES)
     out = T.forecast_trees(model, picked).orderBy("series_id", "origin").limit(2).collect()
     for r in out:
-        np.testing.assert_allclose(r.trees, numpy_tree_path(model, r, 14), rtol=1e-9)
+        np.testing.assert_allclose(r.trees, tree_path(stored[r.series_id], r, 14), rtol=1e-9)
 
     importance = {
         r.feature: r.importance
