@@ -181,7 +181,9 @@ def prefix_trie(conversations: DataFrame, local_weight: int = LOCAL_WEIGHT) -> D
             "saved": (F.col("n_convs") - 1) * F.col("size"),
         })
     )
-    trie = stage(trie.drop("q1", "q2", "size"), "trie")
+    first = nodes.where("depth = 0").select("conv_id").first()  # the root, or none of an empty table
+    tops = {"top_conv": F.lit(first and first.conv_id).cast("long"), "top_depth": F.lit(0).cast("long")}
+    trie = stage(trie.drop("q1", "q2", "size").withColumns(tops), "trie")
     # ways through nodes of other conversations: who owns a node and its parent
     owners = trie.select(*_KEY, F.col("conv_id").alias("owner"), F.col("parent_conv_id").alias("above"))
     paths = rows.select("conv_id", *_KEY).join(owners, _KEY).where("above <> conv_id")
@@ -193,16 +195,12 @@ def prefix_trie(conversations: DataFrame, local_weight: int = LOCAL_WEIGHT) -> D
 def centroid_sums(trie: DataFrame, paths: DataFrame, local_weight: int) -> DataFrame:
     """Adds ``n_leaves`` and ``saved_tokens``, the sums of ``leaf`` and ``saved`` over subtrees.
 
-    ``trie``: ``conv_id, depth, parent_conv_id, w`` (weight of the subtree) and the values. A node's
-    way up is that of its conversation; ``paths`` has the places of a conversation whose parent
+    ``trie``: ``conv_id, depth, parent_conv_id, w`` (weight of the subtree), ``top_conv, top_depth``
+    (the top of its tree) and the values. A node's way up is that of its conversation; ``paths`` has the places of a conversation whose parent
     node belongs to another one: ``conv_id, depth, owner, above`` (owners of node and parent).
     """
     top = ["top_conv", "top_depth"]
-    root = trie.where("depth = 0").select("conv_id").first()  # one row, or none of an empty table
-    state = trie.withColumns({
-        "top_conv": F.lit(root and root.conv_id).cast("long"),
-        **{c: F.lit(0).cast("long") for c in ("top_depth", "n_leaves", "saved_tokens")},
-    })
+    state = trie.withColumns({c: F.lit(0).cast("long") for c in ("n_leaves", "saved_tokens")})
     finished, small = [], []
     columns = state.columns
     while True:
