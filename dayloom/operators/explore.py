@@ -59,16 +59,15 @@ def top_values(df: DataFrame, column: str, n: int = 5) -> DataFrame:
 
 
 def describe_by(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles per group of raw rows."""
-    basics = df.groupBy(*keys).agg(
+    """Count, mean, deviation, extremes and quartiles per group of raw rows, in two scans."""
+    basics = [
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-    )
-    quartiles = exact_percentiles(df, keys, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return basics.join(quartiles, keys, "left")
+    ]
+    return exact_percentiles(df, keys, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, extra=basics)
 
 
 def boxplot(panel: DataFrame, keys: list[str], value: str = "y") -> DataFrame:

@@ -8,6 +8,26 @@ from dayloom.operators import explore as X
 RNG = np.random.default_rng(11)
 
 
+@pytest.mark.parametrize("off", [0.5, 0.0])
+def test_brackets_that_miss_are_widened(spark, monkeypatch, off):
+    from dayloom.functions import quantiles as Q
+
+    right = F.percentile_approx
+    calls = []
+
+    def shifted(col, edges, accuracy):
+        calls.append(1)
+        return right(col, edges, accuracy) if len(calls) > 1 else F.transform(right(col, edges, accuracy), lambda e: e + off * 100)
+
+    monkeypatch.setattr(Q.F, "percentile_approx", shifted)
+    df = spark.range(101).selectExpr("CAST(NULL AS string) AS k", "CAST(id AS double) AS v")
+    df = df.unionByName(spark.createDataFrame([("empty", None), ("nan", float("nan"))], "k string, v double"))
+    rows = {r.k: r for r in exact_percentiles(df, ["k"], "v", {"a": 0.255, "b": 1.0}, 10, [F.count("*").alias("n")]).collect()}
+    assert (rows[None].a, rows[None].b, rows[None].n) == (pytest.approx(25.5), 100.0, 101)
+    assert (rows["empty"].a, rows["nan"].b, rows["nan"].n) == (None, None, 1)
+    assert len(calls) == (2 if off else 1)
+
+
 @pytest.mark.parametrize("kind", ["normal", "ties", "spike", "tiny"])
 def test_exact_percentiles_match_numpy(spark, kind):
     draw = {
