@@ -8,6 +8,8 @@ from dayloom.catalog import base as B
 from dayloom.catalog.base import entry
 from dayloom.operators import monitor as M
 from dayloom.operators import panel as P
+from dayloom.plans import jobs as scheduled
+from dayloom.session import shared_dir, stage
 from dayloom.sources import feeds, lake
 
 
@@ -244,3 +246,96 @@ def table_fingerprint(spark, sf):
         o.withColumnRenamed("o_orderpriority", "series_id"),
         ["o_orderkey", "o_custkey", "o_orderstatus", "day"], ["series_id"],
     )
+
+
+@entry(
+    "csv_batches",
+    f"""WITH {B.FACTS} SELECT series_id, ds, ROUND(y, 2) AS y, CAST(make_date(year(ds), 12, 31) AS DATE) AS through
+    FROM facts WHERE year(ds) > 1998""",
+)
+def csv_batches(spark, sf):
+    """Facts as CSV batches by year; only those past a stored watermark are read back."""
+    facts = stage(B.facts(spark, sf), "facts")
+    root, log = shared_dir(spark, "csv"), shared_dir(spark, "csv-log")
+    named = facts.select("ds", F.col("series_id").alias("entity"), F.lit(None).cast("string").alias("region"), F.round("y", 2).alias("y"))
+    for (year,) in facts.select(F.year("ds").alias("y")).distinct().orderBy("y").collect():
+        lake.write_csv(named.where(F.year("ds") == year), lake.batch_path(root, "facts", f"{year}-01-01", f"{year}-12-31"))
+    lake.write_watermark(spark, log, "facts", 0, "1998-12-31")
+    seen = F.lit(lake.read_watermark(spark, log, "facts"))
+    rows = lake.read_csv(spark, root, lake.FACTS, newer_than=seen)
+    return rows.select(
+        F.col("entity").alias("series_id"), "ds", "y", lake.file_end_date(F.col("_file")).alias("through")
+    )
+
+
+@entry(
+    "file_listing",
+    f"""WITH {B.FACTS} SELECT CAST(make_date(year(ds), 12, 31) AS DATE) AS through, COUNT(*) AS n_rows FROM facts GROUP BY 1""",
+)
+def file_listing(spark, sf):
+    """The batches that lie in a folder by name, and what each holds."""
+    facts = stage(B.facts(spark, sf), "facts")
+    root = shared_dir(spark, "batches")
+    for (year,) in facts.select(F.year("ds").alias("y")).distinct().orderBy("y").collect():
+        lake.write_csv(facts.where(F.year("ds") == year), lake.batch_path(root, "facts", f"{year}-01-01", f"{year}-12-31"))
+    found = lake.list_files(spark, root, ".csv").select(lake.file_end_date(F.col("path")).alias("through")).distinct()
+    rows = facts.groupBy(F.make_date(F.year("ds"), F.lit(12), F.lit(31)).alias("through")).agg(F.count("*").alias("n_rows"))
+    return found.join(rows, "through", "left")
+
+
+@entry(
+    "json_snapshots",
+    f"""WITH {B.FACTS}, l AS (SELECT series_id, MAX(ds) AS last_ds, COUNT(*) AS n_days FROM facts GROUP BY 1)
+    SELECT series_id, last_ds, n_days, DATE '2001-08-01' AS run_date, 2 AS attempt FROM l
+    UNION ALL SELECT series_id, last_ds, n_days, DATE '2001-08-02', 1 FROM l""",
+)
+def json_snapshots(spark, sf):
+    """One JSON snapshot per run date, the last write of a date standing."""
+    rows = stage(B.facts(spark, sf).groupBy("series_id").agg(F.max("ds").alias("last_ds"), F.count("*").alias("n_days")), "last")
+    root = shared_dir(spark, "snapshots")
+    for run_date, attempt in (("2001-08-01", 1), ("2001-08-01", 2), ("2001-08-02", 1)):
+        lake.write_json(rows.withColumn("attempt", F.lit(attempt)), f"{root}/run_date={run_date}")
+    return lake.read_json(spark, root, "series_id string, last_ds date, n_days long, attempt int, run_date date")
+
+
+@entry(
+    "dependent_feed",
+    f"""WITH {B.FACTS},{B.WEATHER}, lead_day AS (SELECT MAX(ds) AS d FROM facts WHERE ds <= DATE '2000-06-30')
+    SELECT ds, ROUND(temp, 9) AS temp FROM weather, lead_day WHERE ds > DATE '1999-12-31' AND ds <= lead_day.d""",
+)
+def dependent_feed(spark, sf):
+    """A feed's next range, up to the watermark that its leader has stored."""
+    log = shared_dir(spark, "feed-log")
+    lead = B.facts(spark, sf).where(F.col("ds") <= day("2000-06-30")).agg(F.max("ds")).first()[0]
+    lake.write_watermark(spark, log, "facts", 0, lead)
+    lake.write_watermark(spark, log, "weather", 0, "1999-12-31")
+    own, leader = (F.lit(lake.read_watermark(spark, log, f)) for f in ("weather", "facts"))
+    first, last, open_ = lake.dependent_window(own, leader)
+    rows = B.weather(spark, sf).where(open_ & F.col("ds").between(first, last))
+    return rows.select("ds", F.round("temp", 9).alias("temp"))
+
+
+@entry(
+    "job_runs",
+    f"""WITH {B.GOLD}, n AS (SELECT COUNT(*) AS g FROM gold), {B.FEATURES.split(B.GOLD + ',', 1)[1]},
+    f AS (SELECT COUNT(*) AS x FROM features), s AS (SELECT COUNT(DISTINCT series_id) AS k FROM gold)
+    SELECT 'gold' AS job, DATE '2001-08-01' AS run_date, 'success' AS status, CAST(g + x AS BIGINT) AS n_rows, CAST(NULL AS VARCHAR) AS error FROM n, f
+    UNION ALL SELECT 'gold', DATE '2001-08-02', 'skipped', NULL, NULL
+    UNION ALL SELECT 'training', DATE '2001-08-01', 'success', CAST(2 * k AS BIGINT), NULL FROM s
+    UNION ALL SELECT 'training', DATE '2001-08-02', 'failure', NULL, 'ValueError: missing required columns: [''temp'']'""",
+)
+def job_runs(spark, sf):
+    """Scheduled jobs with snapshots and run records: repeated, with nothing to do, failing."""
+    root = shared_dir(spark, "jobs")
+    silver = B.silver(spark, sf)
+    for _ in range(2):
+        scheduled.build_gold(spark, root, "2001-08-01", silver)
+    scheduled.build_gold(spark, root, "2001-08-02", silver.limit(0))
+    daily = spark.read.parquet(f"{root}/gold_daily").drop("run_date")
+    scheduled.train(spark, root, "2001-08-01", daily, n_trees=20)
+    try:
+        scheduled.train(spark, root, "2001-08-02", daily.drop("temp"))
+    except ValueError:
+        pass  # the run record tells
+    runs = lake.read_runs(spark, f"{root}/run_log")
+    return runs.select("job", "run_date", "status", F.col("rows").alias("n_rows"), "error")

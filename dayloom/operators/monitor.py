@@ -169,6 +169,16 @@ def retrain_decision(
     )
 
 
+def retrain_flag(report: DataFrame, keys: list[str] = SERIES) -> DataFrame:
+    """What a day's decision does to the flag of each series: written with its reasons when a retrain
+    is triggered, cleared while the cooldown lasts, else left as it is (no row)."""
+    acts = F.when(F.col("retrain_triggered") == 1, "write").when(F.col("cooldown_active") == 1, "clear")
+    return report.select(
+        *keys, F.col("report_date").alias("flag_date"), acts.alias("action"), "rolling_mae", "max_psi",
+        "retrain_reasons",
+    ).where("action IS NOT NULL")
+
+
 def trigger_dates(
     recommended: DataFrame, cooldown: int = S.COOLDOWN_DAYS, keep: int = S.TRIGGER_HISTORY,
     keys: list[str] = SERIES,

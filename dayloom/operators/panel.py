@@ -7,6 +7,7 @@ day. All later per-series work runs over at most one row per calendar day.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -111,20 +112,23 @@ def merge_silver(
     covariates: DataFrame,
     arrival: Column,
     late_days: int = 0,
+    watermark: dt.date | None = None,
 ) -> DataFrame:
     """Add the days after the watermark to silver.
 
     Old and new rows cannot overlap (new days are past the watermark), so only the new rows
-    are made distinct; the old table is not shuffled again.
+    are made distinct; the old table is not shuffled again. A ``watermark`` from the log is a
+    plain value that prunes files and partitions; without one the table's newest day is looked up.
     """
     require_columns(facts, {"ds", "y"})
     require_columns(covariates, {"ds"})
-    fresh = newer_than(facts, high_watermark(existing, late_days)).dropDuplicates()
+    floor = F.date_sub(F.lit(watermark), late_days) if watermark else high_watermark(existing, late_days)
+    fresh = newer_than(facts, floor).dropDuplicates()
     days = latest_per_day(covered_days(covariates, fresh), arrival)
     merged = join_covariates(fresh, days)
     kept = existing
     if late_days:
-        kept = existing.where(F.col("ds") <= high_watermark(existing, late_days))
+        kept = existing.where(F.col("ds") <= floor)
     return kept.unionByName(merged, allowMissingColumns=True)
 
 

@@ -1,8 +1,12 @@
 import datetime as dt
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from dayloom.operators.monitor import trigger_dates
+from dayloom.operators.panel import merge_silver
+from dayloom.sources import lake
 from dayloom.streaming import jobs
 
 D = dt.date
@@ -119,13 +123,106 @@ def test_distinct_arrivals_across_runs(spark, tmp_path):
     assert sorted(r.name for r in got.collect()) == ["a", "b"]
 
 
-def test_stateful_triggers_equal_the_replay(spark, tmp_path):
+def test_open_days_come_out_and_repeats_replace(spark, tmp_path):
     src, out, ck = (str(tmp_path / n) for n in ("src", "o", "c"))
-    schema = "series_id string, ds date"
-    days = {"a": [1, 2, 8, 9, 14, 20], "b": [3, 9, 11]}
-    for low, high in ((0, 9), (9, 40)):
-        put(spark, src, [(s, D(2025, 1, d)) for s, ds in days.items() for d in ds if low <= d < high], schema)
+    schema = "ts timestamp_ntz, kind string, value double"
+    rows = [(dt.datetime(2025, 1, 1 + i // 4, 3 * (i % 4)), "ab"[i % 2], float(i)) for i in range(40)]
+    want = {}
+    for part in (rows[:17], rows[17:30], [], rows[30:]):
+        if part:
+            put(spark, src, part, schema)
+        for ts, kind, v in part:
+            want[ts.date(), kind] = want.get((ts.date(), kind), 0) + v
         stream = jobs.file_stream(spark, src, schema, "*.parquet")
-        got = jobs.drain(jobs.retrain_triggers(stream), out, ck)
-    want = trigger_dates(spark.createDataFrame([(s, D(2025, 1, d)) for s, ds in days.items() for d in ds], schema))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        got = jobs.upsert_totals(stream, ["kind"], out, ck)
+        assert {(r.ds, r.kind): r.y for r in got.collect()} == want
+    last = max(int(p.name) for p in (tmp_path / "c" / "commits").iterdir() if p.name.isdigit())
+    for p in list((tmp_path / "c" / "commits").iterdir()):  # the commit of the last batch is lost
+        if p.name in (str(last), f".{last}.crc"):
+            p.unlink()
+    stream = jobs.file_stream(spark, src, schema, "*.parquet")
+    assert {(r.ds, r.kind): r.y for r in jobs.upsert_totals(stream, ["kind"], out, ck).collect()} == want
+
+
+REPORTS = "series_id string, ds date, recommended boolean"
+
+
+def test_retrain_state_equals_the_replay_in_any_order(spark, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "o", "c"))
+    days = {"a": [1, 2, 8, 9, 14, 20], "b": [3, 9, 11, 28]}
+    rows = [(s, D(2025, 1, d), d in ds) for s, ds in days.items() for d in range(1, 29)]
+    rows += rows[:9]
+    # shuffled over files, a week late at most: the parts are weeks, each in any order
+    for low, high in ((15, 21), (1, 8), (8, 15), (21, 29)):
+        put(spark, src, [r for r in rows if low <= r[1].day < high][::-1], REPORTS)
+    put(spark, src, [(None, D(2025, 2, 20), False)], REPORTS)
+    stream = jobs.file_stream(spark, src, REPORTS, "*.parquet", files_per_batch=1)
+    got = jobs.drain_state(jobs.retrain_actions(stream, lateness="21 days"), out, ck)
+    fired = sorted((r.series_id, r.ds) for r in got.collect() if r.action == "trigger")
+    want = trigger_dates(
+        spark.createDataFrame([r[:2] for r in rows if r[2]], "series_id string, ds date")
+    )
+    assert got.count() == sum(map(len, days.values()))
+    assert fired == sorted(map(tuple, want.collect()))
+    # a: 1, 8 and 20 fire, 2, 9 and 14 clear; b: 3, 11 and 28 fire, 9 clears
+    flags = {r.series_id: (r.is_set, r.last_trigger.day) for r in jobs.retrain_flags(got).collect()}
+    assert flags == {"a": (True, 20), "b": (True, 28)}
+
+
+def test_watermark_log(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert lake.read_watermark(spark, log, "facts") is None
+    lake.write_watermark(spark, log, "facts", 0, "2025-06-15")
+    lake.write_watermark(spark, log, "other", 5, "2026-01-01")
+    lake.write_watermark(spark, log, "facts", 1, "not-a-date")
+    assert lake.read_watermark(spark, log, "facts") == D(2025, 6, 15)
+    lake.write_watermark(spark, log, "facts", 2, "2025-07-01")
+    lake.write_watermark(spark, log, "facts", 2, "2025-07-02")
+    assert lake.read_watermark(spark, log, "facts") == D(2025, 7, 2)
+    assert lake.read_watermark(spark, log, "facts", before=2) == D(2025, 6, 15)
+    assert lake.read_watermark(spark, log, "none") is None
+
+
+def test_a_lost_log_falls_back_to_the_table_and_plans_prune(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    dim = spark.createDataFrame([(D(2025, 1, d), float(d), 1) for d in range(1, 9)], DIM)
+
+    def step(ck):
+        stream = jobs.file_stream(spark, bronze, FACTS, "*.parquet")
+        jobs.append_silver(spark, stream, dim, "arrival", silver, str(tmp_path / ck))
+
+    put(spark, bronze, [(D(2025, 1, 1), "a", 1.0), (D(2025, 1, 2), "a", 2.0)])
+    step("ck")
+    log = jobs.watermark_log(silver)
+    assert lake.read_watermark(spark, log, "silver") == D(2025, 1, 2)
+    lake.write_watermark(spark, log, "silver", 0, "lost")
+    put(spark, bronze, [(D(2025, 1, 2), "b", 9.0), (D(2025, 1, 3), "a", 3.0)])
+    step("ck")
+    assert [r[:3] for r in silver_rows(spark, silver)] == [
+        ("2025-01-01", "a", 1.0), ("2025-01-02", "a", 2.0), ("2025-01-03", "a", 3.0)]
+    assert lake.read_watermark(spark, log, "silver") == D(2025, 1, 3)
+    stored = spark.read.parquet(silver)
+    merged = merge_silver(stored.drop("temp", "ingest_batch"), stored.select("ds", "series_id", "y", "month"), dim,
+                          F.col("arrival"), watermark=D(2025, 1, 2))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[IsNotNull\(ds\), GreaterThan\(ds,2025-01-02\)\]", plan)
+
+
+def test_job_wrapper_publishes_once_and_logs_failures(spark, tmp_path):
+    root = str(tmp_path)
+    table = spark.range(3)
+    for n in (2, 3):
+        assert lake.run_job(spark, root, "gold", "2025-01-02", lambda n=n: {"gold": table.limit(n)}) == "success"
+    assert lake.run_job(spark, root, "gold", "2025-01-03", lambda: None) == "skipped"
+
+    def broken():
+        raise ValueError("no rows")
+
+    with pytest.raises(ValueError):
+        lake.run_job(spark, root, "train", "2025-01-03", broken)
+    runs = {(r.job, str(r.run_date)): (r.status, r.rows, r.error) for r in lake.read_runs(spark, f"{root}/run_log").collect()}
+    assert runs == {
+        ("gold", "2025-01-02"): ("success", 3, None), ("gold", "2025-01-03"): ("skipped", None, None),
+        ("train", "2025-01-03"): ("failure", None, "ValueError: no rows"),
+    }
+    assert spark.read.parquet(f"{root}/gold").count() == 3
