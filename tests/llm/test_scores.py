@@ -181,18 +181,27 @@ def test_windows_match_exhaustive_edit_distance():
 
     items = [made(200) for _ in range(3)] + [made(30), made(90), made(11)]
     index = Index(Index.state(items))
-    for _ in range(30):
-        w = rng.randrange(len(index.owner))
-        window = "".join(map(chr, index.windows[w][: index.sizes[w]]))
+    for _ in range(40):
+        m = rng.randrange(5)
+        size = int(index.sizes[m])
+        w = rng.randrange(int(index.first_of[m]), int(index.last_of[m]) + 1)
+        window = "".join(map(chr, index.points[w : w + size]))
         s = list(window)
         for _ in range(rng.randrange(0, 8)):
             i = rng.randrange(len(s))
             s[i : i + 1] = rng.choice(["z", "zy", ""])
-        text = normal(made(100) + "".join(s) + made(100))
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        found = {int(k): int(e) for hit in index.search(points) for k, e in zip(hit[0], hit[3])}
+        text = normal(made(rng.choice([0, 100])) + "".join(s) + made(rng.choice([0, 100])))
+        found = {k: e for d, k, _, _, e in searched(index, [made(30), text, made(30)]) if d == 1}
         edits = least_edits(window, text)
-        assert (w in found) == (edits <= budget(len(window)))
+        assert (w in found) == (edits <= budget(size)), (window, text)
+        assert w not in found or edits <= found[w] <= budget(size)
+
+
+def searched(index, texts):
+    points = np.frombuffer(("\0".join(texts) + "\0").encode("utf-32-le"), np.uint32)
+    starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+    parts = list(index.search(points, starts))
+    return [row for part in parts for row in zip(*(x.tolist() for x in part), strict=True)]
 
 
 def test_excerpts_are_found_wherever_they_begin():
@@ -205,9 +214,36 @@ def test_excerpts_are_found_wherever_they_begin():
     index = Index(Index.state([item]))
     for size in (80, 90, 100):
         for at in range(60, 100):
-            points = np.frombuffer((made(50) + item[at : at + size] + made(50)).encode("utf-32-le"), np.uint32)
-            hits = list(index.search(points))
-            assert hits and min(h[3].min() for h in hits if len(h[3])) == 0
+            hits = searched(index, [made(50) + item[at : at + size] + made(50)])
+            assert min(h[4] for h in hits) == 0 and len({h[1] for h in hits}) >= size - 79
+            assert 46 <= min(h[2] for h in hits if h[4] == 0) <= 50
+
+
+def test_no_match_spans_two_texts(spark, docs):
+    rng = random.Random(4)
+    item = "".join(rng.choice("abcdefghij klmno") for _ in range(79)) + "q"
+    other = "".join(rng.choice("pqrstuvw") for _ in range(60))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    halves = [(1, other + item[:40], None), (2, item[40:] + other, None)]
+    assert contamination(docs(halves).coalesce(1), benchmark).collect() == []
+    # the end of a text may be part of a match, its neighbour may not
+    rows = [(1, other + item[:78], None), (2, "xy" + other, None), (3, item[2:] + other, None)]
+    assert sorted(r.doc_id for r in contamination(docs(rows).coalesce(1), benchmark).collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("line", ["-", "-=", "=--~"])
+def test_lines_of_signs_are_searched_from_their_ends(line):
+    items = [f"item {i} " + (line * 150)[:150] + f" end {i}" for i in range(20)]
+    index = Index(Index.state(items))
+    text = "some words before " + (line * 40_000)[:40_000] + " and after"
+    at, place = index._hits(np.frombuffer((text + "\0").encode("utf-32-le"), np.uint32))
+    assert len(at) < 8_000_000
+    hits = searched(index, [text])
+    first, last = min(h[2] for h in hits), max(h[3] for h in hits)
+    short = "some words before " + (line * 900)[:900] + " and after"
+    same = searched(index, [short])
+    assert {h[1] for h in hits} == {h[1] for h in same}
+    assert first == min(h[2] for h in same) and len(text) - last == len(short) - max(h[3] for h in same)
 
 
 def test_contamination_of_tables(spark, docs, words, odd_rows, monkeypatch):
