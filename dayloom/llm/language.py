@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +33,8 @@ SCRIPTS = [
 ]
 _FIRST, _LAST, _SCRIPT = (np.array(x) for x in zip(*SCRIPTS, strict=True))
 N_SCRIPTS = int(_SCRIPT.max()) + 1
+#: Which code points are letters; the ranges hold digits, marks and signs as well.
+_LETTER = np.array([unicodedata.category(chr(i))[0] == "L" for i in range(1 << 16)])
 
 
 def _cells(part: T.Slice) -> np.ndarray:
@@ -59,7 +63,7 @@ def _scripts(part: T.Slice) -> np.ndarray:
             more = size >= k
             point[more] = (point[more] << 6) | (d[np.minimum(lead[more] + k, len(d) - 1)] & 0x3F)
         k = np.searchsorted(_FIRST, point, side="right") - 1
-        known = (k >= 0) & (point <= _LAST[np.maximum(k, 0)]) & (point != 0xD7) & (point != 0xF7)
+        known = (k >= 0) & (point <= _LAST[np.maximum(k, 0)]) & _LETTER[np.minimum(point, 0xFFFF)]
         word = np.searchsorted(part.starts, lead[known], side="right") - 1
         np.maximum.at(out, word, _SCRIPT[k[known]])
     return out

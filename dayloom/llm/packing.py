@@ -15,7 +15,7 @@ from dayloom.session import stage
 
 CAPACITY = 2048
 #: Rows that one task is meant to number.
-CELL_ROWS = 1 << 17
+CELL_ROWS = 1 << 15
 
 
 def pieces(

@@ -17,6 +17,8 @@ BYTE_NAMES = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerat
 
 _SIMPLE = regex.compile(r"[!-~\u00A1-\u017F]*")
 
+_ENDS = (b".", b",", b";", b":", b"!", b"?")
+
 #: Words remembered: so many for good, and as many again until they are forgotten together.
 WORDS = 400_000
 
@@ -57,7 +59,19 @@ class WordTokens(dict):
             found = self.pieces[piece] = tuple(t.id for t in self.model.tokenize(named))
         return found
 
-    def of(self, word: bytes) -> list[int]:
+    def _plain(self, letters: bytes) -> tuple[int, ...]:
+        """Ids of A-Z and a-z alone: one piece, whose bytes stand for themselves."""
+        small = letters.decode("ascii").lower()
+        found = self.pieces.get(small)
+        if found is None:
+            found = self.pieces[small] = tuple([t.id for t in self.model.tokenize(small)])
+        return found
+
+    def of(self, word: bytes) -> list[int] | tuple[int, ...]:
+        if word.isalpha():
+            return self._plain(word)
+        if word[-1:] in _ENDS and word[:-1].isalpha():
+            return self._plain(word[:-1]) + self._plain(word[-1:])
         text = word.decode("utf-8", "replace")
         small = text.lower()
         if _SIMPLE.fullmatch(small) and "<|" not in text:

@@ -6,6 +6,7 @@ import numpy as np
 
 import dayloom.llm.jaccard_join as J
 from dayloom.llm.graph import components
+from dayloom.llm import passages as P
 from dayloom.llm.passages import (
     Settings, _all_passages, align, chains, covering, minimizers, repeated_passages, without_passages,
 )
@@ -116,6 +117,35 @@ def test_align_finds_the_passage():
     assert align([a], [inserted], np.array([-5]), np.array([15]))[0].tolist() == [40, 120, 45, 127, 79]
 
 
+def test_alignments_far_into_a_text():
+    rng = np.random.default_rng(5)
+    core, far = rng.integers(0, 10**6, 90), 1_200_000
+    b = rng.integers(0, 10**6, far + 100)
+    b[far : far + 90] = core
+    assert align([core], [b], np.array([far - 9]), np.array([far + 9]))[0].tolist() == [0, 90, far, far + 90, 90]
+    low = -70_000  # more than 65,536 columns
+    assert align([core], [core], np.array([low]), np.array([5]))[0].tolist() == [0, 90, 0, 90, 90]
+
+
+def test_a_path_is_the_same_in_blocks(monkeypatch):
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 4, 120)
+    b = np.concatenate([a[:50], rng.integers(0, 4, 7), a[55:], rng.integers(0, 4, 5)])
+    whole = P._path(a, b, -20, 20)
+    monkeypatch.setattr(P, "PATH_CELLS", 41 * 7)
+    assert (P._path(a, b, -20, 20) == whole).all()
+
+
+def test_rows_with_one_key_and_different_texts(spark, docs, words):
+    rows = [(1, words(150, 40), "en"), (2, words(20, 41) + " " + words(150, 40), "en"), (2, words(150, 42), "en"),
+            (None, words(150, 43), "en"), (None, words(9, 44) + " " + words(150, 40), "en")]
+    df = docs(rows)
+    found = repeated_passages(df)
+    left = [r.text for r in without_passages(df, found).collect()]
+    assert found.count() == 2 and {rows[2][1], rows[3][1]} <= set(left)
+    assert sum(rows[0][1] in t for t in left) == 1
+
+
 def test_planted_passages_are_found_and_cut(spark, docs, words):
     rng = random.Random(11)
     shared, fuzzy = words(70, 500), words(100, 501)

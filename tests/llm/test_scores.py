@@ -146,6 +146,17 @@ def test_viterbi_equals_the_plain_recursion():
             assert scores[a:b][np.arange(b - a), own].sum() - 2 * (np.diff(own) != 0).sum() == pytest.approx(best.max(), abs=1e-3)
 
 
+def test_texts_without_letters_are_undetermined(spark, docs, words):
+    train = [(i, words(80, i, "en" if i % 2 else "de"), "en" if i % 2 else "de") for i in range(8)]
+    model = language.fit(docs(train))
+    none = ["٠١٢ ٣٤", "१२३", "،", "๑๒", "・・", "12 % --", "֑֑", None, ""]
+    some = ["привет", "ሰላም", "𐌰𐌱", "中文", "ª"]
+    out = language.identify(docs([(i, t, None) for i, t in enumerate(none + some)]), model).collect()
+    got = {r.doc_id: r.lang_pred for r in out}
+    assert all(got[i] == "und" for i in range(len(none)))
+    assert all(got[i] in ("en", "de") for i in range(len(none), len(none + some)))
+
+
 def test_languages_spans_and_scripts(spark, docs, words, odd_rows):
     rows = [(i, words(60, i, "en" if i % 2 else "de"), "en" if i % 2 else "de") for i in range(60)]
     rows += [(100 + i, "это русский текст и слова " * 4, "ru") for i in range(5)]
