@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -206,9 +207,14 @@ def jaccard_components(
         turn, linked = turn + 1, False
         postings = open_.select("token", "cls", "n")
         if last:
-            left = open_.select("token", *[F.col(x).alias(y) for x, y in (("cls", "a"), ("n", "n_a"), ("comp", "c_a"))])
-            right = open_.select("token", *[F.col(x).alias(y) for x, y in (("cls", "b"), ("n", "n_b"), ("comp", "c_b"))])
-            pairs = left.join(right, "token").where("a < b")
+            # sizes that may link lie in one band or in neighbouring ones
+            banded = open_.withColumn("band", F.floor(F.log("n") / (max(math.log(100 / percent), 1e-9) * 1.000001)))
+            left = banded.select("token", "band", *[F.col(x).alias(y) for x, y in (("cls", "a"), ("n", "n_a"), ("comp", "c_a"))])
+            right = banded.select(
+                "token", F.explode(F.array("band", F.col("band") - 1)).alias("band"), F.col("band").alias("own"),
+                *[F.col(x).alias(y) for x, y in (("cls", "b"), ("n", "n_b"), ("comp", "c_b"))],
+            )
+            pairs = left.join(right, ["token", "band"]).where("band < own OR a < b")
         else:
             pairs = open_.select(
                 F.col("pivot.cls").alias("a"), F.col("pivot.n").alias("n_a"), F.col("cls").alias("b"),
