@@ -116,7 +116,29 @@ def _boot_sql(n_boot: int) -> str:
 def block_bootstrap(spark, sf):
     """Resampled intervals of three MAE differences and their verdicts."""
     pairs = [("linear", "seasonal_naive"), ("ensemble", "seasonal_naive"), ("ensemble", "linear")]
-    return B.rounded(BT.block_bootstrap(scored_cases(B.gold(spark, sf)), pairs), 6)
+    cases = scored_cases(B.gold(spark, sf))
+    return B.rounded(BT.block_bootstrap(cases, pairs, max_blocks=FC.origin_count()), 6)
+
+
+@entry("family_bootstrap")
+def family_bootstrap(spark, sf):
+    """The same for both fitted families and their ensemble."""
+    pairs = [("linear", "trees"), ("ensemble", "trees"), ("ensemble", "linear")]
+    cases = training.full_backtest(B.gold(spark, sf))
+    return B.rounded(BT.block_bootstrap(cases, pairs, max_blocks=FC.origin_count()), 6)
+
+
+@entry("family_baseline")
+def family_baseline(spark, sf):
+    """The record after training: both families on the common holdout, champion, weight advice."""
+    panel = B.gold(spark, sf)
+    wide = FC.to_wide(training.holdout_paths(panel), ["linear", "trees"])
+    one = FC.one_step_baselines(panel)
+    naive = one.groupBy("series_id").agg(
+        F.avg(F.abs(F.col("seasonal_naive") - F.col("y"))).alias("seasonal_naive"),
+        F.avg(F.abs(F.col("persistence") - F.col("y"))).alias("persistence"),
+    )
+    return B.rounded(BT.training_baseline(wide, "linear", "trees", naive), 6)
 
 
 BASELINE = f"""{CURVE},

@@ -10,6 +10,7 @@ from dayloom.catalog.base import entry
 from dayloom.operators import features as FT
 from dayloom.operators import forecast as FC
 from dayloom.operators import linear as L
+from dayloom.operators import registry as RG
 from dayloom.operators import reports as R
 from dayloom.operators import trees as T
 from dayloom.plans import prediction, training
@@ -409,21 +410,30 @@ def ordered_fit(spark, sf):
     )
 
 
+# The production fit: all days, nothing held back.
+FIT_ALL = FIT.replace("back >= 90", "back >= 0")
+
+# Two-sided normal tail by Simpson's rule.
+_TAIL = """1 - 2 / SQRT(2 * PI()) * z / 6000 * list_sum(list_transform(range(0, 2001), lambda k:
+      CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * EXP(-(z * k / 2000) * (z * k / 2000) / 2)))"""
+
+
 @entry(
     "linear_coefficients",
-    f"""WITH RECURSIVE {FIT}, e AS (SELECT f.series_id, x.i, f.m[x.i][11] AS b,
+    f"""WITH RECURSIVE {FIT_ALL}, e AS (SELECT f.series_id, x.i, f.m[x.i][11] AS b,
       SQRT(f.m[x.i][11 + x.i] * (f.yy - rs.explained) / (f.n - 10)) AS se
-      FROM fit f JOIN rs ON rs.series_id = f.series_id, ix x WHERE x.i > 6)
+      FROM fit f JOIN rs ON rs.series_id = f.series_id, ix x WHERE x.i > 6),
+    t AS (SELECT *, ABS(b / se) AS z FROM e)
     SELECT series_id, ['temp', 'precip', 'snow_lag1', 'is_holiday'][i - 6] AS feature, ROUND(b, 7) + 0.0 AS coefficient,
-      ROUND(se, 7) AS std_err, CASE WHEN ABS(b / se) > 1.959963984540054 THEN 1 ELSE 0 END AS is_significant,
-      CASE WHEN b >= 0 THEN 'raises' ELSE 'lowers' END AS direction FROM e""",
+      ROUND(se, 7) AS std_err, ROUND({_TAIL}, 6) + 0.0 AS p_value, CASE WHEN z > 1.959963984540054 THEN 1 ELSE 0 END AS is_significant,
+      CASE WHEN b >= 0 THEN 'raises' ELSE 'lowers' END AS direction FROM t""",
 )
 def linear_coefficients(spark, sf):
-    """Covariate effects and their significance per series."""
-    fit = training.fit_linear_models(B.gold(spark, sf))
+    """Covariate effects of the fit on all days, with p-values, per series."""
+    fit = training.fit_linear_models(B.gold(spark, sf), held_back=0)
     names = [FT.lag_name(k) for k in S.LAGS] + list(S.EXOG)
     table = L.coefficient_table(fit, names).where(F.col("feature").isin(list(S.EXOG)))
-    return B.rounded(table.drop("p_value"), 7)
+    return B.rounded(table, 7, p_value=6)
 
 
 @entry(
@@ -489,15 +499,20 @@ def tree_blend_identity(spark, sf):
 @entry("served_ensemble")
 def served_ensemble(spark, sf):
     """Two weeks ahead from both fitted families with interval and lineage."""
-    from dayloom.operators.backtest import mae_by_step
+    from dayloom.operators.backtest import mae_by_step, score
 
     panel = B.gold(spark, sf)
     model = training.production_trees(feature_table(panel))
     coef = training.fit_linear_models(panel, held_back=0)
     bounds = FT.scale_bounds(panel, list(S.EXOG), F.lit(True))
-    spread = mae_by_step(FC.to_long(training.linear_backtest(panel), ["linear"]))
+    tested = stage(training.full_backtest(panel), "backtest")
+    spread = mae_by_step(FC.to_long(tested, ["ensemble"]))
     out = prediction.serve(
         panel, B.weather(spark, sf), coef, bounds, model, spread.select("series_id", "h", "sigma")
     )
     last = panel.agg(F.max("ds").alias("m")).scalar()
-    return B.rounded(prediction.stamp(out, panel, last, {"linear": "1", "trees": "1"}))
+    # both families' runs enter the registry with their errors; the gate says which versions serve
+    runs = score(FC.to_long(tested, ["linear", "trees"]), keys=[]).select(
+        "model", F.lit(1).alias("version"), F.lit("None").alias("stage"), "mae", F.lit("run-1").alias("run_id")
+    )
+    return B.rounded(prediction.stamp(out, panel, last, prediction.serving_versions(RG.promotion_gate(runs))))

@@ -11,6 +11,7 @@ from dayloom.functions import errors as E
 from dayloom.operators import forecast as FC
 from dayloom.operators import monitor as M
 from dayloom.operators import reports as R
+from dayloom.operators.backtest import score
 from dayloom.operators.features import whole
 from dayloom.plans import monitoring as plan
 from dayloom.plans import training
@@ -34,8 +35,10 @@ LIVE = f"""{SNAPS},
       FROM numbered n JOIN gold g ON g.series_id = n.series_id AND g.ds = n.ds, today WHERE n.ds < today.d)"""
 
 
-def snapshots(spark, sf, panel):
-    cases = training.add_baselines(FC.snapshot_origins(panel))
+def snapshots(spark, sf, panel, newest=None):
+    """The weekly runs; of the newest ones only, where the live window needs no others."""
+    since = FC.newest_origins(panel, newest)[-1:] if newest else []
+    cases = training.add_baselines(FC.snapshot_origins(panel, since=since[0] if since else None))
     cases = cases.withColumn(
         "ensemble", FC.blend_arrays(F.col("seasonal_naive"), F.col("persistence"))
     )
@@ -66,13 +69,13 @@ def forecast_snapshots(spark, sf):
 @entry(
     "live_errors",
     f"""WITH {LIVE} SELECT series_id, run_date, ds, horizon, ROUND(ensemble, 12) AS ensemble, ROUND(seasonal_naive, 12) AS seasonal_naive,
-      ROUND(actual, 12) AS actual, ROUND(error, 12) + 0.0 AS error, ROUND(ABS(error) / actual * 100, 8) AS abs_pct_error,
+      ROUND(actual, 12) AS actual, ROUND(error, 12) + 0.0 AS error, ROUND(ABS(error) / GREATEST(ABS(actual), 2.220446049250313e-16) * 100, 8) AS abs_pct_error,
       CAST(date_trunc('week', ds) AS DATE) AS week FROM live""",
 )
 def live_errors(spark, sf):
     """Past forecast days of the newest eight runs against actuals."""
     panel = B.gold(spark, sf)
-    out = M.live_errors(snapshots(spark, sf, panel), panel, today_of(panel))
+    out = M.live_errors(snapshots(spark, sf, panel, S.LIVE_SNAPSHOTS), panel, today_of(panel))
     out = out.select(
         "series_id", "run_date", "ds", "horizon", "ensemble", "seasonal_naive", "actual", "error",
         "abs_pct_error", "week",
@@ -83,12 +86,12 @@ def live_errors(spark, sf):
 @entry(
     "live_metrics",
     f"""WITH {LIVE} SELECT series_id, COUNT(*) AS n_evaluated, ROUND(AVG(ABS(error)), 9) AS rolling_mae,
-      ROUND(AVG(ABS(error / actual)) * 100, 6) AS rolling_mape_pct, COUNT(DISTINCT run_date) AS n_runs FROM live GROUP BY 1""",
+      ROUND(AVG(ABS(error) / GREATEST(ABS(actual), 2.220446049250313e-16)) * 100, 6) AS rolling_mape_pct, COUNT(DISTINCT run_date) AS n_runs FROM live GROUP BY 1""",
 )
 def live_metrics(spark, sf):
     """MAE, MAPE, days and runs of the live window."""
     panel = B.gold(spark, sf)
-    live = M.live_errors(snapshots(spark, sf, panel), panel, today_of(panel))
+    live = M.live_errors(snapshots(spark, sf, panel, S.LIVE_SNAPSHOTS), panel, today_of(panel))
     return B.rounded(M.live_metrics(live), 9, rolling_mape_pct=6)
 
 
@@ -100,7 +103,7 @@ def live_metrics(spark, sf):
 def scatter_axis_range(spark, sf):
     """Common axis of forecast and actual."""
     panel = B.gold(spark, sf)
-    live = M.live_errors(snapshots(spark, sf, panel), panel, today_of(panel))
+    live = M.live_errors(snapshots(spark, sf, panel, S.LIVE_SNAPSHOTS), panel, today_of(panel))
     return B.rounded(R.axis_range(live, "actual", "ensemble"))
 
 
@@ -184,8 +187,13 @@ def last_trigger(spark, sf):
 @entry(
     "monitoring_report",
     f"""WITH RECURSIVE {LIVE},{PSI.split(B.GOLD + ',', 1)[1]},{TRIGGERS.split(B.GOLD + ',', 1)[1]},
-    lm AS (SELECT series_id, COUNT(*) AS n_evaluated, AVG(ABS(error)) AS rolling_mae, AVG(ABS(error / actual)) * 100 AS mape FROM live GROUP BY 1),
-    tb AS (SELECT series_id, ROUND(AVG(y) / 1e6, 6) * CASE WHEN substr(series_id, 1, 1) IN ('1', '2') THEN 0.05 ELSE 1 END AS training_mae FROM gold GROUP BY 1),
+    lm AS (SELECT series_id, COUNT(*) AS n_evaluated, AVG(ABS(error)) AS rolling_mae, AVG(ABS(error) / GREATEST(ABS(actual), 2.220446049250313e-16)) * 100 AS mape FROM live GROUP BY 1),
+    tb AS (SELECT o.series_id, AVG(ABS(0.5::DOUBLE * (n.y / 1e6) + 0.5::DOUBLE * (p.y / 1e6) - a.y / 1e6)) AS training_mae
+      FROM (SELECT series_id, CAST(MAX(ds) - 90 + 7 * i AS DATE) AS origin FROM gold, (SELECT CAST(UNNEST(range(0, 11)) AS INTEGER) AS i) GROUP BY series_id, i) o
+      CROSS JOIN (SELECT CAST(UNNEST(range(1, 15)) AS INTEGER) AS h) s
+      JOIN gold a ON a.series_id = o.series_id AND a.ds = o.origin + s.h
+      JOIN gold p ON p.series_id = o.series_id AND p.ds = o.origin
+      JOIN gold n ON n.series_id = o.series_id AND n.ds = o.origin + s.h - CASE WHEN s.h <= 7 THEN 7 ELSE 14 END GROUP BY 1),
     pm AS (SELECT series_id, MAX(psi) AS max_psi, MAX(psi) FILTER (feature = 'temp') AS psi_temp, MAX(psi) FILTER (feature = 'precip') AS psi_precip,
       MAX(psi) FILTER (feature = 'snow') AS psi_snow FROM psi GROUP BY 1),
     lt AS (SELECT series_id, MAX(trigger_date) AS last_trigger FROM fired, today WHERE trigger_date <= today.d GROUP BY 1),
@@ -205,12 +213,12 @@ def last_trigger(spark, sf):
 def monitoring_report(spark, sf):
     """Live error, drift, retrain decision with cooldown."""
     panel = B.gold(spark, sf)
-    strict = F.when(F.substring("series_id", 1, 1).isin("1", "2"), 0.05).otherwise(1.0)
-    baseline = panel.groupBy("series_id").agg(F.round(F.avg("y") / 1e6, 6).alias("_m")).select(
-        "series_id", (F.col("_m") * strict).alias("training_mae")
-    )
+    # the limit's base: the backtest error of the very blend that the snapshots serve
+    cases = training.add_baselines(FC.rolling_origins(panel))
+    cases = cases.withColumn("ensemble", FC.blend_arrays(F.col("seasonal_naive"), F.col("persistence")))
+    baseline = score(FC.to_long(cases, ["ensemble"])).select("series_id", F.col("mae").alias("training_mae"))
     triggers = M.trigger_dates(recommended(panel))
-    out = plan.report(panel, snapshots(spark, sf, panel), baseline, triggers, today_of(panel))
+    out = plan.report(panel, snapshots(spark, sf, panel, S.LIVE_SNAPSHOTS), baseline, triggers, today_of(panel))
     out = out.select(
         "series_id", "report_date", "n_evaluated", "rolling_mae", "rolling_mape_pct", "training_mae",
         "max_psi", "psi_status", "retrain_recommended", "cooldown_active", "retrain_triggered",
@@ -258,6 +266,24 @@ def run_status(spark, sf):
     return M.run_status(log, through, log.agg(F.max("run_date").alias("m")).scalar())
 
 
+@entry(
+    "run_status_fallback",
+    f"""WITH {RUN_LOG},{B.FACTS}, t AS (SELECT MAX(ds) AS through FROM facts),
+    n AS (SELECT MAX(run_date) AS today FROM log),
+    r AS (SELECT job, run_date, status FROM log WHERE job <> 'prediction' QUALIFY ROW_NUMBER() OVER (PARTITION BY job ORDER BY run_date DESC) = 1
+      UNION ALL SELECT 'prediction', CAST(through - 7 AS DATE), NULL FROM t)
+    SELECT job, run_date, status, CASE status WHEN 'success' THEN 'ok' WHEN 'failure' THEN 'failed' ELSE 'unknown' END AS badge,
+      through AS data_through, CAST(today - through AS INTEGER) AS lag_days FROM r, t, n""",
+)
+def run_status_fallback(spark, sf):
+    """The same with no prediction run in the log: the served forecast tells its date."""
+    log = run_log(spark, sf)
+    ends = B.facts(spark, sf).agg(F.max("ds").alias("m"))
+    served = ends.select(F.explode(F.array(F.date_sub("m", 14), F.date_sub("m", 7))).alias("run_date"))
+    today = log.agg(F.max("run_date").alias("m")).scalar()
+    return M.run_status(log.where("job <> 'prediction'"), ends.scalar(), today, served)
+
+
 @entry(
     "data_lag",
     f"""WITH {B.FACTS},{B.WEATHER}, n AS (SELECT MAX(ds) AS today FROM weather), l AS (SELECT series_id, MAX(ds) AS last_actual FROM facts GROUP BY 1)

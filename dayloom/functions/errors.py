@@ -19,6 +19,11 @@ def rmse(y: Column, yhat: Column) -> Column:
     return F.sqrt(F.avg((yhat - y) * (yhat - y)))
 
 
+def pct_error(y: Column, yhat: Column, eps: float = TINY) -> Column:
+    """Absolute error in percent of the actual's size, which is never taken as 0."""
+    return F.abs(yhat - y) / F.greatest(F.abs(y), F.lit(eps)) * 100
+
+
 def mape_pct(y: Column, yhat: Column, eps: float = TINY) -> Column:
     return F.avg(F.abs(yhat - y) / F.greatest(F.abs(y), F.lit(eps))) * 100
 

@@ -8,6 +8,8 @@ case meet without any join.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +65,20 @@ def rolling_origins(
     ).select(*keys, F.col("ds").alias("origin"), "hist", "actual", "future")
 
 
+def origin_count(eval_days: int = S.EVAL_DAYS, step: int = S.STEP, horizon: int = S.HORIZON) -> int:
+    """How many rolling origins a series has at most."""
+    return (eval_days - horizon) // step + 1
+
+
+def newest_origins(
+    panel: DataFrame, n: int, weekday: int = 2, depth: int = max(S.LAGS), keys: list[str] = SERIES
+) -> list[dt.date]:
+    """The newest n origin days of weekly runs, newest first (n values come to the driver)."""
+    first = panel.withColumn("_first", F.min("ds").over(whole(keys)))
+    due = first.where((F.weekday("ds") == weekday) & (F.datediff("ds", "_first") >= depth - 1))
+    return [r.ds for r in due.select("ds").distinct().orderBy(F.desc("ds")).limit(n).collect()]
+
+
 def snapshot_origins(
     panel: DataFrame,
     covariates: list[str] = (),
@@ -71,8 +87,12 @@ def snapshot_origins(
     depth: int = max(S.LAGS),
     keys: list[str] = SERIES,
     unit: float = S.UNIT_SCALE,
+    since: dt.date | None = None,
 ) -> DataFrame:
-    """One case per week over the whole history, as a weekly scheduled run would make."""
+    """One case per week over the whole history, as a weekly scheduled run would make, or from an
+    origin on; days that no such case touches are dropped before the arrays are built."""
+    if since is not None:
+        panel = panel.where(F.col("ds") > F.date_sub(F.lit(since), depth))
     df = _arrays(panel, list(covariates), depth, horizon, keys, unit)
     return df.where((F.size("hist") == depth) & (F.weekday("ds") == weekday)).select(
         *keys, F.col("ds").alias("origin"), "hist", "actual", "future"

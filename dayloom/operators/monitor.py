@@ -44,7 +44,7 @@ def live_errors(
     return df.withColumns(
         {
             "error": F.col("ensemble") - F.col("actual"),
-            "abs_pct_error": F.try_divide(F.abs(F.col("ensemble") - F.col("actual")), "actual") * 100,
+            "abs_pct_error": E.pct_error(F.col("actual"), F.col("ensemble")),
             "week": week_start(F.col("ds")),
         }
     )
@@ -54,7 +54,7 @@ def live_metrics(errors: DataFrame, keys: list[str] = SERIES) -> DataFrame:
     return errors.groupBy(*keys).agg(
         F.count("*").alias("n_evaluated"),
         F.avg(F.abs("error")).alias("rolling_mae"),
-        (F.avg(F.abs(F.try_divide("error", "actual"))) * 100).alias("rolling_mape_pct"),
+        F.avg(E.pct_error(F.col("actual"), F.col("actual") + F.col("error"))).alias("rolling_mape_pct"),
         F.count_distinct("run_date").alias("n_runs"),
     )
 
@@ -199,11 +199,19 @@ def trigger_dates(
     return fired.select(*keys, F.explode(kept).alias("trigger_date"))
 
 
-def run_status(runs: DataFrame, data_through: Column, as_of: Column) -> DataFrame:
-    """Newest run per job with its badge and how far the data lags behind."""
+def run_status(
+    runs: DataFrame, data_through: Column, as_of: Column, forecasts: DataFrame | None = None
+) -> DataFrame:
+    """Newest run per job with its badge and how far the data lags behind. Without a prediction run in
+    the log, the served ``forecasts`` (``run_date``) say when one was; its status is unknown."""
     newest = runs.groupBy("job").agg(
         F.max("run_date").alias("run_date"), F.max_by("status", "run_date").alias("status")
     )
+    if forecasts is not None:
+        served = forecasts.agg(F.max("run_date").alias("run_date")).where("run_date IS NOT NULL").select(
+            F.lit("prediction").alias("job"), "run_date", F.lit(None).cast("string").alias("status")
+        )
+        newest = newest.unionByName(served.join(newest.select("job"), "job", "left_anti"))
     return newest.withColumns(
         {
             "badge": E.status_badge(F.col("status")),

@@ -54,6 +54,11 @@ def serve(
     return rows
 
 
+def serving_versions(gate: DataFrame) -> dict[str, str]:
+    """The version that serves of each model family, as the promotion gate decided (a row a family)."""
+    return {r.model: str(r.serving_version) for r in gate.select("model", "serving_version").collect()}
+
+
 def stamp(rows: DataFrame, daily: DataFrame, run_date, versions: dict[str, str], image: str | None = None):
     """Lineage columns: run date, weights, model versions, data print, code image."""
     print_ = fingerprint(daily, ["series_id", "ds", "y"]).select("digest").scalar()
