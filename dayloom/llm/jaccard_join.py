@@ -250,3 +250,28 @@ def jaccard_components(
 
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+#: The query's rows by all pairs that share a shingle and the closure of their links.
+ORACLE = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) END) AS s FROM words
+), sizes AS (
+  SELECT w.doc_id, count(s) AS n FROM words w LEFT JOIN shingles USING (doc_id) GROUP BY 1
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(min(b), doc_id)) AS component_id
+FROM sizes LEFT JOIN reach ON a = doc_id GROUP BY doc_id, n
+"""

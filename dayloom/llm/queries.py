@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dayloom.llm.bilinear import op2
 from dayloom.llm.decontaminate import op9
+from dayloom.llm.jaccard_join import ORACLE as JOIN_ORACLE
 from dayloom.llm.jaccard_join import op10
 from dayloom.llm.kneser_ney import op4
 from dayloom.llm.language import op6
@@ -37,4 +38,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_recompression_runs": op12,
     "op13_bloom_cascade_urls": op13,
 }
-ORACLES: dict[str, str] = {"op11_centroid_trie": TRIE_ORACLE, "op13_bloom_cascade_urls": urls_oracle()}
+ORACLES: dict[str, str] = {
+    "op10_jaccard_join": JOIN_ORACLE,
+    "op11_centroid_trie": TRIE_ORACLE,
+    "op13_bloom_cascade_urls": urls_oracle(),
+}
