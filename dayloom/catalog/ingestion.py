@@ -43,6 +43,30 @@ def extract_page(spark, sf):
     return feeds.page(daily, ["ds", "event_type"], 40, 20)
 
 
+@entry(
+    "all_pages",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS ds, o_totalprice AS y,
+      CAST((ROW_NUMBER() OVER (ORDER BY CAST(o_orderdate AS DATE) NULLS FIRST, o_orderkey) - 1) // 500 AS BIGINT) AS page FROM orders""",
+)
+def all_pages(spark, sf):
+    """Every row with its page, pages cut from ranges of the order."""
+    rows = B.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("ds"), F.col("o_totalprice").alias("y"))
+    return feeds.paged(rows, ["ds", "o_orderkey"], 500)
+
+
+@entry(
+    "page_after_key",
+    """WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS ds, o_totalprice AS y FROM orders),
+    l AS (SELECT ds, o_orderkey FROM o WHERE ds <= DATE '2000-12-31' ORDER BY ds DESC, o_orderkey DESC LIMIT 1)
+    SELECT o.* FROM o, l WHERE o.ds > l.ds OR (o.ds = l.ds AND o.o_orderkey > l.o_orderkey) ORDER BY o.ds, o.o_orderkey LIMIT 200""",
+)
+def page_after_key(spark, sf):
+    """A deep page, sought from the last key of the page before."""
+    rows = B.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("ds"), F.col("o_totalprice").alias("y"))
+    last = rows.where("ds <= '2000-12-31'").agg(F.max(F.struct("ds", "o_orderkey")).alias("k")).select("k.*").first()
+    return feeds.seek_page(rows, ["ds", "o_orderkey"], 200, last)
+
+
 @entry(
     "two_feed_history",
     f"""WITH {B.FACTS}, old AS (SELECT * FROM facts WHERE ds BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'),

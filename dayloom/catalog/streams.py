@@ -129,3 +129,28 @@ def stream_silver(spark, sf):
         stream = jobs.file_stream(spark, bronze, facts.schema, "*.parquet")
         jobs.append_silver(spark, stream, weather, "arrival", silver, ck)
     return spark.read.parquet(silver).drop(jobs.BATCH, jobs.MONTH)
+
+
+@entry(
+    "stream_gated_feed",
+    f"""WITH {B.FACTS},{B.WEATHER} SELECT ds, ROUND(temp, 9) AS temp, ds IN (SELECT ds FROM facts) AS is_open FROM weather""",
+)
+def stream_gated_feed(spark, sf):
+    """Weather rows wait for the facts of their day: the leader comes late, early or never."""
+    weather = stage(B.weather(spark, sf).select("ds", F.round("temp", 9).alias("temp")), "weather")
+    days = stage(B.facts(spark, sf).select("ds").distinct(), "days")
+    ahead = weather.agg(F.date_add(F.max("ds"), 3000).alias("ds"))
+    feed, lead = shared_dir(spark, "weather-feed"), shared_dir(spark, "facts-feed")
+    cuts = [F.col("ds") < "1997-01-01", F.col("ds").between("1997-01-01", "1999-12-31"), F.col("ds") > "1999-12-31"]
+    for k in range(3):  # in different order
+        weather.where(cuts[k]).coalesce(1).write.mode("append").parquet(feed)
+        days.where(cuts[(k + 1) % 3]).coalesce(1).write.mode("append").parquet(lead)
+    ahead.withColumn("temp", F.lit(0.0)).write.mode("append").parquet(feed)
+    ahead.write.mode("append").parquet(lead)
+    rows, leader = (
+        jobs.file_stream(spark, path, table.schema, "*.parquet", files_per_batch=1)
+        for path, table in ((feed, weather), (lead, days))
+    )
+    out = jobs.gated(rows, leader, "2900 days")
+    out = jobs.drain(out, shared_dir(spark, "gated"), shared_dir(spark, "gated-ck"))
+    return out.join(weather.select("ds"), "ds", "left_semi")  # not the row far ahead, which closes the others

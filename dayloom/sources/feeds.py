@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayloom import settings as S
+from dayloom.session import stage
 
 
 def extract_daily(
@@ -27,6 +30,38 @@ def page(df: DataFrame, order: list[str], limit: int, offset: int) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
+def seek_page(df: DataFrame, order: list[str], limit: int, after: Sequence | None = None) -> DataFrame:
+    """The page behind a row (the values of its ``order`` columns), or the first page.
+
+    A filter and a top-``limit`` of every partition: nothing before the page is sorted or counted,
+    however deep it lies. ``order`` must identify a row; nulls come first.
+    """
+    if after is not None:
+        last = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, after, strict=True)])
+        df = df.where(F.struct(*order) > last)
+        if after[0] is not None:  # reaches the scan
+            df = df.where(F.col(order[0]) >= F.lit(after[0]))
+    return df.orderBy(*order).limit(limit)
+
+
+def paged(df: DataFrame, order: list[str], size: int, partitions: int | None = None) -> DataFrame:
+    """All rows with the number of their page, from 0.
+
+    Rows go to ranges of the order and are sorted within these; a row's place is its place there plus
+    the rows of the ranges before (one number a range). No task sorts more than a range.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = stage(ranged.withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    # the id holds the partition above bit 33 and the place in it below
+    ranged = ranged.withColumns({"_range": F.shiftright("_at", 33), "_place": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    page_of = F.floor((F.col("_before") + F.col("_place")) / size).cast("long")
+    return ranged.join(starts, "_range").withColumn("page", page_of).drop("_at", "_range", "_place", "_before")
+
+
 def split_at_boundary(
     historical: DataFrame, current: DataFrame, start: Column, end: Column,
     boundary: str = S.FEED_BOUNDARY,

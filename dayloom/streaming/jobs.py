@@ -105,6 +105,20 @@ def distinct_arrivals(events: DataFrame, keys: list[str], ts: str = "ts", latene
     )
 
 
+def gated(follower: DataFrame, leader: DataFrame, lateness: str, ts: str = "ds") -> DataFrame:
+    """Rows of a feed with whether its leader has their day (``is_open``).
+
+    A row waits for the leader and comes out when the leader's day arrives, however much later
+    within ``lateness``; when the watermarks of both feeds have passed the day without it, the row
+    comes out closed. Repeated days of the leader count once.
+    """
+    led = leader.select(F.col(ts).cast("timestamp").alias("_led")).withWatermark("_led", lateness)
+    led = led.dropDuplicatesWithinWatermark(["_led"])
+    rows = follower.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", lateness)
+    joined = rows.join(led, rows["_ts"] == led["_led"], "left_outer")
+    return joined.withColumn("is_open", F.col("_led").isNotNull()).drop("_ts", "_led")
+
+
 BATCH = "ingest_batch"
 MONTH = "month"
 

@@ -129,3 +129,21 @@ def test_listing_and_fallback(spark):
     main = rows.drop("seq")
     assert {r.source for r in feeds.with_fallback(main, permits).collect()} == {"main"}
     assert {r.source for r in feeds.with_fallback(main.where("false"), permits).collect()} == {"second"}
+
+
+def test_pages_by_seeking_and_by_ranges(spark):
+    rows = [(None, 3), (None, 1), *[(i // 4, i) for i in range(50)]]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(5)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got, after = [], None
+    while True:
+        page = [tuple(r) for r in feeds.seek_page(df, ["a", "b"], 7, after).collect()]
+        if not page:
+            break
+        got.append(page)
+        after = page[-1]
+    assert [r for page in got for r in page] == order and all(len(p) == 7 for p in got[:-1])
+    paged = feeds.paged(df, ["a", "b"], 7, partitions=4).collect()
+    assert sorted((r.page, r.a is not None, r.a or 0, r.b) for r in paged) == [
+        (i // 7, a is not None, a or 0, b) for i, (a, b) in enumerate(order)
+    ]

@@ -226,3 +226,22 @@ def test_job_wrapper_publishes_once_and_logs_failures(spark, tmp_path):
         ("train", "2025-01-03"): ("failure", None, "ValueError: no rows"),
     }
     assert spark.read.parquet(f"{root}/gold").count() == 3
+
+
+def test_a_feed_waits_for_its_leader(spark, tmp_path):
+    feed, lead, out, ck = (str(tmp_path / n) for n in ("feed", "lead", "o", "c"))
+
+    def step():
+        f = jobs.file_stream(spark, feed, "ds date, temp double", "*.parquet")
+        l = jobs.file_stream(spark, lead, "ds date", "*.parquet")  # noqa: E741
+        got = jobs.drain(jobs.gated(f, l, "3 days"), out, ck)
+        return sorted((r.ds.day, r.is_open) for r in got.collect())
+
+    put(spark, feed, [(D(2025, 1, d), 1.0) for d in (1, 2, 3)], "ds date, temp double")
+    put(spark, lead, [(D(2025, 1, 1),), (D(2025, 1, 1),)], "ds date")
+    assert step() == [(1, True)]
+    put(spark, lead, [(D(2025, 1, 3),)], "ds date")  # late; the 2nd never comes
+    assert step() == [(1, True), (3, True)]
+    put(spark, feed, [(D(2025, 1, 20), 1.0)], "ds date, temp double")
+    put(spark, lead, [(D(2025, 1, 20),)], "ds date")
+    assert step() == [(1, True), (2, False), (3, True), (20, True)]
