@@ -16,8 +16,12 @@ from dayloom.session import stage
 ORDERS = 3
 #: Order 0 ranks this part of all shingles (those with the least hashes) by exact frequency.
 RANKED_PART = 6
-#: Star rounds at least and at most before the remaining pairs are listed.
-STAR_ROUNDS = (2, 8)
+#: Star rounds at least and at most by order 0, and by the last order before pairs are listed.
+STAR_ROUNDS = (1, 2)
+LAST_ROUNDS = (0, 6)
+#: Shingles with over one of so many rows are spread over that many salts (there are at most as
+#: many such shingles).
+HOT_PART, SALTS = 1024, 64
 #: Ranges of shingle hashes whose sizes bound the overlap of two sets.
 BINS = 256
 #: Most keys that are sent to all executors in place of a shuffle of texts.
@@ -153,6 +157,25 @@ def _postings(filled: DataFrame, owners: DataFrame, percent: int) -> DataFrame:
     return kept.select("token", "cls", "n")
 
 
+def _rarest(sets: DataFrame, owners: DataFrame, percent: int) -> DataFrame:
+    """``token, cls, n, place``: the prefixes of the classes in ``sets`` under the last order, all
+    shingles by their exact frequency among these classes, the rarest first. Shingles of one class
+    alone only count; ``place`` counts them too."""
+    short = sets.join(owners.select("cls", "c"), "cls").select("c", F.explode("s").alias("token"))
+    found = stage(short.groupBy("token").agg(F.count("*").alias("f")).where("f > 1"), "frequencies")
+    rows = found.agg(F.sum("f")).first()[0] or 0
+    hot = F.broadcast(found.where(F.col("f") * HOT_PART > rows).select("token", F.lit(True).alias("hot")))
+    salt = F.expr(f"if(hot, pmod(c, {SALTS}), 0)")
+    short = short.join(hot, "token", "left").select("c", "token", salt.alias("salt"))
+    salts = F.explode(F.expr(f"if(f * {HOT_PART} > {rows}, sequence(0L, {SALTS - 1}L), array(0L))"))
+    shared = short.join(found.select("token", "f", salts.alias("salt")), ["token", "salt"]).select("c", "token", "f")
+    placed = shared.join(owners.select("c", "cls", "n"), "c")
+    # both windows hold the tokens of one document
+    placed = placed.withColumn("own", F.expr("n - count(*) OVER (PARTITION BY c, cls)"))
+    placed = placed.withColumn("place", F.expr("own + row_number() OVER (PARTITION BY c, cls ORDER BY f, token)"))
+    return placed.where(f"place <= n - (({percent} * n + 99) div 100) + 1").select("token", "cls", "n", "place")
+
+
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90
 ) -> DataFrame:
@@ -165,9 +188,12 @@ def jaccard_components(
     Rows with equal sets are one class. Classes that share a prefix shingle under order 0 are
     candidates; the prefixes of the other orders must overlap too, then the sizes of parts of
     the sets must allow the overlap, and the whole sets are compared last. Within the classes
-    of one prefix shingle, a star round compares all with one pivot; after some rounds, what
-    still lies in different components is compared in all remaining combinations. So no link
-    is lost, and a large group of copies costs a row per member and round.
+    of one prefix shingle, a star round compares all with one pivot. What still lies in different
+    components gets prefixes under one more order, by exact frequency of all shingles among these
+    classes: texts that share a frequent passage and have a tenth of their own are no candidates
+    any more. After further star rounds, while these pay, the remaining combinations are listed
+    where the places of a common shingle allow the overlap. So no link is lost, and a large group
+    of copies costs a row per member and round.
 
     Null or blank texts have an empty set and stay alone; null keys stay null unless linked;
     repeated rows come back as often as they stand; other columns are ignored; an empty table
@@ -182,33 +208,50 @@ def jaccard_components(
     sketches = sketches.join(postings.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
     sketches = stage(sketches, "sketches")
     near = F.expr(f"least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b)")
-    links = labels = tried = None
-    turn, last, linked = 0, False, True
+    links = labels = tried = sets = None
+    postings = postings.withColumn("place", F.lit(1).cast("long"))
+    turn, phase, last, before, spent = 0, 0, False, None, 0
     while not last:
         placed = postings.withColumn("comp", F.col("cls"))
         if labels is not None:
             placed = postings.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-            placed = placed.select("token", "cls", "n", F.coalesce("component", "cls").alias("comp"))
+            placed = placed.select("token", "cls", "n", "place", F.coalesce("component", "cls").alias("comp"))
         groups = placed.groupBy("token").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"),
             F.bit_xor(F.xxhash64("cls")).alias("x1"), F.bit_xor(F.xxhash64("cls", F.lit("x"))).alias("x2"),
             F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("r"), "cls", "n", "comp")).alias("pivot"),
-        )
-        # shingles with the same classes make the same pairs: one of them is enough
-        groups = groups.where("lo <> hi").groupBy("m", "x1", "x2").agg(F.min("token").alias("token"), F.first("pivot").alias("pivot"))
+        ).where("lo <> hi")
+        if not phase:
+            # shingles with the same classes make the same pairs: one of them is enough
+            groups = groups.groupBy("m", "x1", "x2").agg(F.min("token").alias("token"), F.first("pivot").alias("pivot"))
         open_ = stage(placed.join(groups.select("token", "pivot", "m"), "token"), "open")
         size = open_.agg(F.count("*").alias("rows"), F.sum("m").alias("pairs")).first()
         if not size.rows:
             break
-        # every row of a group of m stands for m pairs; groups are left to the last round when
-        # they are small, or star rounds have had their turns or link nothing more
-        last = turn >= STAR_ROUNDS[1] or (turn >= STAR_ROUNDS[0] and (size.pairs <= 4 * size.rows or not linked))
-        turn, linked = turn + 1, False
-        postings = open_.select("token", "cls", "n")
+        postings = open_.select("token", "cls", "n", "place")
+        # every row of a group of m stands for m pairs; star rounds go on while they take a tenth
+        # of them away, then the last order takes over, then the rest is listed
+        least_, most = LAST_ROUNDS if phase else STAR_ROUNDS
+        small = size.pairs <= 4 * size.rows
+        pays = before is None or 10 * size.pairs <= 9 * before
+        if spent >= most or (spent >= least_ and (small or not pays)):
+            if phase == 0 and not small:
+                wanted = owners.join(open_.select("cls").distinct(), "cls", "left_semi")
+                sets = _whole_sets(docs, stage(wanted.select("cls", "owner"), "wanted"), key, text, k)
+                postings = stage(_rarest(sets, owners, percent), "postings")
+                phase, spent, before = 1, 0, None
+                continue
+            last = True
+        turn, spent, before = turn + 1, spent + 1, size.pairs
         if last:
-            left = open_.select("token", *[F.col(x).alias(y) for x, y in (("cls", "a"), ("n", "n_a"), ("comp", "c_a"))])
-            right = open_.select("token", *[F.col(x).alias(y) for x, y in (("cls", "b"), ("n", "n_b"), ("comp", "c_b"))])
+            sides = {"cls": "", "n": "n_", "comp": "c_", "place": "i_"}
+            left = open_.select("token", *[F.col(x).alias(f"{y}a") for x, y in sides.items()])
+            right = open_.select("token", *[F.col(x).alias(f"{y}b") for x, y in sides.items()])
             pairs = left.join(right, "token").where("a < b")
+            if phase:
+                # at the first common shingle, no more can be common than what is left of either
+                most_common = F.expr("1 + least(n_a - i_a, n_b - i_b)")
+                pairs = pairs.where(most_common * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b")))
         else:
             pairs = open_.select(
                 F.col("pivot.cls").alias("a"), F.col("pivot.n").alias("n_a"), F.col("cls").alias("b"),
@@ -225,11 +268,13 @@ def jaccard_components(
         tried = pairs if tried is None else tried.union(pairs)
         if possible.isEmpty():
             continue
-        ends = possible.select(F.col("a").alias("cls")).union(possible.select(F.col("b").alias("cls"))).distinct()
-        wanted = stage(owners.join(ends, "cls", "left_semi").select("cls", "owner"), "wanted")
-        found = stage(_verified(possible, _whole_sets(docs, wanted, key, text, k), percent), "found")
+        compared = sets
+        if compared is None:
+            ends = possible.select(F.col("a").alias("cls")).union(possible.select(F.col("b").alias("cls"))).distinct()
+            wanted = stage(owners.join(ends, "cls", "left_semi").select("cls", "owner"), "wanted")
+            compared = _whole_sets(docs, wanted, key, text, k)
+        found = stage(_verified(possible, compared, percent), "found")
         if not found.isEmpty():
-            linked = True
             links = found if links is None else links.union(found)
             labels = stage(components(links), "labels")
     named = owners.select("cls", "owner", F.col("cls").alias("component"))

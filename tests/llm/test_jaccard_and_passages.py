@@ -64,6 +64,19 @@ def test_hot_group_and_residual_round(spark, docs, words, monkeypatch):
     assert got(J.jaccard_components(docs(rows))) == brute(rows)
 
 
+def test_groups_that_share_a_passage(spark, docs, words, monkeypatch):
+    """Texts with a common passage and parts of their own do not link, copies among them do; with
+    any share of rows a shingle counts as hot."""
+    monkeypatch.setattr(J, "HOT_PART", 20)
+    rng = random.Random(9)
+    common = words(100, 70)
+    rows = [(i, f"{words(20, 100 + i)} {common} {words(10 + i % 7, 300 + i)}", "en") for i in range(45)]
+    rows += [(100 + i, mutated(rows[i % 5][1], i % 4, rng), "en") for i in range(25)]
+    # copies that share their changes with others, so no shingle is one text's own
+    rows += [(200 + i, f"{common} tail{i % 3} of{i % 4} words{i % 5} here", "en") for i in range(30)]
+    assert got(J.jaccard_components(docs(rows))) == brute(rows)
+
+
 def test_odd_rows(spark, docs, odd_rows):
     out = {(r.doc_id, r.n_shingles): r.component_id for r in J.jaccard_components(docs(odd_rows)).collect()}
     assert out[1, 0] == 1 and out[2, 0] == 2 and out[3, 0] == 3
