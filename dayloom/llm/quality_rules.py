@@ -48,8 +48,6 @@ class Limits:
     common_min_words: int = 50
     common_distance: float = 0.5
     common_words: int = 64
-    #: Common words are sought among words of at most so many bytes.
-    common_bytes: int = 8
 
 
 def _class_counts(part: T.Slice) -> np.ndarray:
@@ -59,6 +57,11 @@ def _class_counts(part: T.Slice) -> np.ndarray:
     return flat.reshape(part.n, wide)[:, :-1]
 
 
+def _lower_hashes(part: T.Slice) -> np.ndarray:
+    """Hashes of the lower-cased words of a slice that keeps its capitals."""
+    return T.Slice(0, part.data, part.offsets, lower=True).word_hashes()
+
+
 def _repeats(hashes: np.ndarray) -> int:
     """Words inside 3-word windows that occur at least twice in the text."""
     if len(hashes) < 4:
@@ -82,8 +85,8 @@ def _dup_lines(text: bytes) -> int:
 
 @dataclass
 class References:
-    """By language: shares of the character classes, and the common words with theirs (the
-    last share is all other words)."""
+    """By language: shares of the character classes, and the common words, in order, with theirs
+    (the last share is all other words)."""
 
     classes: np.ndarray
     words: list[np.ndarray]
@@ -98,15 +101,14 @@ def references(docs: DataFrame, text: str, lang: str, limits: Limits) -> Referen
         words: dict[str, list] = {}
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            for part in T.slices(batch.column(0)):
-                hashes, sizes = part.word_hashes(), part.ends - part.starts
-                counts = _class_counts(part)
+            for part in T.slices(batch.column(0), lower=False):
+                hashes, counts = _lower_hashes(part), _class_counts(part)
                 for i in range(part.n):
                     name, lo, hi = langs[part.doc + i], part.words[i], part.words[i + 1]
                     if name is None or hi - lo < limits.min_words:
                         continue
                     classes[name] = classes.get(name, 0) + counts[i]
-                    words.setdefault(name, []).append(hashes[lo:hi][sizes[lo:hi] <= limits.common_bytes])
+                    words.setdefault(name, []).append(hashes[lo:hi])
             for name, parts in words.items():
                 if len(parts) > 1 and sum(map(len, parts)) > 1 << 20:
                     yield from _word_rows(name, parts)
@@ -134,9 +136,9 @@ def references(docs: DataFrame, text: str, lang: str, limits: Limits) -> Referen
     for name in sorted(found):
         c = np.array([found[name]["c"].get(i, 0) for i in range(len(CLASSES))], float)
         out.classes = np.vstack([out.classes, c / c.sum()])
-        w = np.array(sorted(found[name]["w"]), np.int64)
-        n = np.array([found[name]["w"][x] for x in w], float)
-        out.words.append(w.view(np.uint64))
+        w = np.array(list(found[name]["w"]), np.int64).view(np.uint64)
+        n = np.array(list(found[name]["w"].values()), float)[np.argsort(w)]
+        out.words.append(np.sort(w))
         out.shares.append(np.append(n, max(0, found[name]["total"] - n.sum())) / max(1, found[name]["total"]))
     return out
 
@@ -170,11 +172,12 @@ def quality_rules(
     """Counts, distances and the verdict ``kept`` for every row.
 
     A text fails the base rules with fewer than ``min_words`` words or too many words in
-    repeated 3-word windows. Otherwise it fails if its character classes are further than
-    ``class_distance`` from every language reference, or, with at least ``common_min_words``
-    words, if its common words are further than ``common_distance`` from all. References come
-    from all rows with a language; the language of a row is not used to judge it. Without any
-    reference only the base rules hold.
+    repeated 3-word windows. Otherwise it is compared with the nearest language reference: by its
+    common words, lower-cased, if it has ``common_min_words`` words, else by its character
+    classes. It fails if its classes are further than ``class_distance`` from that reference, or
+    its common words (with as many words) further than ``common_distance``. References come from
+    all words and characters of all rows with a language and ``min_words`` words; the language of
+    a row is not used to judge it. Without any reference only the base rules hold.
 
     Null texts count as empty and fail; repeated rows and ties are judged alike; null keys stay
     null; other columns are ignored; an empty table gives an empty one.
@@ -187,14 +190,14 @@ def quality_rules(
             out: dict[str, list] = {n: [] for n in _COLUMNS}
             for part in T.slices(batch.column(1), lower=False):
                 hashes, counts = part.word_hashes(), _class_counts(part)
-                lower = T.Slice(0, part.data, part.offsets, lower=True).word_hashes()
+                lower = _lower_hashes(part)
                 chars = np.concatenate([[0], np.cumsum((part.data & 0xC0) != 0x80)])
                 for i in range(part.n):
                     lo, hi = part.words[i], part.words[i + 1]
                     words = int(hi - lo)
                     repeat = _repeats(hashes[lo:hi])
                     failed = words < limits.min_words or 100 * repeat > limits.max_repeat_percent * words
-                    far, odd = _distances(counts[i], lower[lo:hi], References(*refs.value))
+                    far, odd = _distances(counts[i], lower[lo:hi], References(*refs.value), limits)
                     good = far is None or far <= limits.class_distance
                     if words >= limits.common_min_words:
                         good = good and (odd is None or odd <= limits.common_distance)
@@ -224,21 +227,25 @@ _COLUMNS = {
 }
 
 
-def _distances(classes: np.ndarray, words: np.ndarray, refs: References) -> tuple[float | None, float | None]:
+def _distances(
+    classes: np.ndarray, words: np.ndarray, refs: References, limits: Limits
+) -> tuple[float | None, float | None]:
     """To the nearest reference, by character classes and by common words."""
     if not len(refs.classes) or not len(words):
         return None, None
-    far = float(js_distance(classes / classes.sum(), refs.classes).min())
-    odd = 1.0
-    for known, shares in zip(refs.words, refs.shares, strict=True):
+    far = js_distance(classes / classes.sum(), refs.classes)
+    odd = np.ones(len(far))
+    for i, (known, shares) in enumerate(zip(refs.words, refs.shares, strict=True)):
         if len(known):
-            order = np.argsort(known)
-            at = np.minimum(np.searchsorted(known[order], words), len(known) - 1)
-            hit = known[order][at] == words
-            counts = np.bincount(order[at[hit]], minlength=len(known) + 1)
+            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            hit = known[at] == words
+            counts = np.bincount(at[hit], minlength=len(known) + 1)
             counts[-1] = len(words) - hit.sum()
-            odd = min(odd, float(js_distance(counts / len(words), shares)))
-    return far, odd
+            odd[i] = js_distance(counts / len(words), shares)
+    # ties of one measure are decided by the other
+    first, second = (odd, far) if len(words) >= limits.common_min_words else (far, odd)
+    nearest = np.lexsort((second, first))[0]
+    return float(far[nearest]), float(odd[nearest])
 
 
 def op3(spark: SparkSession, sf: str) -> DataFrame:

@@ -63,6 +63,17 @@ def test_quality_counts_and_verdicts(spark, docs, words, odd_rows):
     assert quality_rules.quality_rules(docs([])).collect() == []
 
 
+def test_references_hold_all_words_and_capitals(spark, docs, words):
+    """References are counted as documents are: capitals keep their class, long words are words."""
+    def long(seed):
+        return " ".join(w + "lengthened" if i % 3 else w.title() for i, w in enumerate(words(150, seed).split()))
+
+    rows = [(i, long(i), "en") for i in range(30)] + [(100, long(200), None), (101, long(201).upper(), None)]
+    out = {r.doc_id: r for r in quality_rules.quality_rules(docs(rows)).collect()}
+    assert all(out[i].kept for i in [*range(30), 100]) and not out[101].kept
+    assert max(out[i].class_distance for i in range(30)) < 0.1
+
+
 def test_kneser_ney_sums_to_one_and_discounts():
     rng = np.random.default_rng(0)
     s = rng.choice(5, size=3000, p=[0.4, 0.3, 0.15, 0.1, 0.05])
