@@ -116,6 +116,19 @@ def test_thresholds_take_all_trusted_rows(spark, docs, words, monkeypatch):
             assert np.isclose(r.threshold, limit * np.exp(kneser_ney.SPREAD / np.sqrt(r.n_bytes)))
 
 
+def test_the_model_takes_all_trusted_rows(spark, docs, words, monkeypatch):
+    """Whether their keys are sent to all executors or the texts are shuffled."""
+    rows = [(i, words(5, i), "en") for i in range(90)] + [(7, None, "en"), (None, "x", "en")]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(90)] + [(None, 1), (4, 1)], "doc_id long, quality int")
+    want = sorted(t for i, t, _ in rows[:90] if i % 3)
+    for most in (5, 1000):
+        monkeypatch.setattr(kneser_ney, "FIT_ROWS", most)
+        found = kneser_ney.trusted_rows(docs(rows), labels, "doc_id", "text", "lang")
+        assert sorted(r.text for r in found.collect()) == want
+        codes, counts = kneser_ney._gram_counts(found, kneser_ney._alphabet(found))
+        assert counts.sum() == sum(len(t) for t in want) and (np.diff(codes) > 0).all()
+
+
 def test_toxic_terms_folds_and_exceptions(spark, docs, words, odd_rows):
     rng = random.Random(1)
     rows, marks = [], []
