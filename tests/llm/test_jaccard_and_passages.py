@@ -261,3 +261,53 @@ def test_fuzzy_passages_reach_a_chain():
             _, i, j = np.intersect1d(ha, hb, return_indices=True)
             missed += not len(i) or not chains(x[i], y[j], s)
         assert missed <= 1
+
+
+def test_only_shared_seeds_leave_the_exchange(spark, docs, words, monkeypatch):
+    """With their owners, also where a text stands twice and where blocks are sent early."""
+    monkeypatch.setattr(P, "HELD_SEEDS", 100)
+    core = words(60, 800)
+    rows = [(i, words(80, 810 + i) + " " + core * (i % 3), "en") for i in range(9)] + [(9, words(80, 810) + " ", "en"), (10, None, "en")]
+    df = docs(rows).repartition(3)
+    s = Settings()
+    texts = {r.rid: r.text for r in df.where("text IS NOT NULL").selectExpr("xxhash64(text) rid", "text").collect()}
+    held = defaultdict(list)
+    for rid, text in texts.items():
+        for part in P.T.slices(P.pa.array([text])):
+            for h, at in zip(*minimizers(part.word_hashes(), s), strict=True):
+                held[int(h)].append((rid, int(at)))
+    want = [(rid, at, *min(m)) for m in held.values() if len({r for r, _ in m}) > 1 for rid, at in m]
+    assert 0 < len(want) < sum(map(len, held.values()))
+    assert sorted(tuple(r) for r in P._shared(df, "text", s, 2000).collect()) == sorted(want)
+
+
+def test_packed_seeds_come_back():
+    rng = np.random.default_rng(12)
+    seeds, at = rng.integers(0, 1 << 63, 500).astype(np.uint64), rng.integers(0, 1 << 31, 500)
+    rows = np.sort(rng.integers(0, 70_000, 500))
+    h, row, places = P._unpacked(P._packed(seeds, rows, at))
+    assert (h == seeds % (1 << 40)).all() and (row == rows).all() and (places == at).all()
+
+
+def test_equal_runs_lie_in_dense_ranges():
+    rng = np.random.default_rng(13)
+    for s in (Settings(), Settings(window=4), Settings(min_words=20)):
+        for trial in range(60):
+            core = rng.integers(0, 1 << 62, s.min_words + trial % 3).astype(np.uint64) // (1 + trial % 2 * (1 << 61))
+            a, b = (np.concatenate([rng.integers(0, 1 << 62, n).astype(np.uint64), core, rng.integers(0, 1 << 62, 7).astype(np.uint64)])
+                    for n in (trial % 5, trial % 7))
+            (ha, x), (hb, _) = minimizers(a, s), minimizers(b, s)
+            found = P.dense(x[np.isin(ha, hb)], s)
+            assert any(p <= trial % 5 and q >= trial % 5 + len(core) for p, q in found)
+
+
+def test_paths_together_are_those_alone(monkeypatch):
+    rng = np.random.default_rng(14)
+    a = [rng.integers(0, 5, rng.integers(1, 90)) for _ in range(40)]
+    b = [np.concatenate([x[: len(x) // 2], rng.integers(0, 5, rng.integers(0, 9)), x[len(x) // 2 + 3 :]]) for x in a]
+    low, high = (np.array([f(0, len(y) - len(x)) + k * (3 + i % 20) for i, (x, y) in enumerate(zip(a, b, strict=True))])
+                 for f, k in ((min, -1), (max, 1)))
+    want = [P._path(*pair) for pair in zip(a, b, low.tolist(), high.tolist(), strict=True)]
+    for cells in (1 << 25, 2000):
+        monkeypatch.setattr(P, "PATH_CELLS", cells)
+        assert all((x == y).all() for x, y in zip(P._paths(a, b, low, high), want, strict=True))
