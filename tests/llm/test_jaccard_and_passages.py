@@ -1,5 +1,6 @@
 import random
 import re
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -77,6 +78,42 @@ def test_groups_that_share_a_passage(spark, docs, words, monkeypatch):
     assert got(J.jaccard_components(docs(rows))) == brute(rows)
 
 
+def folders(monkeypatch, tmp_path):
+    """Where intermediate tables go from here on."""
+    monkeypatch.setattr("dayloom.session.shared_dir", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    return tmp_path
+
+
+def test_five_words_and_four_fifths_leave_no_sets_behind(spark, docs, words, monkeypatch, tmp_path):
+    """Exact at 5 words and 0.8; no folder with sets, sketches or prefixes stays."""
+    root = folders(monkeypatch, tmp_path)
+    rng = random.Random(13)
+    common = words(60, 130)
+    rows = [(i, f"{words(40, 600 + i)} {common} {words(10 + i % 7, 700 + i)}", "en") for i in range(30)]
+    rows += [(100 + i, mutated(rows[i % 9][1], i % 6, rng), "en") for i in range(50)]
+    rows += [(200, rows[3][1], "en"), (200, rows[4][1], "en"), (201, "four words of text", "en"), (202, "Four words of TEXT", "en")]
+    rows += [(3, rows[3][1], "en"), (203, "", "en"), (204, None, "en"), (205, "a b c d e f g a b c d e f g", "en")]
+    assert got(J.jaccard_components(docs(rows), k=5, percent=80)) == brute(rows, 5, 80)
+    left = {p.name.split("-")[0] for p in root.iterdir()}
+    assert left and not left & {"sets", "sketches", "prefixes"}
+
+
+def test_shingles_that_are_one_value_in_the_last_order(spark, docs, words, monkeypatch):
+    """Many shingles of a set are one value where few bits are kept; no link is lost."""
+    monkeypatch.setattr(J, "_cut", lambda found: np.unique(found >> np.uint64(56)).astype(np.int64))
+    rng = random.Random(14)
+    rows = [(i, words(60 + i, 800 + i), "en") for i in range(12)]
+    rows += [(100 + i, mutated(rows[i % 12][1], i % 4, rng), "en") for i in range(40)]
+    assert got(J.jaccard_components(docs(rows), k=5, percent=80)) == brute(rows, 5, 80)
+
+
+def test_packed_shingles():
+    rng = np.random.default_rng(15)
+    tokens, rows = rng.integers(0, 1 << 48, 500), np.sort(rng.integers(0, 90, 500))
+    found = J._unpacked(J._packed(tokens, rows))
+    assert (found[0] == tokens).all() and (found[1] == rows).all()
+
+
 def test_odd_rows(spark, docs, odd_rows):
     out = {(r.doc_id, r.n_shingles): r.component_id for r in J.jaccard_components(docs(odd_rows)).collect()}
     assert out[1, 0] == 1 and out[2, 0] == 2 and out[3, 0] == 3
