@@ -300,8 +300,9 @@ def jaccard_components(
     of one prefix shingle, a star round compares all with one pivot. What still lies in different
     components gets prefixes under one more order, by exact frequency of all shingles among these
     classes: texts that share a frequent passage and have a tenth of their own are no candidates
-    any more. (Where a prefix is longer than the ranked part, this order is used at once.) After
-    further star rounds, while these pay, the remaining combinations are listed
+    any more. (Where a prefix is longer than the ranked part, this order is used at once.) The
+    first star round there has the class with the least place as pivot, the middle of a family of
+    near copies if it stands in the table. After further star rounds, while these pay, the remaining combinations are listed
     where the places of a common shingle allow the overlap. So no link is lost, and a large group
     of copies costs a row per member and round.
 
@@ -334,10 +335,11 @@ def jaccard_components(
         if labels is not None:
             placed = postings.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
             placed = placed.select("token", "cls", "n", "place", F.coalesce("component", "cls").alias("comp"))
+        central = F.col("place") if phase and not spent else F.lit(0)
         groups = placed.groupBy("token").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"),
             F.bit_xor(F.xxhash64("cls")).alias("x1"), F.bit_xor(F.xxhash64("cls", F.lit("x"))).alias("x2"),
-            F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("r"), "cls", "n", "comp")).alias("pivot"),
+            F.min(F.struct(central.alias("i"), F.xxhash64("cls", F.lit(turn)).alias("r"), "cls", "n", "comp")).alias("pivot"),
         ).where("lo <> hi")
         if not phase:
             # shingles with the same classes make the same pairs: one of them is enough

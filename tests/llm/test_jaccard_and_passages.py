@@ -78,6 +78,26 @@ def test_groups_that_share_a_passage(spark, docs, words, monkeypatch):
     assert got(J.jaccard_components(docs(rows))) == brute(rows)
 
 
+def test_family_of_near_copies_lists_few_pairs(spark, docs, words, monkeypatch):
+    """Texts with one or two changes link with the text they come from, hardly among each other: it
+    is the pivot, so no pairs of the family are left to list."""
+    staged = []
+
+    def counted(df, name, stage=J.stage):
+        out = stage(df, name)
+        if name == "pairs":
+            staged.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "stage", counted)
+    rng = random.Random(12)
+    base = words(148, 120)
+    rows = [(i, mutated(base, 1 + i % 2, rng), "en") for i in range(90)] + [(200, base, "en")]
+    rows += [(300 + i, words(100, 500 + i), "en") for i in range(10)]
+    assert got(J.jaccard_components(docs(rows))) == brute(rows)
+    assert sum(staged) < 4 * len(rows)
+
+
 def folders(monkeypatch, tmp_path):
     """Where intermediate tables go from here on."""
     monkeypatch.setattr("dayloom.session.shared_dir", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
