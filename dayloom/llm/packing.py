@@ -38,14 +38,15 @@ def pieces(
         words = WordTokens(place)
         for batch in batches:
             # one output batch for some texts, so that memory stays in bounds
-            for part in T.slices(batch.column(1), lower=False):
+            for first, data, offsets in T.spans(batch.column(1)):
                 row, number, start, length, crc, found = [], [], [], [], [], []
-                for i in range(part.n):
-                    ids = words.encode(part.data[part.offsets[i] : part.offsets[i + 1]].tobytes())
+                data, offsets = data.tobytes(), offsets.tolist()
+                texts = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                for i, ids in enumerate(words.encode_all(texts), first):
                     ids = np.append(ids, np.uint32(end)).astype("<u4")
                     for k, at in enumerate(range(0, len(ids), capacity)):
                         own = ids[at : at + capacity]
-                        row.append(part.doc + i)
+                        row.append(i)
                         number.append(k)
                         start.append(at)
                         length.append(len(own))

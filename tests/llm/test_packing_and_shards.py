@@ -33,6 +33,37 @@ def test_memory_of_words_is_bounded(monkeypatch):
         assert len(words) < 60
 
 
+def test_words_learned_together_equal_the_tokenizer():
+    rng = random.Random(7)
+    whole, words = Tokenizer.from_file(PATH), WordTokens(PATH)
+    signs = "eeeaaainthsto" * 3 + "ABZzéèüßñÉÀçİŉſªµ×" + "019²½" + "'''.,!$#<|>-_" + "你д́\x85"
+    texts = [
+        " ".join("".join(rng.choices(signs, k=rng.choice([1, 2, 3, 5, 9, 14, 70]))) for _ in range(rng.randrange(60)))
+        for _ in range(300)
+    ]
+    texts += ["a" * 63 + " " + "a" * 64 + " " + "aa" * 3000, "we'll'LL'd's're x'vex 'm' ''t", "\n\t "]
+    calls = []
+    by_tokenizer = words._by_tokenizer
+    words._by_tokenizer = lambda word: calls.append(word) or by_tokenizer(word)
+    got = words.encode_all([t.encode() for t in texts])
+    assert [x.tolist() for x in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    # the tokenizer is called only for what the merges alone do not settle
+    assert calls and all(len(w) > 60 or not w.isascii() or b"<|" in w for w in calls)
+    calls.clear()
+    assert words.encode_all([b"plain W\xc3\xb6rter, it's 12 $$$ more"])[0].size and not calls
+    assert words.encode_all([]) == [] and words.encode_all([b"", b" "])[1].size == 0
+
+
+def test_words_of_one_call_are_remembered_within_bounds(monkeypatch):
+    monkeypatch.setattr("dayloom.llm.tokens.WORDS", 20)
+    whole, words = Tokenizer.from_file(PATH), WordTokens(PATH)
+    for i in range(60):
+        texts = [f"word{i} other{i % 7}", "", f"thing{i * i} été{i} 你{i % 3}"]
+        got = words.encode_all([t.encode() for t in texts])
+        assert [x.tolist() for x in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(words) < 60
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_plan_uses_every_piece_once_and_few_sequences(seed):
     rng = random.Random(seed)
